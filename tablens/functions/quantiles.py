@@ -71,8 +71,7 @@ def quantile_table(long: DataFrame, by: Sequence[str] | None, probs, value: str
     stats = materialize(src.groupBy(*by).agg(
         F.count("_v").alias("_n"),
         F.percentile_approx("_v", F.array(*[F.lit(p) for p in sk_probs]), accuracy).alias("_sk")))
-    n_groups = stats.count()
-    max_n = stats.agg(F.max("_n")).first()[0] or 0
+    n_groups, max_n = stats.agg(F.count(F.lit(1)), F.coalesce(F.max("_n"), F.lit(0))).first()
     narrow = max_n > max_bracket_rows
 
     brs = []
@@ -128,9 +127,12 @@ def quantile_table(long: DataFrame, by: Sequence[str] | None, probs, value: str
                                      for nm, _ in items])
     counts = stats.select(*by, F.col("_n").alias("n"))
     if by:
-        return attach(counts, wide, by, how="left", known_rows=n_groups) \
+        out = attach(counts, wide, by, how="left", known_rows=n_groups) \
             .select(*by, "n", *[nm for nm, _ in items])
-    return counts.crossJoin(wide)
+    else:
+        out = counts.crossJoin(wide)
+    out._tablens_meta = {"rows": n_groups}
+    return out
 
 
 def _refine(dist: DataFrame, base: DataFrame, keys: list[str], bracket_rows: int):

@@ -90,11 +90,13 @@ def fit_bounds(df: DataFrame, columns: Sequence[str] | None = None, method: str
             skip_spread = F.coalesce(F.abs(F.col("spread")) < F.lit(min_spread), F.lit(True))
     else:  # modified_zscore
         med = quantile_table(lf, keys, {"center": 0.5}, method=quantile_method)
+        n_med = med._tablens_meta["rows"]
+        med = materialize(med)
         dev = attach(lf.filter(F.col("value").isNotNull()), med.select(*keys, "center"), keys,
-                     known_rows=None) \
+                     known_rows=n_med) \
             .select(*keys, F.abs(F.col("value") - F.col("center")).alias("value"))
         mad = quantile_table(dev, keys, {"spread": 0.5}, method=quantile_method)
-        b = med.join(mad.select(*keys, "spread"), keys, "left")
+        b = attach(med, mad.select(*keys, "spread"), keys, "left", known_rows=n_med)
         half = F.lit(float(threshold)) * F.col("spread") / F.lit(MODIFIED_Z_CONSTANT)
         lower = F.col("center") - half
         upper = F.col("center") + half
@@ -111,8 +113,20 @@ def fit_bounds(df: DataFrame, columns: Sequence[str] | None = None, method: str
         .withColumn("threshold", F.lit(thr))
     if low_spread == "omit":
         out = out.filter(~F.col("skipped"))
-    return materialize(out.select(*keys, "method", "n", "center", "spread", "threshold",
-                                  "lower", "upper", "skipped"))
+    out = materialize(out.select(*keys, "method", "n", "center", "spread", "threshold",
+                                 "lower", "upper", "skipped"))
+    out._tablens_meta = {"method": method, "columns": columns, "group": group, "rows": out.count()}
+    return out
+
+
+def _meta(bounds: DataFrame) -> dict:
+    """Method / columns / row count of a fitted bounds table (read back if not recorded)."""
+    m = getattr(bounds, "_tablens_meta", None)
+    if m is None:
+        rows = bounds.select("method", "column_name").distinct().collect()
+        m = {"method": rows[0][0], "columns": sorted({r[1] for r in rows}), "rows": bounds.count()}
+        bounds._tablens_meta = m
+    return m
 
 
 def _outside(method: str):
@@ -136,13 +150,13 @@ def _score(method: str):
 
 def _joined(df: DataFrame, bounds: DataFrame, group, ids):
     group = as_list(group)
-    columns = [r[0] for r in bounds.select("column_name").distinct().collect()]
+    columns = _meta(bounds)["columns"]
     base = df
     for g in group:
         base = base.filter(F.col(g).isNotNull())
     lf = long_form(base, columns, ids=list(dict.fromkeys(ids + group)), variable="column_name")
     b = bounds.filter(~F.col("skipped"))
-    return attach(lf, b, group + ["column_name"])
+    return attach(lf, b, group + ["column_name"], known_rows=_meta(bounds)["rows"])
 
 
 def flag_rows(df: DataFrame, bounds: DataFrame, key: Sequence[str] | str | None = None,
@@ -150,7 +164,7 @@ def flag_rows(df: DataFrame, bounds: DataFrame, key: Sequence[str] | str | None
     """Flag table ``(key..., group..., column_name, method, value, score)``: one row per outlying cell."""
     group = as_list(group)
     df, key = row_key(df, key)
-    method = bounds.select("method").first()[0]
+    method = _meta(bounds)["method"]
     j = _joined(df, bounds, group, key)
     return j.filter(_outside(method)).select(
         *dict.fromkeys(key + group), "column_name", "method", "value", _score(method).alias("score"))
@@ -159,11 +173,11 @@ def flag_rows(df: DataFrame, bounds: DataFrame, key: Sequence[str] | str | None
 def outlier_counts(df: DataFrame, bounds: DataFrame, group: Sequence[str] | str | None = None) -> DataFrame:
     """Bounds plus ``outlier_count`` per (group, column); skipped pairs count 0."""
     group = as_list(group)
-    method = bounds.select("method").first()[0]
+    method = _meta(bounds)["method"]
     j = _joined(df, bounds, group, [])
     cnt = j.groupBy(*group, "column_name").agg(F.count_if(_outside(method)).alias("outlier_count"))
     keys = group + ["column_name"]
-    return bounds.join(cnt, keys, "left") \
+    return attach(bounds, cnt, keys, how="left", known_rows=_meta(bounds)["rows"]) \
         .withColumn("outlier_count", F.coalesce("outlier_count", F.lit(0)).cast("long"))
 
 
@@ -233,9 +247,9 @@ def _clip(c: str):
 def apply_caps(df: DataFrame, bounds: DataFrame, group=None, columns=None) -> DataFrame:
     """Clip each column to its (group's) lower/upper bounds; other columns untouched."""
     group = as_list(group)
-    columns = as_list(columns) or [r[0] for r in bounds.select("column_name").distinct().collect()]
+    columns = as_list(columns) or _meta(bounds)["columns"]
     wide = _wide_bounds(bounds, group, columns)
-    j = attach(df, wide, group, how="left")
+    j = attach(df, wide, group, how="left", known_rows=_meta(bounds)["rows"])
     return j.select(*[(_clip(c).alias(c) if c in columns else F.col(c)) for c in df.columns])
 
 
@@ -256,12 +270,12 @@ def impute_outliers(df: DataFrame, bounds: DataFrame, group=None, columns=None,
                     quantile_method: str = "exact") -> DataFrame:
     """Flagged cells → NULL → median of the remaining values of the same group and column."""
     group = as_list(group)
-    columns = as_list(columns) or [r[0] for r in bounds.select("column_name").distinct().collect()]
-    method = bounds.select("method").first()[0]
+    columns = as_list(columns) or _meta(bounds)["columns"]
+    method = _meta(bounds)["method"]
     wb = bounds.withColumn("_lo", F.when(~F.col("skipped"), F.col("lower"))) \
                .withColumn("_hi", F.when(~F.col("skipped"), F.col("upper")))
     cols_lohi = _wide_bounds(wb, group, columns, "_lo", "_hi")
-    j = attach(df, cols_lohi, group, how="left")
+    j = attach(df, cols_lohi, group, how="left", known_rows=_meta(bounds)["rows"])
     if method != "iqr":
         raise ValueError("impute_outliers applies interval bounds; fit them with method='iqr' or use caps")
     masked = j.select(*[(F.when(~((F.col(c) < F.col(f"{c}__lo")) | (F.col(c) > F.col(f"{c}__hi")))

@@ -4,6 +4,7 @@ import importlib
 
 QUERY_MODULES = (
     "tablens.plans.outlier_queries",
+    "tablens.plans.profile_queries",
 )
 
 

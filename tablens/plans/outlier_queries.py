@@ -104,20 +104,19 @@ def modified_zscore_outliers_events(spark, sf):
     return _counts_out(O.outlier_counts(ev, b), [])
 
 
-@register("iqr_outlier_rows_orders", """
-with b as (select o_orderpriority, quantile_cont(o_totalprice, 0.25) as q1,
-                  quantile_cont(o_totalprice, 0.75) as q3
-           from orders where o_orderpriority is not null group by 1)
-select o.o_orderkey, o.o_orderpriority, 'o_totalprice' as column_name, o.o_totalprice as value
-from orders o join b on o.o_orderpriority = b.o_orderpriority
-where o.o_totalprice < b.q1 - 1.5 * (b.q3 - b.q1) or o.o_totalprice > b.q3 + 1.5 * (b.q3 - b.q1)
+@register("iqr_outlier_rows_events", """
+with b as (select event_type, quantile_cont(value, 0.25) as q1, quantile_cont(value, 0.75) as q3
+           from events where event_type is not null group by 1)
+select e.event_id, e.event_type, 'value' as column_name, e.value
+from events e join b on e.event_type = b.event_type
+where e.value < b.q1 - 1.5 * (b.q3 - b.q1) or e.value > b.q3 + 1.5 * (b.q3 - b.q1)
 """)
-def iqr_outlier_rows_orders(spark, sf):
-    """Row-level IQR flags (keys of outlying orders per priority)."""
-    o = load(spark, sf, "orders")
-    b = O.fit_bounds(o, ["o_totalprice"], "iqr", "o_orderpriority")
-    return O.flag_rows(o, b, "o_orderkey", "o_orderpriority").select(
-        "o_orderkey", "o_orderpriority", "column_name", "value")
+def iqr_outlier_rows_events(spark, sf):
+    """Row-level grouped IQR flags: keys and values of outlying events per event_type."""
+    ev = load(spark, sf, "events")
+    b = O.fit_bounds(ev, ["value"], "iqr", "event_type")
+    return O.flag_rows(ev, b, "event_id", "event_type").select(
+        "event_id", "event_type", "column_name", "value")
 
 
 @register("zscore_outlier_rows_events", """

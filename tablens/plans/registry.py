@@ -40,3 +40,9 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def r6(c) -> F.Column:
     """Output rounding of computed floats (same rule as the SQL side's ``round(x, 6)``)."""
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
+
+
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Round every double column (output convention shared with the oracle SQL)."""
+    return df.select(*[F.round(F.col(c), digits).alias(c) if t in ("double", "float") else F.col(c)
+                       for c, t in df.dtypes])
