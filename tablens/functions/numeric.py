@@ -76,7 +76,18 @@ def is_numeric_text(c) -> Column:
 def to_number(c) -> Column:
     """Coerce text to double, junk → NULL, 'NaN' → NULL (``errors='coerce'`` semantics)."""
     c = col_(c)
-    return F.when(is_numeric_text(c.cast("string")), nan_to_null(F.try_cast(c.cast("string"), "double")))
+    return F.when(is_numeric_text(c.cast("string")), nan_to_null(c.cast("string").try_cast("double")))
+
+
+# Coefficients of Acklam's rational approximation of the normal quantile.
+_ACKLAM_A = [-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02,
+             1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00]
+_ACKLAM_B = [-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02,
+             6.680131188771972e+01, -1.328068155288572e+01]
+_ACKLAM_C = [-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00,
+             -2.549732539343734e+00, 4.374664141464968e+00, 2.938163982698783e+00]
+_ACKLAM_D = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00,
+             3.754408661907416e+00]
 
 
 def inv_norm_cdf(p) -> Column:
@@ -85,14 +96,7 @@ def inv_norm_cdf(p) -> Column:
     Acklam's algorithm (relative error < 1.2e-9), written as one column expression.
     """
     p = col_(p)
-    a = [-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02,
-         1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00]
-    b = [-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02,
-         6.680131188771972e+01, -1.328068155288572e+01]
-    c = [-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00,
-         -2.549732539343734e+00, 4.374664141464968e+00, 2.938163982698783e+00]
-    d = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00,
-         3.754408661907416e+00]
+    a, b, c, d = _ACKLAM_A, _ACKLAM_B, _ACKLAM_C, _ACKLAM_D
     plow = 0.02425
 
     def poly(coefs, x):
@@ -113,14 +117,7 @@ def inv_norm_cdf(p) -> Column:
 
 def inv_norm_cdf_sql(p: str) -> str:
     """The same approximation as DuckDB/ANSI SQL text (used by oracles and tests)."""
-    a = [-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02,
-         1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00]
-    b = [-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02,
-         6.680131188771972e+01, -1.328068155288572e+01]
-    c = [-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00,
-         -2.549732539343734e+00, 4.374664141464968e+00, 2.938163982698783e+00]
-    d = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00,
-         3.754408661907416e+00]
+    a, b, c, d = _ACKLAM_A, _ACKLAM_B, _ACKLAM_C, _ACKLAM_D
 
     def poly(coefs, x):
         acc = repr(coefs[0])

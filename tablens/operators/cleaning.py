@@ -170,17 +170,19 @@ def clean(df: DataFrame, columns: Sequence[str] | None = None, rules: Sequence[s
 def ensure_consistency(df: DataFrame, columns: Sequence[str], label: str | None = None,
                        allowed: Sequence | None = None, rules: Sequence[str] = (),
                        round_digits: int = 1) -> DataFrame:
-    """Allowed labels → positive measures → coerce + round → rule filter → de-duplicate.
+    """Allowed labels → coerce to numbers → positive measures → round → rule filter → de-duplicate.
 
     Rounding precedes de-duplication, so rows equal after rounding collapse.
     """
     from tablens.functions.numeric import to_number
+    cols = set(as_list(columns))
     out = df
     if label and allowed is not None:
         out = filter_allowed(out, label, allowed)
+    dt = dict(df.dtypes)
+    out = out.select(*[(to_number(F.col(c)) if dt[c] == "string" else nan_to_null(c)).alias(c) if c in cols
+                       else F.col(c) for c in out.columns])
     out = filter_positive(out, columns)
-    out = out.select(*[(F.bround(to_number(F.col(c).cast("string")) if dict(df.dtypes)[c] == "string"
-                                 else nan_to_null(c), round_digits).alias(c) if c in columns else F.col(c))
-                       for c in out.columns])
+    out = out.select(*[F.bround(F.col(c), round_digits).alias(c) if c in cols else F.col(c) for c in out.columns])
     out = filter_rules(out, rules)
     return out.dropDuplicates()

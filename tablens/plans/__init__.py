@@ -5,6 +5,7 @@ import importlib
 QUERY_MODULES = (
     "tablens.plans.outlier_queries",
     "tablens.plans.profile_queries",
+    "tablens.plans.feature_queries",
 )
 
 

@@ -305,26 +305,29 @@ def top_correlations_lineitem(spark, sf):
     return S.top_correlations(load(spark, sf, "lineitem"), LINE_MEASURES, n=3)
 
 
-@register("strong_correlations_orders_lineitem", """
-with j as (select o.o_totalprice, l.l_extendedprice, l.l_quantity, l.l_discount
-           from lineitem l join orders o on l.l_orderkey = o.o_orderkey),
-c as (select corr(o_totalprice, l_extendedprice) as a, corr(o_totalprice, l_quantity) as b,
-             corr(o_totalprice, l_discount) as c2, corr(l_extendedprice, l_quantity) as d,
-             corr(l_extendedprice, l_discount) as e, corr(l_quantity, l_discount) as f from j),
-p as (select 'o_totalprice' as col1, 'l_extendedprice' as col2, round_even(a, 3) as corr from c union all
-      select 'o_totalprice', 'l_quantity', round_even(b, 3) from c union all
-      select 'o_totalprice', 'l_discount', round_even(c2, 3) from c union all
-      select 'l_extendedprice', 'l_quantity', round_even(d, 3) from c union all
-      select 'l_extendedprice', 'l_discount', round_even(e, 3) from c union all
-      select 'l_quantity', 'l_discount', round_even(f, 3) from c)
+@register("strong_correlations_orders", """
+with a as (select l_orderkey, sum(l_extendedprice) as line_total, cast(count(*) as double) as n_lines,
+                  sum(l_quantity) as qty from lineitem group by 1),
+j as (select o.o_totalprice, a.line_total, a.n_lines, a.qty from a join orders o on a.l_orderkey = o.o_orderkey),
+c as (select corr(o_totalprice, line_total) as a1, corr(o_totalprice, n_lines) as a2, corr(o_totalprice, qty) as a3,
+             corr(line_total, n_lines) as b1, corr(line_total, qty) as b2, corr(n_lines, qty) as c1 from j),
+p as (select 'o_totalprice' as col1, 'line_total' as col2, round_even(a1, 3) as corr from c union all
+      select 'o_totalprice', 'n_lines', round_even(a2, 3) from c union all
+      select 'o_totalprice', 'qty', round_even(a3, 3) from c union all
+      select 'line_total', 'n_lines', round_even(b1, 3) from c union all
+      select 'line_total', 'qty', round_even(b2, 3) from c union all
+      select 'n_lines', 'qty', round_even(c1, 3) from c)
 select col1, col2, corr from p where abs(corr) > 0.7
 """)
-def strong_correlations_orders_lineitem(spark, sf):
-    """|r| > 0.7 pairs on a joined order/line table."""
+def strong_correlations_orders(spark, sf):
+    """|r| > 0.7 pairs over per-order line aggregates joined to orders."""
     li = load(spark, sf, "lineitem")
+    per = li.groupBy("l_orderkey").agg(F.sum("l_extendedprice").alias("line_total"),
+                                       F.count(F.lit(1)).cast("double").alias("n_lines"),
+                                       F.sum("l_quantity").alias("qty"))
     o = load(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    j = li.join(o, li.l_orderkey == o.o_orderkey)
-    return S.strong_correlations(j, ["o_totalprice", "l_extendedprice", "l_quantity", "l_discount"])
+    j = per.join(o, per.l_orderkey == o.o_orderkey)
+    return S.strong_correlations(j, ["o_totalprice", "line_total", "n_lines", "qty"])
 
 
 @register("feature_importance_lineitem", _CORR_PAIRS_SQL + """,
