@@ -6,6 +6,7 @@ QUERY_MODULES = (
     "tablens.plans.outlier_queries",
     "tablens.plans.profile_queries",
     "tablens.plans.feature_queries",
+    "tablens.plans.time_queries",
 )
 
 
