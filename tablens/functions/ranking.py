@@ -7,7 +7,9 @@ order (``start_rank``) and the previous distinct value (``prev_value``).
 A window ``partitionBy(group).orderBy(value)`` would put a whole group into one
 task. Instead:
 
-1. distinct ``(by, value) → c`` (map-side combined, so hot values collapse);
+1. distinct ``(by, value) → c`` (map-side combined, so hot values collapse); when
+   there are at most ``rows_per_slice`` distinct rows in total, one window per group
+   is already bounded and used directly;
 2. ``repartitionByRange(by, value)`` splits every group over balanced range
    partitions (sampled bounds), tagged with their partition id and checkpointed
    so the tag is stable under recomputation;
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablens.functions.frames import as_list
-from tablens.functions.joins import attach
+from tablens.functions.joins import attach, bounded_count
 from tablens.session import materialize
 
 ROWS_PER_SLICE = 1_000_000
@@ -38,6 +40,13 @@ def rank_distinct(long: DataFrame, by: Sequence[str] | None, value: str = "value
     by = as_list(by)
     d = long.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("c"))
     spark = long.sparkSession
+    if bounded_count(d, rows_per_slice) <= rows_per_slice:
+        # every group fits one bounded window task: no range partitioning needed
+        w = Window.partitionBy(*by).orderBy(value)
+        return d.select(*by, value, "c",
+                        (F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("c") + 1)
+                        .alias("start_rank"),
+                        F.lag(value).over(w).alias("prev_value"))
     d = materialize(d)
     n_distinct = d.count()
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_distinct // rows_per_slice))

@@ -7,6 +7,7 @@ QUERY_MODULES = (
     "tablens.plans.profile_queries",
     "tablens.plans.feature_queries",
     "tablens.plans.time_queries",
+    "tablens.plans.pattern_queries",
 )
 
 
