@@ -4,6 +4,8 @@ Spark's exact ``percentile`` aggregate keeps every distinct value of a group in
 one final task, which does not hold when one group has a third of 100 TB. The
 exact path here bounds the per-task work instead:
 
+0. group sizes are counted first; when no group exceeds ``max_bracket_rows`` the
+   exact ``percentile`` aggregate is used directly (per-group state is bounded);
 1. one partial/final aggregate per group: ``count`` and a mergeable
    ``percentile_approx`` sketch (bounded memory per group);
 2. for every requested probability the sketch brackets the two order statistics
@@ -64,6 +66,18 @@ def quantile_table(long: DataFrame, by: Sequence[str] | None, probs, value: str
     if method != "exact":
         raise ValueError(f"unknown quantile method {method!r}")
 
+    sizes = src.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    n_groups, max_n = sizes.agg(F.count(F.lit(1)), F.coalesce(F.max("_n"), F.lit(0))).first()
+    if max_n <= max_bracket_rows:
+        # every group is bounded: Spark's exact percentile holds at most max_bracket_rows
+        # values per group in one task
+        agg = src.groupBy(*by).agg(
+            F.count("_v").alias("n"),
+            F.percentile("_v", F.array(*[F.lit(p) for _, p in items])).alias("_a"))
+        out = agg.select(*by, "n", *[F.col("_a")[i].alias(nm) for i, (nm, _) in enumerate(items)])
+        out._tablens_meta = {"rows": n_groups}
+        return out
+
     margin = 3.0 / accuracy
     sk_probs = []
     for _, p in items:
@@ -71,8 +85,7 @@ def quantile_table(long: DataFrame, by: Sequence[str] | None, probs, value: str
     stats = materialize(src.groupBy(*by).agg(
         F.count("_v").alias("_n"),
         F.percentile_approx("_v", F.array(*[F.lit(p) for p in sk_probs]), accuracy).alias("_sk")))
-    n_groups, max_n = stats.agg(F.count(F.lit(1)), F.coalesce(F.max("_n"), F.lit(0))).first()
-    narrow = max_n > max_bracket_rows
+    narrow = True
 
     brs = []
     for i, (nm, p) in enumerate(items):

@@ -24,9 +24,10 @@ def filter_rules(df: DataFrame, rules: Sequence[str]) -> DataFrame:
     """Keep rows passing every SQL predicate in ``rules``.
 
     SQL three-valued logic drops rows where a predicate is NULL, which is the
-    reference's "missing fails" outcome.
+    reference's "missing fails" outcome. Floating columns are NaN-normalised to NULL
+    first (Spark orders NaN above every number, so ``NaN > 1`` would pass).
     """
-    out = df
+    out = df.select(*[nan_to_null(c).alias(c) if t in ("double", "float") else F.col(c) for c, t in df.dtypes])
     for r in rules:
         out = out.filter(F.expr(r))
     return out
@@ -104,11 +105,12 @@ def impute_random_forest(df: DataFrame, columns: Sequence[str], key: Sequence[st
     from pyspark.ml.regression import RandomForestRegressor
 
     columns, key = as_list(columns), as_list(key)
+    miss = df.agg(*[F.count_if(nan_to_null(c).isNull()).alias(c) for c in columns]).first()
     filled = impute_median(df.select(*key, *columns), columns)
     preds = []
     for c in columns:
         feats = [x for x in columns if x != c]
-        if not feats:
+        if not feats or miss[c] == 0:
             continue
         va = VectorAssembler(inputCols=feats, outputCol="__f")
         data = va.transform(filled.select(*key, *feats)
