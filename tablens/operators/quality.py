@@ -228,27 +228,31 @@ def quality_issues(df: DataFrame, key: str | None = None) -> DataFrame:
 
 
 def integrity_report(df: DataFrame, measures: Sequence[str], label: str | None = None,
-                     allowed: Sequence | None = None, ratios: Sequence[tuple[str, str]] = ()) -> DataFrame:
-    """Missing + duplicates + dtypes + ratio/positivity/domain checks + measurement statistics
-    as one long table ``(section, column_name, metric, value)`` (value as text)."""
+                     allowed: Sequence | None = None, ratios: Sequence[tuple[str, str]] = (),
+                     ratio_limit: float = 10.0) -> DataFrame:
+    """Integrity report as one long table ``(section, column_name, metric, value, detail)``:
+    missing counts, duplicate count, dtypes, constraint checks (value = violations,
+    detail = passed) and measurement statistics (2 dp)."""
     from tablens.operators.stats import measurement_stats
-    parts = [missing_report(df).select(F.lit("missing").alias("section"), "column_name",
-                                       F.lit("missing").alias("metric"), F.col("missing").cast("string").alias("value"))]
-    d = duplicate_report(df)
-    parts.append(d.select(F.lit("duplicates").alias("section"), F.lit(None).cast("string").alias("column_name"),
-                          F.lit("duplicates").alias("metric"), F.col("duplicates").cast("string").alias("value")))
-    parts.append(dataset_summary(df).select(F.lit("dtypes").alias("section"), "column_name",
-                                            F.lit("dtype").alias("metric"), F.col("dtype").alias("value")))
-    checks = [positive_check(df, measures)] + [ratio_check(df, a, b) for a, b in ratios]
+    none = F.lit(None).cast("string")
+    parts = [missing_report(df).select(F.lit("missing").alias("section"), "column_name", F.lit("missing").alias("metric"),
+                                       F.col("missing").cast("double").alias("value"), none.alias("detail"))]
+    parts.append(duplicate_report(df).select(F.lit("duplicates").alias("section"), none.alias("column_name"),
+                                             F.lit("duplicates").alias("metric"),
+                                             F.col("duplicates").cast("double").alias("value"), none.alias("detail")))
+    parts.append(dataset_summary(df).select(F.lit("dtypes").alias("section"), "column_name", F.lit("dtype").alias("metric"),
+                                            F.lit(None).cast("double").alias("value"), F.col("dtype").alias("detail")))
+    checks = [positive_check(df, measures)] + [ratio_check(df, a, b, ratio_limit) for a, b in ratios]
     if label and allowed is not None:
         checks.append(domain_check(df, label, allowed))
     for c in checks:
-        parts.append(c.select(F.lit("constraints").alias("section"), F.lit(None).cast("string").alias("column_name"),
-                              F.col("check").alias("metric"), F.col("passed").cast("string").alias("value")))
+        parts.append(c.select(F.lit("constraints").alias("section"), none.alias("column_name"), F.col("check").alias("metric"),
+                              F.col("violations").cast("double").alias("value"),
+                              F.when(F.col("passed"), "true").otherwise("false").alias("detail")))
     ms = measurement_stats(df, measures)
-    for m in ("min", "max", "mean", "std", "iqr"):
-        parts.append(ms.select(F.lit("measurements").alias("section"), "column_name", F.lit(m).alias("metric"),
-                               F.col(m).cast("string").alias("value")))
+    cells = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in ("min", "max", "mean", "std", "iqr")])
+    parts.append(ms.select("column_name", F.explode(cells).alias("_m")).select(
+        F.lit("measurements").alias("section"), "column_name", "_m.metric", "_m.value", none.alias("detail")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -127,10 +127,16 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def most_least_common(df: DataFrame, column: str) -> DataFrame:
-    """Most and least common value; ties go to the smallest value."""
+    """Most and least common value; ties go to the smallest value.
+
+    Aggregates only (no un-partitioned window): the extreme count is a one-row
+    aggregate attached by broadcast, then ``min(value)`` among the rows holding it.
+    """
     vc = value_counts(df, column)
-    most = vc.withColumn("_r", F.row_number().over(Window.orderBy(F.desc("count"), "value"))).filter("_r = 1")
-    least = vc.withColumn("_r", F.row_number().over(Window.orderBy("count", "value"))).filter("_r = 1")
+    ext = vc.agg(F.max("count").alias("_mx"), F.min("count").alias("_mn"))
+    j = vc.crossJoin(F.broadcast(ext))
+    most = j.filter(F.col("count") == F.col("_mx")).agg(F.min("value").alias("value"), F.max("count").alias("count"))
+    least = j.filter(F.col("count") == F.col("_mn")).agg(F.min("value").alias("value"), F.max("count").alias("count"))
     return most.select(F.lit("most_common").alias("kind"), "value", "count") \
         .unionByName(least.select(F.lit("least_common").alias("kind"), "value", "count"))
 
@@ -280,27 +286,36 @@ def top_missing(df: DataFrame, k: int = 5) -> DataFrame:
     return missing_report(df).filter(F.col("missing") > 0).orderBy(F.desc("missing"), "column_name").limit(k)
 
 
-def insights(df: DataFrame, measures: Sequence[str], label: str, allowed=None) -> DataFrame:
-    """Validity, label distribution, variance ranking, top correlations and IQR outlier counts
-    as one long table ``(section, item, value)``."""
+def insights(df: DataFrame, measures: Sequence[str], label: str, iqr_factor: float = 1.5) -> DataFrame:
+    """Validity, label distribution, variance ranking, top correlations and IQR outlier
+    counts as one long table ``(section, item, value)``."""
     from tablens.operators import outliers as O
     from tablens.operators.quality import positive_check
     parts = [positive_check(df, measures).select(F.lit("validity").alias("section"), F.col("check").alias("item"),
-                                                 F.col("passed").cast("string").alias("value"))]
+                                                 F.col("passed").cast("double").alias("value"))]
     parts.append(value_counts(df, label).select(F.lit("label_counts").alias("section"),
                                                 F.col("value").cast("string").alias("item"),
-                                                F.col("count").cast("string").alias("value")))
+                                                F.col("count").cast("double").alias("value")))
     parts.append(variance_ranking(df, measures).select(F.lit("variance_rank").alias("section"),
                                                        F.col("column_name").alias("item"),
-                                                       F.col("rank").cast("string").alias("value")))
+                                                       F.col("rank").cast("double").alias("value")))
     parts.append(top_correlations(df, measures).select(F.lit("top_correlation").alias("section"),
                                                        F.concat_ws("~", "col1", "col2").alias("item"),
-                                                       F.col("corr").cast("string").alias("value")))
-    b = O.fit_bounds(df, measures, "iqr", min_spread=1e-6, low_spread="omit")
+                                                       F.col("corr").alias("value")))
+    b = O.fit_bounds(df, measures, "iqr", factor=iqr_factor, min_spread=1e-6, low_spread="omit")
     parts.append(O.outlier_counts(df, b).select(F.lit("iqr_outliers").alias("section"),
                                                 F.col("column_name").alias("item"),
-                                                F.col("outlier_count").cast("string").alias("value")))
+                                                F.col("outlier_count").cast("double").alias("value")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def ks_normal(df: DataFrame, column: str) -> DataFrame:
+    """One-sample Kolmogorov–Smirnov test against a normal with the sample mean and std (MLlib)."""
+    from pyspark.ml.stat import KolmogorovSmirnovTest
+    x = df.select(F.col(column).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    m, s = x.agg(F.avg("x"), F.stddev_samp("x")).first()
+    r = KolmogorovSmirnovTest.test(x, "x", "norm", float(m), float(s))
+    return r.select(F.lit(column).alias("column_name"), "statistic", "pValue")

@@ -8,6 +8,7 @@ QUERY_MODULES = (
     "tablens.plans.feature_queries",
     "tablens.plans.time_queries",
     "tablens.plans.pattern_queries",
+    "tablens.plans.report_queries",
 )
 
 
