@@ -9,7 +9,8 @@ No operator sorts a whole series inside one task:
   generated from that pair (chunked, repartitioned) and linearly interpolated;
 * the centred moving average of the decomposition is an aggregate: every point
   adds its weighted value to the ``period + 1`` (or ``period``) targets it belongs to;
-* the DFT multiplies every point with each frequency and aggregates per frequency.
+* the DFT multiplies every point with each frequency and aggregates per frequency
+  (short series) or runs a distributed four-step FFT whose groups hold about √n points.
 """
 
 from __future__ import annotations
@@ -189,18 +190,47 @@ def decompose(regular: DataFrame, period: int, series: Sequence[str] | None = No
 
 # ---------------------------------------------------------------- periodicity
 
+DFT_MAX_POINTS = 4096
+
+
+def _split(n: int) -> int:
+    """Largest divisor of n not above √n (1 when n is prime)."""
+    for d in range(int(n ** 0.5), 1, -1):
+        if n % d == 0:
+            return d
+    return 1
+
+
 def dft_power(regular: DataFrame, series: Sequence[str] | None = None, t: str = "t",
-              value: str = "value") -> DataFrame:
+              value: str = "value", method: str = "auto") -> DataFrame:
     """Power ``|Σ (y−ȳ)·e^{−2πikt/n}|²`` for bins k = 1 … n//2 − 1: ``(series..., n, k, frequency, period, power)``.
 
-    Every point is multiplied with each frequency bin and the products are summed per
-    bin (map-side partial aggregation; the pair stream is never materialised).
+    ``method='dft'``: every point is multiplied with each frequency bin and the products
+    are summed per bin (exact, O(n²) work, partial aggregation; used for short series).
+    ``method='fft'``: distributed four-step FFT for n = n1·n2 — an FFT of length n1 per
+    residue class ``t mod n2`` (``groupBy().applyInPandas``), a twiddle factor, then an FFT
+    of length n2 per output class k1; each group holds about √n points. ``auto`` picks
+    the FFT for series longer than ``DFT_MAX_POINTS`` whose length factorises.
     """
     series = as_list(series)
     x = regular.select(*series, F.col(t).alias("t"), F.col(value).cast("double").alias("y"))
     st = x.groupBy(*series).agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("_m"))
     st = st.filter(F.col("n") >= MIN_FFT_POINTS)
+    if method == "auto":
+        long_series = st.filter(F.col("n") > DFT_MAX_POINTS).select(*series, "n").limit(100_001).collect()
+        method = "fft" if long_series and len(long_series) <= 100_000 and all(
+            _split(r["n"]) > 1 for r in long_series) else "dft"
     j = attach(x, st, series, known_rows=None) if series else x.crossJoin(F.broadcast(st))
+    if method == "fft":
+        # one row per series: (series..., n1, n2) computed on the driver, broadcast back
+        sizes = st.select(*series, "n").limit(100_001).collect()
+        if len(sizes) > 100_000:
+            raise ValueError("too many series for the FFT path; use method='dft'")
+        rows = [(*[r[c] for c in series], _split(r["n"]), r["n"] // _split(r["n"])) for r in sizes]
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in st.select(*series).schema.fields)
+        tbl = x.sparkSession.createDataFrame(rows, (schema + ", " if schema else "") + "_n1 long, _n2 long")
+        j = attach(j, tbl, series, known_rows=len(rows)) if series else j.crossJoin(F.broadcast(tbl))
+        return _fft_power(j, series)
     j = j.filter(F.floor(F.col("n") / 2) - 1 >= 1)
     pairs = j.select(*series, "n", "t", (F.col("y") - F.col("_m")).alias("yc"),
                      F.explode(F.sequence(F.lit(1).cast("long"), F.floor(F.col("n") / 2) - 1)).alias("k"))
@@ -212,15 +242,52 @@ def dft_power(regular: DataFrame, series: Sequence[str] | None = None, t: str =
                     (F.col("re") * F.col("re") + F.col("im") * F.col("im")).alias("power"))
 
 
+def _fft_power(j: DataFrame, series: list[str]) -> DataFrame:
+    import numpy as np
+    import pandas as pd
+
+    j = j.select(*series, "n", "_n1", "_n2", (F.col("y") - F.col("_m")).alias("yc"),
+                 (F.col("t") % F.col("_n2")).alias("t2"), F.floor(F.col("t") / F.col("_n2")).alias("t1"))
+    sk = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in j.select(*series).schema.fields)
+    sk = sk + ", " if sk else ""
+
+    def step_a(pdf: pd.DataFrame) -> pd.DataFrame:
+        n, n1, t2 = int(pdf["n"].iloc[0]), int(pdf["_n1"].iloc[0]), int(pdf["t2"].iloc[0])
+        v = np.zeros(n1, dtype=complex)
+        v[pdf["t1"].to_numpy()] = pdf["yc"].to_numpy()
+        k1 = np.arange(n1)
+        a = np.fft.fft(v) * np.exp(-2j * np.pi * t2 * k1 / n)
+        out = pd.DataFrame({c: pdf[c].iloc[0] for c in series}, index=range(n1))
+        return out.assign(n=n, _n1=n1, _n2=int(pdf["_n2"].iloc[0]), k1=k1, t2=t2, re=a.real, im=a.imag)
+
+    a = j.groupBy(*series, "t2").applyInPandas(
+        step_a, f"{sk}n long, _n1 long, _n2 long, k1 long, t2 long, re double, im double")
+
+    def step_b(pdf: pd.DataFrame) -> pd.DataFrame:
+        n, n1, n2, k1 = (int(pdf[c].iloc[0]) for c in ("n", "_n1", "_n2", "k1"))
+        v = np.zeros(n2, dtype=complex)
+        v[pdf["t2"].to_numpy()] = pdf["re"].to_numpy() + 1j * pdf["im"].to_numpy()
+        xk = np.fft.fft(v)
+        k = k1 + n1 * np.arange(n2)
+        keep = (k >= 1) & (k <= n // 2 - 1)
+        out = pd.DataFrame({c: pdf[c].iloc[0] for c in series}, index=range(int(keep.sum())))
+        return out.assign(n=n, k=k[keep], power=np.abs(xk[keep]) ** 2)
+
+    p = a.groupBy(*series, "k1").applyInPandas(step_b, f"{sk}n long, k long, power double")
+    return p.select(*series, "n", "k", (F.col("k") / F.col("n")).alias("frequency"),
+                    (F.col("n") / F.col("k")).alias("period"), "power")
+
+
 def dominant_periods(regular: DataFrame, series: Sequence[str] | None = None, t: str = "t",
-                     value: str = "value", top: int | None = None, order: str = "frequency") -> DataFrame:
+                     value: str = "value", top: int | None = None, order: str = "frequency",
+                     method: str = "auto") -> DataFrame:
     """Bins whose power exceeds the 95th percentile of bins 1 … n//2 − 1.
 
     ``top`` keeps the first ``top`` bins by frequency (``order='frequency'``) or by
     power (``order='power'``).
     """
     series = as_list(series)
-    p = dft_power(regular, series, t, value)
+    p = dft_power(regular, series, t, value, method)
     thr = quantile_table(p.select(*series, F.col("power").alias("value")), series,
                          {"threshold": FFT_POWER_PERCENTILE}).drop("n")
     d = (attach(p, thr, series, known_rows=None) if series else p.crossJoin(F.broadcast(thr))) \

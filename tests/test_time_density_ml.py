@@ -114,3 +114,17 @@ def test_isolation_forest_flags_planted(spark):
     top = set(r.sort_values("anomaly_score", ascending=False).id.head(10))
     assert len(top & set(range(10))) >= 9
     assert abs(r.is_outlier.mean() - 0.05) < 0.01
+
+
+def test_four_step_fft_equals_dft(spark):
+    rng = np.random.default_rng(21)
+    n = 360  # 18 x 20
+    y = np.sin(2 * np.pi * np.arange(n) / 24) + rng.normal(0, 0.3, n)
+    pdf = pd.DataFrame({"s": np.repeat(["a", "b"], n), "t": np.tile(np.arange(n), 2), "value": np.r_[y, 2 * y]})
+    df = spark.createDataFrame(pdf)
+    fft = TS.dft_power(df, "s", method="fft").toPandas().sort_values(["s", "k"]).reset_index(drop=True)
+    dft = TS.dft_power(df, "s", method="dft").toPandas().sort_values(["s", "k"]).reset_index(drop=True)
+    assert len(fft) == len(dft) == 2 * (n // 2 - 1)
+    assert np.allclose(fft.power.values, dft.power.values, rtol=1e-9)
+    ref = np.abs(np.fft.fft(y - y.mean())) ** 2
+    assert np.allclose(fft[fft.s == "a"].power.values, ref[1:n // 2])
