@@ -207,10 +207,13 @@ def dft_power(regular: DataFrame, series: Sequence[str] | None = None, t: str =
 
     ``method='dft'``: every point is multiplied with each frequency bin and the products
     are summed per bin (exact, O(n²) work, partial aggregation; used for short series).
-    ``method='fft'``: distributed four-step FFT for n = n1·n2 — an FFT of length n1 per
-    residue class ``t mod n2`` (``groupBy().applyInPandas``), a twiddle factor, then an FFT
-    of length n2 per output class k1; each group holds about √n points. ``auto`` picks
-    the FFT for series longer than ``DFT_MAX_POINTS`` whose length factorises.
+    ``method='fft'``: distributed four-step FFT for n = n1·n2 (n1 the largest divisor ≤ √n)
+    — FFTs of length n1 over the residue classes ``t mod n2``, a twiddle factor, then FFTs
+    of length n2 over the output classes k1; classes are batched into ``applyInPandas``
+    groups of about 2²⁰ points and transformed by one vectorised NumPy call per group. A
+    single length-n2 transform stays in one task, so a series whose length has no divisor
+    near √n (n2 ≈ n) is bounded by one task's FFT (NumPy handles any length).
+    ``auto`` picks the FFT for series longer than ``DFT_MAX_POINTS``.
     """
     series = as_list(series)
     x = regular.select(*series, F.col(t).alias("t"), F.col(value).cast("double").alias("y"))
@@ -218,8 +221,7 @@ def dft_power(regular: DataFrame, series: Sequence[str] | None = None, t: str =
     st = st.filter(F.col("n") >= MIN_FFT_POINTS)
     if method == "auto":
         long_series = st.filter(F.col("n") > DFT_MAX_POINTS).select(*series, "n").limit(100_001).collect()
-        method = "fft" if long_series and len(long_series) <= 100_000 and all(
-            _split(r["n"]) > 1 for r in long_series) else "dft"
+        method = "fft" if long_series and len(long_series) <= 100_000 else "dft"
     j = attach(x, st, series, known_rows=None) if series else x.crossJoin(F.broadcast(st))
     if method == "fft":
         # one row per series: (series..., n1, n2) computed on the driver, broadcast back
@@ -242,38 +244,54 @@ def dft_power(regular: DataFrame, series: Sequence[str] | None = None, t: str =
                     (F.col("re") * F.col("re") + F.col("im") * F.col("im")).alias("power"))
 
 
+FFT_POINTS_PER_GROUP = 1 << 20
+
+
 def _fft_power(j: DataFrame, series: list[str]) -> DataFrame:
+    """Four-step FFT: residue classes ``t mod n2`` (length-n1 FFTs, twiddled), then output
+    classes ``k1`` (length-n2 FFTs). Classes are batched into groups of about
+    ``FFT_POINTS_PER_GROUP`` points and transformed with one vectorised NumPy call."""
     import numpy as np
     import pandas as pd
 
     j = j.select(*series, "n", "_n1", "_n2", (F.col("y") - F.col("_m")).alias("yc"),
                  (F.col("t") % F.col("_n2")).alias("t2"), F.floor(F.col("t") / F.col("_n2")).alias("t1"))
+    # classes per group: keep each group near FFT_POINTS_PER_GROUP points
+    j = j.withColumn("_ga", F.col("t2") % F.greatest(F.lit(1), F.floor(F.col("n") / FFT_POINTS_PER_GROUP)))
     sk = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in j.select(*series).schema.fields)
     sk = sk + ", " if sk else ""
 
+    def head(pdf, m):
+        return pd.DataFrame({c: [pdf[c].iloc[0]] * m for c in series}, index=range(m))
+
     def step_a(pdf: pd.DataFrame) -> pd.DataFrame:
-        n, n1, t2 = int(pdf["n"].iloc[0]), int(pdf["_n1"].iloc[0]), int(pdf["t2"].iloc[0])
-        v = np.zeros(n1, dtype=complex)
-        v[pdf["t1"].to_numpy()] = pdf["yc"].to_numpy()
+        n, n1, n2 = (int(pdf[c].iloc[0]) for c in ("n", "_n1", "_n2"))
+        cls, inv = np.unique(pdf["t2"].to_numpy(), return_inverse=True)
+        mat = np.zeros((len(cls), n1), dtype=complex)
+        mat[inv, pdf["t1"].to_numpy()] = pdf["yc"].to_numpy()
         k1 = np.arange(n1)
-        a = np.fft.fft(v) * np.exp(-2j * np.pi * t2 * k1 / n)
-        out = pd.DataFrame({c: pdf[c].iloc[0] for c in series}, index=range(n1))
-        return out.assign(n=n, _n1=n1, _n2=int(pdf["_n2"].iloc[0]), k1=k1, t2=t2, re=a.real, im=a.imag)
+        a = np.fft.fft(mat, axis=1) * np.exp(-2j * np.pi * np.outer(cls, k1) / n)
+        out = head(pdf, a.size)
+        return out.assign(n=n, _n1=n1, _n2=n2, k1=np.tile(k1, len(cls)), t2=np.repeat(cls, n1),
+                          re=a.real.ravel(), im=a.imag.ravel())
 
-    a = j.groupBy(*series, "t2").applyInPandas(
+    a = j.groupBy(*series, "_ga").applyInPandas(
         step_a, f"{sk}n long, _n1 long, _n2 long, k1 long, t2 long, re double, im double")
+    a = a.withColumn("_gb", F.col("k1") % F.greatest(F.lit(1), F.floor(F.col("n") / FFT_POINTS_PER_GROUP)))
 
     def step_b(pdf: pd.DataFrame) -> pd.DataFrame:
-        n, n1, n2, k1 = (int(pdf[c].iloc[0]) for c in ("n", "_n1", "_n2", "k1"))
-        v = np.zeros(n2, dtype=complex)
-        v[pdf["t2"].to_numpy()] = pdf["re"].to_numpy() + 1j * pdf["im"].to_numpy()
-        xk = np.fft.fft(v)
-        k = k1 + n1 * np.arange(n2)
+        n, n1, n2 = (int(pdf[c].iloc[0]) for c in ("n", "_n1", "_n2"))
+        cls, inv = np.unique(pdf["k1"].to_numpy(), return_inverse=True)
+        mat = np.zeros((len(cls), n2), dtype=complex)
+        mat[inv, pdf["t2"].to_numpy()] = pdf["re"].to_numpy() + 1j * pdf["im"].to_numpy()
+        xk = np.fft.fft(mat, axis=1)
+        k = (cls[:, None] + n1 * np.arange(n2)[None, :]).ravel()
+        pw = (np.abs(xk) ** 2).ravel()
         keep = (k >= 1) & (k <= n // 2 - 1)
-        out = pd.DataFrame({c: pdf[c].iloc[0] for c in series}, index=range(int(keep.sum())))
-        return out.assign(n=n, k=k[keep], power=np.abs(xk[keep]) ** 2)
+        out = head(pdf, int(keep.sum()))
+        return out.assign(n=n, k=k[keep], power=pw[keep])
 
-    p = a.groupBy(*series, "k1").applyInPandas(step_b, f"{sk}n long, k long, power double")
+    p = a.groupBy(*series, "_gb").applyInPandas(step_b, f"{sk}n long, k long, power double")
     return p.select(*series, "n", "k", (F.col("k") / F.col("n")).alias("frequency"),
                     (F.col("n") / F.col("k")).alias("period"), "power")
 

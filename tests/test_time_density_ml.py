@@ -128,3 +128,12 @@ def test_four_step_fft_equals_dft(spark):
     assert np.allclose(fft.power.values, dft.power.values, rtol=1e-9)
     ref = np.abs(np.fft.fft(y - y.mean())) ** 2
     assert np.allclose(fft[fft.s == "a"].power.values, ref[1:n // 2])
+
+
+def test_fft_single_series_awkward_length(spark):
+    n = 2 * 211  # 2 x prime: unbalanced split
+    y = np.cos(2 * np.pi * np.arange(n) / 7.0)
+    df = spark.createDataFrame(pd.DataFrame({"t": np.arange(n), "value": y}))
+    fft = TS.dft_power(df, method="fft").toPandas().sort_values("k")
+    ref = np.abs(np.fft.fft(y - y.mean())) ** 2
+    assert np.allclose(fft.power.values, ref[1:n // 2], atol=1e-6)
