@@ -41,19 +41,34 @@ def _vectors(df: DataFrame, columns: Sequence[str], out: str = "features") -> Da
     return VectorAssembler(inputCols=list(columns), outputCol=out).transform(df)
 
 
+FIT_THREADS = 8
+
+
+def _fit_many(data: DataFrame, specs: list[tuple[int, int]], max_iter: int):
+    """Fit k-means for every ``(k, seed)``; the fits are independent Spark jobs submitted
+    from a small thread pool so they share the cluster instead of queueing."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark.ml.clustering import KMeans
+
+    def fit(spec):
+        k, seed = spec
+        m = KMeans(k=k, seed=seed, maxIter=max_iter, initMode="k-means||").fit(data)
+        return k, seed, m, m.summary.trainingCost
+
+    with ThreadPoolExecutor(max_workers=min(FIT_THREADS, len(specs))) as ex:
+        return list(ex.map(fit, specs))
+
+
 def kmeans_best(df: DataFrame, columns: Sequence[str], k: int, starts: int = KMEANS_STARTS,
                 seed: int = KMEANS_SEED, max_iter: int = 300):
-    """Best of ``starts`` k-means fits (lowest training cost); returns the model and its cost."""
-    from pyspark.ml.clustering import KMeans
+    """Best of ``starts`` k-means fits (lowest training cost, ties → lowest seed);
+    returns the model and its cost."""
     data = _vectors(df, columns).select("features").cache()
     try:
-        best = None
-        for i in range(starts):
-            m = KMeans(k=k, seed=seed + i, maxIter=max_iter, initMode="k-means||").fit(data)
-            cost = m.summary.trainingCost
-            if best is None or cost < best[1]:
-                best = (m, cost)
-        return best
+        fits = _fit_many(data, [(k, seed + i) for i in range(starts)], max_iter)
+        _, _, m, cost = min(fits, key=lambda f: (f[3], f[1]))
+        return m, cost
     finally:
         data.unpersist()
 
@@ -118,9 +133,14 @@ def inertia_curve(df: DataFrame, columns: Sequence[str], max_clusters: int = MAX
     kmax = min(max_clusters, n // ELBOW_ROWS_PER_K, MAX_CLUSTERS)
     sse1 = df.agg(sum(F.var_pop(c) * F.count(c) for c in columns)).first()[0]
     rows = [(1, float(sse1))]
-    for k in range(2, kmax + 1):
-        _, cost = kmeans_best(df, columns, k, starts, seed)
-        rows.append((k, float(cost)))
+    if kmax >= 2:
+        data = _vectors(df, columns).select("features").cache()
+        try:
+            fits = _fit_many(data, [(k, seed + i) for k in range(2, kmax + 1) for i in range(starts)], 300)
+        finally:
+            data.unpersist()
+        for k in range(2, kmax + 1):
+            rows.append((k, float(min(f[3] for f in fits if f[0] == k))))
     return df.sparkSession.createDataFrame(rows[:max(kmax, 1)], "k int, inertia double")
 
 

@@ -34,6 +34,9 @@ def register(name: str, sql: str | None = None):
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """Read a driver table; pins the session time zone the time operators assume."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
