@@ -78,8 +78,10 @@ def impute_median(df: DataFrame, columns: Sequence[str] | None = None, group=Non
     """Missing → exact median of the column (within the group when ``group`` is set)."""
     group = as_list(group)
     columns = as_list(columns) or numeric_columns(df, exclude=group)
-    lf = long_form(df.filter(F.lit(True) if not group else F.col(group[0]).isNotNull()),
-                   columns, ids=group, variable="column_name")
+    base = df
+    for g in group:
+        base = base.filter(F.col(g).isNotNull())
+    lf = long_form(base, columns, ids=group, variable="column_name")
     med = quantile_table(lf, group + ["column_name"], {"m": 0.5}, method=quantile_method)
     wide = med.groupBy(*group).agg(*[F.max(F.when(F.col("column_name") == c, F.col("m"))).alias(f"{c}__fill")
                                      for c in columns])
