@@ -191,6 +191,7 @@ def decompose(regular: DataFrame, period: int, series: Sequence[str] | None = No
 # ---------------------------------------------------------------- periodicity
 
 DFT_MAX_POINTS = 4096
+FFT_POINTS_PER_GROUP = 1 << 20
 
 
 def _split(n: int) -> int:
@@ -202,7 +203,7 @@ def _split(n: int) -> int:
 
 
 def dft_power(regular: DataFrame, series: Sequence[str] | None = None, t: str = "t",
-              value: str = "value", method: str = "auto") -> DataFrame:
+              value: str = "value", method: str = "auto", max_class_points: int = FFT_POINTS_PER_GROUP) -> DataFrame:
     """Power ``|Σ (y−ȳ)·e^{−2πikt/n}|²`` for bins k = 1 … n//2 − 1: ``(series..., n, k, frequency, period, power)``.
 
     ``method='dft'``: every point is multiplied with each frequency bin and the products
@@ -224,15 +225,7 @@ def dft_power(regular: DataFrame, series: Sequence[str] | None = None, t: str =
         method = "fft" if long_series and len(long_series) <= 100_000 else "dft"
     j = attach(x, st, series, known_rows=None) if series else x.crossJoin(F.broadcast(st))
     if method == "fft":
-        # one row per series: (series..., n1, n2) computed on the driver, broadcast back
-        sizes = st.select(*series, "n").limit(100_001).collect()
-        if len(sizes) > 100_000:
-            raise ValueError("too many series for the FFT path; use method='dft'")
-        rows = [(*[r[c] for c in series], _split(r["n"]), r["n"] // _split(r["n"])) for r in sizes]
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in st.select(*series).schema.fields)
-        tbl = x.sparkSession.createDataFrame(rows, (schema + ", " if schema else "") + "_n1 long, _n2 long")
-        j = attach(j, tbl, series, known_rows=len(rows)) if series else j.crossJoin(F.broadcast(tbl))
-        return _fft_power(j, series)
+        return _fft_power(j, series, _plan_fft(st, series, max_class_points))
     j = j.filter(F.floor(F.col("n") / 2) - 1 >= 1)
     pairs = j.select(*series, "n", "t", (F.col("y") - F.col("_m")).alias("yc"),
                      F.explode(F.sequence(F.lit(1).cast("long"), F.floor(F.col("n") / 2) - 1)).alias("k"))
@@ -244,56 +237,115 @@ def dft_power(regular: DataFrame, series: Sequence[str] | None = None, t: str =
                     (F.col("re") * F.col("re") + F.col("im") * F.col("im")).alias("power"))
 
 
-FFT_POINTS_PER_GROUP = 1 << 20
-
-
-def _fft_power(j: DataFrame, series: list[str]) -> DataFrame:
-    """Four-step FFT: residue classes ``t mod n2`` (length-n1 FFTs, twiddled), then output
-    classes ``k1`` (length-n2 FFTs). Classes are batched into groups of about
-    ``FFT_POINTS_PER_GROUP`` points and transformed with one vectorised NumPy call."""
+def _plan_fft(st: DataFrame, series: list[str], max_class_points: int) -> DataFrame:
+    """Per series: transform length and its split. A length whose split leaves more than
+    ``max_class_points`` points in one class goes through Bluestein's chirp-z transform
+    on the next power of two ≥ 2n − 1 (balanced split)."""
+    sizes = st.select(*series, "n").limit(100_001).collect()
+    if len(sizes) > 100_000:
+        raise ValueError("too many series for the FFT path; use method='dft'")
+    rows = []
+    for r in sizes:
+        n = r["n"]
+        n1 = _split(n)
+        if n // n1 <= max_class_points:
+            rows.append((*[r[c] for c in series], "direct", n, n1, n // n1))
+        else:
+            m = 1 << (2 * n - 2).bit_length()
+            m1 = 1 << ((m.bit_length() - 1) // 2)
+            rows.append((*[r[c] for c in series], "bluestein", m, m1, m // m1))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in st.select(*series).schema.fields)
+    return st.sparkSession.createDataFrame(
+        rows, (schema + ", " if schema else "") + "_mode string, _L long, _n1 long, _n2 long")
+
+
+def _four_step(x: DataFrame, series: list[str], inverse: bool = False) -> DataFrame:
+    """Distributed FFT of length ``_L = _n1·_n2`` per series over ``(series..., _L, _n1, _n2, t, re, im)``
+    (absent indices are zeros). Returns ``(series..., _L, k, re, im)``; ``inverse`` includes 1/L.
+
+    Residue classes ``t mod _n2`` get length-n1 FFTs and a twiddle, then output classes k1
+    get length-n2 FFTs; classes are batched into groups of about ``FFT_POINTS_PER_GROUP``
+    points and transformed by one vectorised NumPy call per group."""
     import numpy as np
     import pandas as pd
 
-    j = j.select(*series, "n", "_n1", "_n2", (F.col("y") - F.col("_m")).alias("yc"),
+    sgn = -1.0 if inverse else 1.0
+    x = x.select(*series, "_L", "_n1", "_n2", "re", (F.col("im") * sgn).alias("im"),
                  (F.col("t") % F.col("_n2")).alias("t2"), F.floor(F.col("t") / F.col("_n2")).alias("t1"))
-    # classes per group: keep each group near FFT_POINTS_PER_GROUP points
-    j = j.withColumn("_ga", F.col("t2") % F.greatest(F.lit(1), F.floor(F.col("n") / FFT_POINTS_PER_GROUP)))
-    sk = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in j.select(*series).schema.fields)
+    x = x.withColumn("_ga", F.col("t2") % F.greatest(F.lit(1), F.floor(F.col("_L") / FFT_POINTS_PER_GROUP)))
+    sk = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in x.select(*series).schema.fields)
     sk = sk + ", " if sk else ""
 
     def head(pdf, m):
         return pd.DataFrame({c: [pdf[c].iloc[0]] * m for c in series}, index=range(m))
 
     def step_a(pdf: pd.DataFrame) -> pd.DataFrame:
-        n, n1, n2 = (int(pdf[c].iloc[0]) for c in ("n", "_n1", "_n2"))
+        L, n1, n2 = (int(pdf[c].iloc[0]) for c in ("_L", "_n1", "_n2"))
         cls, inv = np.unique(pdf["t2"].to_numpy(), return_inverse=True)
         mat = np.zeros((len(cls), n1), dtype=complex)
-        mat[inv, pdf["t1"].to_numpy()] = pdf["yc"].to_numpy()
+        mat[inv, pdf["t1"].to_numpy()] = pdf["re"].to_numpy() + 1j * pdf["im"].to_numpy()
         k1 = np.arange(n1)
-        a = np.fft.fft(mat, axis=1) * np.exp(-2j * np.pi * np.outer(cls, k1) / n)
-        out = head(pdf, a.size)
-        return out.assign(n=n, _n1=n1, _n2=n2, k1=np.tile(k1, len(cls)), t2=np.repeat(cls, n1),
-                          re=a.real.ravel(), im=a.imag.ravel())
+        a = np.fft.fft(mat, axis=1) * np.exp(-2j * np.pi * np.outer(cls, k1) / L)
+        return head(pdf, a.size).assign(_L=L, _n1=n1, _n2=n2, k1=np.tile(k1, len(cls)), t2=np.repeat(cls, n1),
+                                        re=a.real.ravel(), im=a.imag.ravel())
 
-    a = j.groupBy(*series, "_ga").applyInPandas(
-        step_a, f"{sk}n long, _n1 long, _n2 long, k1 long, t2 long, re double, im double")
-    a = a.withColumn("_gb", F.col("k1") % F.greatest(F.lit(1), F.floor(F.col("n") / FFT_POINTS_PER_GROUP)))
+    a = x.groupBy(*series, "_ga").applyInPandas(
+        step_a, f"{sk}_L long, _n1 long, _n2 long, k1 long, t2 long, re double, im double")
+    a = a.withColumn("_gb", F.col("k1") % F.greatest(F.lit(1), F.floor(F.col("_L") / FFT_POINTS_PER_GROUP)))
 
     def step_b(pdf: pd.DataFrame) -> pd.DataFrame:
-        n, n1, n2 = (int(pdf[c].iloc[0]) for c in ("n", "_n1", "_n2"))
+        L, n1, n2 = (int(pdf[c].iloc[0]) for c in ("_L", "_n1", "_n2"))
         cls, inv = np.unique(pdf["k1"].to_numpy(), return_inverse=True)
         mat = np.zeros((len(cls), n2), dtype=complex)
         mat[inv, pdf["t2"].to_numpy()] = pdf["re"].to_numpy() + 1j * pdf["im"].to_numpy()
         xk = np.fft.fft(mat, axis=1)
+        if inverse:
+            xk = np.conj(xk) / L
         k = (cls[:, None] + n1 * np.arange(n2)[None, :]).ravel()
-        pw = (np.abs(xk) ** 2).ravel()
-        keep = (k >= 1) & (k <= n // 2 - 1)
-        out = head(pdf, int(keep.sum()))
-        return out.assign(n=n, k=k[keep], power=pw[keep])
-
-    p = a.groupBy(*series, "_gb").applyInPandas(step_b, f"{sk}n long, k long, power double")
-    return p.select(*series, "n", "k", (F.col("k") / F.col("n")).alias("frequency"),
-                    (F.col("n") / F.col("k")).alias("period"), "power")
+        return head(pdf, xk.size).assign(_L=L, k=k, re=xk.real.ravel(), im=xk.imag.ravel())
+
+    return a.groupBy(*series, "_gb").applyInPandas(step_b, f"{sk}_L long, k long, re double, im double")
+
+
+def _fft_power(j: DataFrame, series: list[str], plan: DataFrame) -> DataFrame:
+    """|X_k|² for k = 1 … n//2 − 1 of the demeaned series, direct or via Bluestein."""
+    j = j.select(*series, "n", "t", (F.col("y") - F.col("_m")).alias("yc"))
+    j = attach(j, plan, series, known_rows=None) if series else j.crossJoin(F.broadcast(plan))
+    keep = (F.col("k") >= 1) & (F.col("k") <= F.floor(F.col("n") / 2) - 1)
+    ns = j.select(*series, "n").distinct()
+
+    direct = j.filter(F.col("_mode") == "direct").select(*series, "_L", "_n1", "_n2", "t",
+                                                         F.col("yc").alias("re"), F.lit(0.0).alias("im"))
+    d = _four_step(direct, series).withColumn("n", F.col("_L"))
+
+    # Bluestein: X_k = w*_k · Σ_t (y_t w*_t) w_{k−t}, w_j = e^{iπj²/n}; |X_k|² = |(a ⊛ b)_k|²
+    blu = j.filter(F.col("_mode") == "bluestein")
+    ph = F.lit(3.141592653589793) * ((F.col("t") * F.col("t")) % (2 * F.col("n"))) / F.col("n")
+    a = blu.select(*series, "_L", "_n1", "_n2", "t", (F.col("yc") * F.cos(ph)).alias("re"),
+                   (-F.col("yc") * F.sin(ph)).alias("im"))
+    bl = blu.select(*series, "n", "_L", "_n1", "_n2").distinct() \
+        .withColumn("_lo", F.lit(0).cast("long")).withColumn("_hi", F.col("n") - 1)
+    bj = _chunked_range(bl, "_lo", "_hi", "j", series)
+    phj = F.lit(3.141592653589793) * ((F.col("j") * F.col("j")) % (2 * F.col("n"))) / F.col("n")
+    b = bj.select(*series, "_L", "_n1", "_n2", F.explode(F.array(
+        F.struct(F.col("j").alias("t"), F.cos(phj).alias("re"), F.sin(phj).alias("im")),
+        F.struct(F.when(F.col("j") > 0, F.col("_L") - F.col("j")).alias("t"), F.cos(phj).alias("re"),
+                 F.sin(phj).alias("im")))).alias("_b")).select(*series, "_L", "_n1", "_n2", "_b.*") \
+        .filter(F.col("t").isNotNull())
+    fa = _four_step(a, series).select(*series, "_L", "k", F.col("re").alias("ar"), F.col("im").alias("ai"))
+    fb = _four_step(b, series).select(*series, "_L", "k", F.col("re").alias("br"), F.col("im").alias("bi"))
+    prod = fa.join(fb, [*series, "_L", "k"]).select(
+        *series, "_L", F.col("k").alias("t"),
+        (F.col("ar") * F.col("br") - F.col("ai") * F.col("bi")).alias("re"),
+        (F.col("ar") * F.col("bi") + F.col("ai") * F.col("br")).alias("im"))
+    prod = attach(prod, plan.select(*series, "_L", "_n1", "_n2"), [*series, "_L"], known_rows=None)
+    conv = _four_step(prod, series, inverse=True)
+    conv = attach(conv, ns, series, known_rows=None) if series else conv.crossJoin(F.broadcast(ns))
+    out = d.unionByName(conv.select(*series, "_L", "k", "re", "im", "n"))
+    out = out.filter(keep)
+    return out.select(*series, "n", "k", (F.col("k") / F.col("n")).alias("frequency"),
+                      (F.col("n") / F.col("k")).alias("period"),
+                      (F.col("re") * F.col("re") + F.col("im") * F.col("im")).alias("power"))
 
 
 def dominant_periods(regular: DataFrame, series: Sequence[str] | None = None, t: str = "t",

@@ -137,3 +137,15 @@ def test_fft_single_series_awkward_length(spark):
     fft = TS.dft_power(df, method="fft").toPandas().sort_values("k")
     ref = np.abs(np.fft.fft(y - y.mean())) ** 2
     assert np.allclose(fft.power.values, ref[1:n // 2], atol=1e-6)
+
+
+@pytest.mark.parametrize("n", [97, 2 * 53])
+def test_bluestein_matches_numpy(spark, n):
+    rng = np.random.default_rng(n)
+    y = np.sin(2 * np.pi * np.arange(n) / 5.0) + rng.normal(0, 0.2, n)
+    pdf = pd.DataFrame({"s": np.repeat(["a", "b"], n), "t": np.tile(np.arange(n), 2), "value": np.r_[y, -y]})
+    got = TS.dft_power(spark.createDataFrame(pdf), "s", method="fft", max_class_points=8) \
+        .toPandas().sort_values(["s", "k"])
+    ref = np.abs(np.fft.fft(y - y.mean())) ** 2
+    for s in ("a", "b"):
+        assert np.allclose(got[got.s == s].power.values, ref[1:n // 2], rtol=1e-7, atol=1e-7)
