@@ -79,6 +79,8 @@ def fit_forest(df: DataFrame, columns: Sequence[str], key, n_trees: int = N_TREE
                max_samples: int = MAX_SAMPLES, seed: int = SEED) -> tuple[DataFrame, int]:
     """Grow the forest; returns the node table and the subsample size ψ."""
     from pyspark.sql import Window
+    from tablens.session import ship_package
+    ship_package(df.sparkSession)
     key = as_list(key)
     n = df.count()
     psi = int(min(max_samples, n))
@@ -99,6 +101,8 @@ def fit_forest(df: DataFrame, columns: Sequence[str], key, n_trees: int = N_TREE
 
 def score(df: DataFrame, nodes: DataFrame, columns: Sequence[str], key, psi: int) -> DataFrame:
     """Anomaly score ``2^(−E[h(x)]/c(ψ))`` per row: ``(key..., anomaly_score)``."""
+    from tablens.session import ship_package
+    ship_package(df.sparkSession)
     key = as_list(key)
     table = nodes.toPandas()  # bounded: ≤ trees × 2ψ rows
     bc = df.sparkSession.sparkContext.broadcast(table)

@@ -269,6 +269,8 @@ def _four_step(x: DataFrame, series: list[str], inverse: bool = False) -> DataFr
     import numpy as np
     import pandas as pd
 
+    from tablens.session import ship_package
+    ship_package(x.sparkSession)
     sgn = -1.0 if inverse else 1.0
     x = x.select(*series, "_L", "_n1", "_n2", "re", (F.col("im") * sgn).alias("im"),
                  (F.col("t") % F.col("_n2")).alias("t2"), F.floor(F.col("t") / F.col("_n2")).alias("t1"))

@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablens.session import ship_package
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 REGISTRY: dict[str, QueryFn] = {}
@@ -37,6 +39,7 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """Read a driver table; pins the session time zone the time operators assume."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 

@@ -14,6 +14,18 @@ HEAVY = {"kmeans_embeddings", "elbow_curve_embeddings", "random_forest_imputed_l
          "random_forest_label_imputed_events"}
 
 
+def test_entry_runs_in_a_fresh_process():
+    """The driver may call entry() before queries(): run it in a new interpreter."""
+    import subprocess
+    code = ("import sys; sys.path.insert(0, %r); from pyspark.sql import SparkSession; "
+            "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate(); "
+            "import __spark_entry__ as E; print(len(E.entry(s).collect())); "
+            "print(E.queries()['isolation_forest_events'](s, %r).count())") % (os.path.dirname(E.__file__), SF_SMALL)
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=600, cwd="/")
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert out.stdout.strip().splitlines()[-2:] == ["5", "1000"]
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     rows = df.collect()
