@@ -259,7 +259,8 @@ from c
 def second_difference_monthly_orders(spark, sf):
     """Second difference of a short curve (the elbow rule's kink test) on monthly order counts."""
     o = load(spark, sf, "orders")
-    c = o.groupBy(F.month("o_orderdate").alias("k")).agg(F.count(F.lit(1)).cast("double").alias("inertia"))
+    c = o.groupBy(F.month("o_orderdate").cast("bigint").alias("k")) \
+        .agg(F.count(F.lit(1)).cast("double").alias("inertia"))
     return M.second_difference(c)
 
 
