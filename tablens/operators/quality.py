@@ -30,13 +30,6 @@ def _is_missing(df: DataFrame, c: str):
     return x.isNull()
 
 
-def _stack(one_row: DataFrame, columns: list[str], fields: list[str]) -> DataFrame:
-    """Turn a one-row frame with ``{field}__{column}`` cells into ``(column_name, field...)``."""
-    structs = [F.struct(F.lit(c).alias("column_name"),
-                        *[F.col(f"{f}__{c}").alias(f) for f in fields]) for c in columns]
-    return one_row.select(F.explode(F.array(*structs)).alias("_s")).select("_s.*")
-
-
 def missing_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(column_name, missing, missing_pct)``; pct = 100·missing/rows, half-even to 2 dp."""
     columns = as_list(columns) or df.columns
@@ -133,11 +126,6 @@ def domain_check(df: DataFrame, column: str, allowed: Sequence) -> DataFrame:
 
 # ---------------------------------------------------------------- issue detection
 
-def _text_long(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.select(*[F.col(c).cast("string").alias(c) for c in columns]) \
-        .unpivot([], columns, "column_name", "value").filter(F.col("value").isNotNull())
-
-
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(column_name, n_unique)``: distinct non-missing values per column (two grouped shuffles)."""
     columns = as_list(columns) or df.columns

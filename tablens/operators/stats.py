@@ -17,7 +17,6 @@ from tablens.functions.frames import as_list, long_form, numeric_columns, string
 from tablens.functions.numeric import inv_norm_cdf, safe_corr
 from tablens.functions.quantiles import quantile_table
 from tablens.functions.ranking import rank_distinct
-from tablens.session import materialize
 
 # Report limits.
 PROFILE_PROBS = {"p05": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}

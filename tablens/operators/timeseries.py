@@ -156,16 +156,21 @@ def resample(df: DataFrame, ts: str, value: str, step_seconds: int, series: Sequ
 
 # ---------------------------------------------------------------- decomposition
 
-def decompose(regular: DataFrame, period: int, series: Sequence[str] | None = None, t: str = "t",
-              value: str = "value") -> DataFrame:
+def decompose(regular: DataFrame, period: int | None = None, series: Sequence[str] | None = None, t: str = "t",
+              value: str = "value", step_seconds: int | None = None) -> DataFrame:
     """Additive decomposition of a regular series ``(series..., t, value)``.
 
     trend: centred moving average of ``period`` points (even period: 2×MA, end weights
     ½), NULL where the window is incomplete; seasonal: mean detrended value per phase
     ``t mod period`` minus the mean of the phase means; resid = value − trend − seasonal.
-    Needs at least two full periods.
+    ``period`` defaults from the resampling step (1 s / 1 min → 60, 1 h → 24, 1 day → 7).
+    Series shorter than ``max(12, 2·period)`` points are left out.
     """
     series = as_list(series)
+    if period is None:
+        if step_seconds not in PERIOD_BY_STEP:
+            raise ValueError("give a period or one of the resampling steps " + str(sorted(PERIOD_BY_STEP)))
+        period = PERIOD_BY_STEP[step_seconds]
     h = period // 2
     if period % 2:
         offs = [(o, 1.0 / period) for o in range(-h, h + 1)]
@@ -173,6 +178,9 @@ def decompose(regular: DataFrame, period: int, series: Sequence[str] | None = No
         offs = [(o, (0.5 if abs(o) == h else 1.0) / period) for o in range(-h, h + 1)]
     n_win = len(offs)
     x = regular.select(*series, F.col(t).alias("t"), F.col(value).cast("double").alias("y"))
+    sizes = x.groupBy(*series).agg(F.count(F.lit(1)).alias("_len")) \
+        .filter(F.col("_len") >= max(MIN_DECOMPOSE_POINTS, 2 * period)).drop("_len")
+    x = x.join(sizes, series, "left_semi") if series else x.crossJoin(F.broadcast(sizes.limit(1)))
     contrib = x.select(*series, "y", "t", F.explode(F.array(*[
         F.struct(F.lit(o).alias("o"), F.lit(w).alias("w")) for o, w in offs])).alias("_ow"))
     trend = contrib.select(*series, (F.col("t") - F.col("_ow.o")).alias("t"), (F.col("_ow.w") * F.col("y")).alias("wy")) \
