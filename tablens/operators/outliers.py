@@ -307,3 +307,18 @@ def removal_report(before: DataFrame, after: DataFrame) -> DataFrame:
     a = after.agg(F.count(F.lit(1)).alias("rows_after"))
     return b.crossJoin(a).withColumn("rows_removed", F.col("rows_before") - F.col("rows_after")) \
         .withColumn("n_columns", F.lit(len(after.columns)).cast("long"))
+
+
+def outlier_analysis(df: DataFrame, columns=None, factor: float = IQR_FACTOR, min_spread: float = 1e-6) -> DataFrame:
+    """IQR summary per column: ``(column_name, outlier_count, outlier_pct, lower, upper)``.
+
+    Columns with IQR below ``min_spread`` are left out; the percentage is over all rows
+    (missing included), half-even to 2 dp, and the bounds are rounded to 2 dp.
+    """
+    b = fit_bounds(df, columns, "iqr", factor=factor, min_spread=min_spread, low_spread="omit")
+    c = outlier_counts(df, b)
+    n = df.agg(F.count(F.lit(1)).alias("_rows"))
+    return c.crossJoin(F.broadcast(n)).select(
+        "column_name", "outlier_count",
+        F.bround(F.col("outlier_count") * 100.0 / F.col("_rows"), 2).alias("outlier_pct"),
+        F.bround("lower", 2).alias("lower"), F.bround("upper", 2).alias("upper"))

@@ -215,3 +215,23 @@ def iqr_imputed_events(spark, sf):
     b = O.fit_bounds(ev, ["value"], "iqr", "event_type")
     out = O.impute_outliers(ev, b, "event_type", ["value"])
     return out.select("event_id", "event_type", r6("value").alias("value"))
+
+
+@register("outlier_analysis_orders", """
+with l as (select column_name, value from orders unpivot (value for column_name in (o_totalprice, o_custkey))),
+b as (select column_name, quantile_cont(value, 0.25) as q1, quantile_cont(value, 0.75) as q3 from l group by 1
+      having quantile_cont(value, 0.75) - quantile_cont(value, 0.25) >= 1e-6),
+n as (select count(*) as n from orders)
+select b.column_name,
+       cast(count(*) filter (where l.value < q1 - 0.1 * (q3 - q1) or l.value > q3 + 0.1 * (q3 - q1)) as bigint)
+         as outlier_count,
+       round_even(100.0 * count(*) filter (where l.value < q1 - 0.1 * (q3 - q1) or l.value > q3 + 0.1 * (q3 - q1))
+                  / any_value(n.n), 2) as outlier_pct,
+       round_even(any_value(q1 - 0.1 * (q3 - q1)), 2) as lower, round_even(any_value(q3 + 0.1 * (q3 - q1)), 2) as upper
+from b join l on l.column_name = b.column_name cross join n
+group by b.column_name
+""")
+def outlier_analysis_orders(spark, sf):
+    """IQR outlier summary: count, percentage of rows, rounded bounds (factor 0.1)."""
+    o = load(spark, sf, "orders").withColumn("o_custkey", F.col("o_custkey").cast("double"))
+    return O.outlier_analysis(o, ["o_totalprice", "o_custkey"], factor=0.1)
