@@ -15,7 +15,7 @@ from tablens.functions.frames import as_list, long_form, numeric_columns
 from tablens.functions.joins import attach
 from tablens.functions.numeric import nan_to_null
 from tablens.functions.quantiles import quantile_table
-from tablens.session import materialize
+from tablens.session import compact
 
 
 # ---------------------------------------------------------------- filters
@@ -85,7 +85,7 @@ def impute_median(df: DataFrame, columns: Sequence[str] | None = None, group=Non
     med = quantile_table(lf, group + ["column_name"], {"m": 0.5}, method=quantile_method)
     wide = med.groupBy(*group).agg(*[F.max(F.when(F.col("column_name") == c, F.col("m"))).alias(f"{c}__fill")
                                      for c in columns])
-    wide = materialize(wide)
+    wide, _ = compact(wide)
     return _fill(df, wide, group, columns, "__fill")
 
 

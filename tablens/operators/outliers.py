@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tablens.functions.frames import as_list, long_form, numeric_columns, row_key
 from tablens.functions.joins import attach
 from tablens.functions.quantiles import quantile_table
-from tablens.session import materialize
+from tablens.session import compact
 
 # Default limits of the detectors.
 IQR_FACTOR = 1.5
@@ -90,8 +90,7 @@ def fit_bounds(df: DataFrame, columns: Sequence[str] | None = None, method: str
             skip_spread = F.coalesce(F.abs(F.col("spread")) < F.lit(min_spread), F.lit(True))
     else:  # modified_zscore
         med = quantile_table(lf, keys, {"center": 0.5}, method=quantile_method)
-        n_med = med._tablens_meta["rows"]
-        med = materialize(med)
+        med, n_med = compact(med)
         dev = attach(lf.filter(F.col("value").isNotNull()), med.select(*keys, "center"), keys,
                      known_rows=n_med) \
             .select(*keys, F.abs(F.col("value") - F.col("center")).alias("value"))
@@ -113,9 +112,9 @@ def fit_bounds(df: DataFrame, columns: Sequence[str] | None = None, method: str
         .withColumn("threshold", F.lit(thr))
     if low_spread == "omit":
         out = out.filter(~F.col("skipped"))
-    out = materialize(out.select(*keys, "method", "n", "center", "spread", "threshold",
-                                 "lower", "upper", "skipped"))
-    out._tablens_meta = {"method": method, "columns": columns, "group": group, "rows": out.count()}
+    out, rows = compact(out.select(*keys, "method", "n", "center", "spread", "threshold",
+                                   "lower", "upper", "skipped"))
+    out._tablens_meta = {"method": method, "columns": columns, "group": group, "rows": rows}
     return out
 
 

@@ -94,3 +94,21 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, root))
     sc.addPyFile(path)
     _SHIPPED.add(app)
+
+
+# Row limit under which a fitted table is pulled into a local relation (one bounded job)
+# instead of being checkpointed (a write plus a read-back).
+LOCAL_FITTED_ROWS = 10_000
+
+
+def compact(df: DataFrame, max_rows: int = LOCAL_FITTED_ROWS) -> tuple[DataFrame, int]:
+    """Materialise a fitted table once; returns ``(table, rows)``.
+
+    At most ``max_rows`` rows (checked with a ``limit`` job) become a local relation;
+    anything larger is cut with a reliable checkpoint and counted.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) <= max_rows:
+        return df.sparkSession.createDataFrame(rows, df.schema), len(rows)
+    out = materialize(df)
+    return out, out.count()
