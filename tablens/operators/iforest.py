@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablens.functions.frames import as_list
+from tablens.functions.joins import attach
 from tablens.functions.quantiles import quantile_table
 
 # Forest defaults.
@@ -44,6 +45,30 @@ def _c(n):
     return out
 
 
+def _tree_arrays(nodes: pd.DataFrame) -> list:
+    """Per tree: node arrays indexed by node id."""
+    out = []
+    for _, g in nodes.groupby("tree"):
+        g = g.set_index("node").sort_index()
+        out.append(tuple(g[c].to_numpy() for c in ("feature", "threshold", "left", "right", "size", "depth")))
+    return out
+
+
+def _mean_path(X: np.ndarray, trees: list) -> np.ndarray:
+    """Average path length (with the c(size) leaf correction) of every row over all trees."""
+    total = np.zeros(len(X))
+    for feat, thr, left, right, size, depth in trees:
+        pos = np.zeros(len(X), dtype=int)
+        active = feat[pos] >= 0
+        while active.any():
+            a = np.flatnonzero(active)
+            go_left = X[a, feat[pos[a]]] < thr[pos[a]]
+            pos[a] = np.where(go_left, left[pos[a]], right[pos[a]])
+            active = feat[pos] >= 0
+        total += depth[pos] + _c(size[pos])
+    return total / max(len(trees), 1)
+
+
 def _grow(features: list[str], max_depth: int, seed: int):
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
@@ -110,30 +135,10 @@ def score(df: DataFrame, nodes: DataFrame, columns: Sequence[str], key, psi: int
     cols = list(columns)
 
     def walk(it):
-        t = bc.value
-        groups = {tid: g.set_index("node").sort_index() for tid, g in t.groupby("tree")}
+        trees = _tree_arrays(bc.value)
         for pdf in it:
-            X = pdf[cols].to_numpy(dtype=float)
-            total = np.zeros(len(X))
-            for g in groups.values():
-                feat = g["feature"].to_numpy()
-                thr = g["threshold"].to_numpy()
-                left = g["left"].to_numpy()
-                right = g["right"].to_numpy()
-                size = g["size"].to_numpy()
-                depth = g["depth"].to_numpy()
-                pos = np.zeros(len(X), dtype=int)
-                active = feat[pos] >= 0
-                while active.any():
-                    a = np.flatnonzero(active)
-                    f = feat[pos[a]]
-                    go_left = X[a, f] < thr[pos[a]]
-                    pos[a] = np.where(go_left, left[pos[a]], right[pos[a]])
-                    active = feat[pos] >= 0
-                total += depth[pos] + _c(size[pos])
-            eh = total / len(groups)
             out = pdf[key].copy()
-            out["anomaly_score"] = np.power(2.0, -eh / cpsi)
+            out["anomaly_score"] = np.power(2.0, -_mean_path(pdf[cols].to_numpy(dtype=float), trees) / cpsi)
             yield out
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*key).schema.fields)
@@ -166,3 +171,80 @@ def isolation_forest(df: DataFrame, columns: Sequence[str], key, contamination:
     j = s.crossJoin(F.broadcast(thr))
     return j.select(*key, "anomaly_score", (F.col("threshold") - F.col("anomaly_score")).alias("decision"),
                     (F.col("anomaly_score") > F.col("threshold")).alias("is_outlier"))
+
+
+SLICE_ROWS = 1_000_000
+
+
+def isolation_forest_by_group(df: DataFrame, columns: Sequence[str], key, group,
+                              contamination: float = CONTAMINATION, n_trees: int = N_TREES,
+                              max_samples: int = MAX_SAMPLES, seed: int = SEED,
+                              slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """One isolation forest per group (raw columns, complete rows), flags per group.
+
+    Trees are keyed by (group, tree) with a per-group subsample rate; scoring cogroups
+    slices of each group's rows (``hash(key) mod slices``, about ``slice_rows`` rows each)
+    with that group's trees replicated per slice, so neither a large group nor the
+    number of groups concentrates in one task. The threshold is the exact per-group
+    ``1 − contamination`` quantile. Returns ``(group..., key..., anomaly_score, decision, is_outlier)``.
+    """
+    from pyspark.sql import Window
+
+    from tablens.operators.cleaning import complete_cases
+    from tablens.session import materialize, ship_package
+    ship_package(df.sparkSession)
+    key, group, columns = as_list(key), as_list(group), list(columns)
+    data = complete_cases(df.select(*group, *key, *columns), columns)
+    for g in group:
+        data = data.filter(F.col(g).isNotNull())
+    sizes = data.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = sizes.withColumn("_psi", F.least(F.col("_n"), F.lit(max_samples))) \
+        .withColumn("_thr", F.least(F.lit(1.0), 2.0 * F.col("_psi") / F.col("_n")) * F.lit(float(2 ** 31))) \
+        .withColumn("_slices", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(slice_rows))))
+    sizes = materialize(sizes)
+    n_groups = sizes.count()
+    d = attach(data, sizes, group, known_rows=n_groups) if group else data.crossJoin(F.broadcast(sizes))
+    h = lambda t: F.pmod(F.xxhash64(F.lit(seed), t, *[F.col(k) for k in key]), F.lit(2 ** 31))
+    trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
+    picked = d.select(*group, *key, *columns, "_psi",
+                      F.explode(F.filter(trees, lambda t: h(t) < F.col("_thr"))).alias("tree"))
+    picked = picked.withColumn("_h", F.xxhash64(F.lit(seed + 1), F.col("tree"), *[F.col(k) for k in key]))
+    w = Window.partitionBy(*group, "tree").orderBy("_h", *key)
+    sample = picked.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= F.col("_psi"))
+    max_depth = int(math.ceil(math.log2(max(max_samples, 2))))
+    gschema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in data.select(*group).schema.fields)
+    gprefix = gschema + ", " if gschema else ""
+    def grow_group(pdf: pd.DataFrame) -> pd.DataFrame:
+        # depth limit from the group's own subsample size, as for a single forest
+        limit = int(math.ceil(math.log2(max(len(pdf), 2))))
+        nodes = _grow(columns, min(limit, max_depth), seed)(pdf)
+        for g in group:
+            nodes[g] = pdf[g].iloc[0]
+        return nodes
+
+    nodes = sample.select(*group, "tree", *columns).groupBy(*group, "tree").applyInPandas(
+        grow_group, f"{gprefix}{NODE_SCHEMA}")
+    nodes = materialize(attach(nodes, sizes.select(*group, "_psi", "_slices"), group, known_rows=n_groups)
+                        if group else nodes.crossJoin(F.broadcast(sizes.select("_psi", "_slices"))))
+    rows = d.withColumn("_slice", F.pmod(F.xxhash64(F.lit(seed + 2), *[F.col(k) for k in key]), F.col("_slices")))
+    rows = rows.select(*group, "_slice", *key, *columns)
+    tree_slices = nodes.withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_slices") - 1)))
+    kschema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in data.select(*key).schema.fields)
+
+    def score_slice(rpdf: pd.DataFrame, npdf: pd.DataFrame) -> pd.DataFrame:
+        if rpdf.empty:
+            return pd.DataFrame(columns=[*group, *key, "anomaly_score"])
+        psi = float(npdf["_psi"].iloc[0])
+        eh = _mean_path(rpdf[columns].to_numpy(dtype=float), _tree_arrays(npdf))
+        out = rpdf[[*group, *key]].copy()
+        out["anomaly_score"] = np.power(2.0, -eh / float(_c([psi])[0]))
+        return out
+
+    scores = rows.groupBy(*group, "_slice").cogroup(tree_slices.groupBy(*group, "_slice")).applyInPandas(
+        score_slice, f"{gprefix}{kschema}, anomaly_score double")
+    scores = materialize(scores)
+    thr = quantile_table(scores.select(*group, F.col("anomaly_score").alias("value")), group,
+                         {"threshold": 1.0 - contamination}).select(*group, "threshold")
+    j = attach(scores, thr, group, known_rows=n_groups) if group else scores.crossJoin(F.broadcast(thr))
+    return j.select(*group, *key, "anomaly_score", (F.col("threshold") - F.col("anomaly_score")).alias("decision"),
+                    (F.col("anomaly_score") > F.col("threshold")).alias("is_outlier"))

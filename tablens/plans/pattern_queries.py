@@ -316,3 +316,10 @@ def isolation_forest_raw_orders(spark, sf):
     o = load(spark, sf, "orders").withColumn("o_custkey", F.col("o_custkey").cast("double"))
     r = IF.isolation_forest(o, ["o_totalprice", "o_custkey"], "o_orderkey", standardise=False)
     return r.filter("is_outlier").select("o_orderkey", "anomaly_score")
+
+
+@register("isolation_forest_by_event_type")
+def isolation_forest_by_event_type(spark, sf):
+    """One isolation forest per event_type on raw (value, user_id); 5 % flagged per group (rows-only)."""
+    ev = load(spark, sf, "events").withColumn("user_id", F.col("user_id").cast("double"))
+    return IF.isolation_forest_by_group(ev, ["value", "user_id"], "event_id", "event_type")

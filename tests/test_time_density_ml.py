@@ -149,3 +149,23 @@ def test_bluestein_matches_numpy(spark, n):
     ref = np.abs(np.fft.fft(y - y.mean())) ** 2
     for s in ("a", "b"):
         assert np.allclose(got[got.s == s].power.values, ref[1:n // 2], rtol=1e-7, atol=1e-7)
+
+
+def test_isolation_forest_by_group(spark):
+    rng = np.random.default_rng(41)
+    parts = []
+    for g, scale in (("a", 1.0), ("b", 50.0)):
+        X = rng.normal(0, scale, (400, 2))
+        X[:8] += 10 * scale
+        parts.append(pd.DataFrame({"g": g, "id": np.arange(400) + (0 if g == "a" else 1000), "u": X[:, 0], "v": X[:, 1]}))
+    pdf = pd.concat(parts, ignore_index=True)
+    df = spark.createDataFrame(pdf)
+    one = IF.isolation_forest_by_group(df, ["u", "v"], "id", "g", n_trees=40).toPandas()
+    sliced = IF.isolation_forest_by_group(df, ["u", "v"], "id", "g", n_trees=40, slice_rows=60).toPandas()
+    m = one.merge(sliced, on=["g", "id"])
+    assert len(m) == 800 and np.allclose(m.anomaly_score_x, m.anomaly_score_y)
+    for g, base in (("a", 0), ("b", 1000)):
+        sub = one[one.g == g]
+        top = set(sub.sort_values("anomaly_score", ascending=False).id.head(8))
+        assert len(top & set(range(base, base + 8))) >= 7
+        assert abs(sub.is_outlier.mean() - 0.05) < 0.015
