@@ -321,3 +321,33 @@ def outlier_analysis(df: DataFrame, columns=None, factor: float = IQR_FACTOR, mi
         "column_name", "outlier_count",
         F.bround(F.col("outlier_count") * 100.0 / F.col("_rows"), 2).alias("outlier_pct"),
         F.bround("lower", 2).alias("lower"), F.bround("upper", 2).alias("upper"))
+
+
+def find_anomalies(df: DataFrame, columns=None, key=None, methods: Sequence[str] = (
+        "iqr", "zscore_sample", "modified_zscore", "isolation_forest"), group=None,
+        contamination: float = 0.05) -> DataFrame:
+    """Multi-method front: ``(key..., method, columns_flagged)`` for every flagged row.
+
+    Bound methods flag cells (counted per row); ``isolation_forest`` flags rows (global, or
+    one forest per group when ``group`` is set). Unknown method names are ignored.
+    """
+    from tablens.operators import iforest
+    group = as_list(group)
+    columns = as_list(columns) or default_columns(df, group)
+    df, key = row_key(df, key)
+    parts = []
+    for m in methods:
+        if m in METHODS:
+            f = flag_rows(df, fit_bounds(df, columns, m, group), key, group)
+            parts.append(f.groupBy(*key, "method").agg(F.count(F.lit(1)).alias("columns_flagged")))
+        elif m == "isolation_forest":
+            r = iforest.isolation_forest_by_group(df, columns, key, group, contamination) if group else \
+                iforest.isolation_forest(df, columns, key, contamination)
+            parts.append(r.filter("is_outlier").select(*key, F.lit("isolation_forest").alias("method"),
+                                                      F.lit(len(columns)).cast("long").alias("columns_flagged")))
+    if not parts:
+        raise ValueError("no known method given")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -209,3 +209,11 @@ def anomaly_methods_events(spark, sf):
 def ks_test_events(spark, sf):
     """Kolmogorov–Smirnov test of events.value against a fitted normal (MLlib; rows-only check)."""
     return S.ks_normal(load(spark, sf, "events"), "value")
+
+
+@register("find_anomalies_events")
+def find_anomalies_events(spark, sf):
+    """Multi-method anomaly front incl. the isolation forest: flagged rows per method (rows-only)."""
+    ev = load(spark, sf, "events").withColumn("user_id", F.col("user_id").cast("double"))
+    return O.find_anomalies(ev, ["value", "user_id"], "event_id",
+                            ["iqr", "zscore_sample", "modified_zscore", "isolation_forest", "unknown"])

@@ -94,3 +94,13 @@ def test_unknown_method_and_strategy(planted):
         O.fit_bounds(df, ["x"], "nope")
     with pytest.raises(ValueError):
         O.handle(df, "nope")
+
+
+def test_find_anomalies_front(planted):
+    pdf, df = planted
+    r = O.find_anomalies(df, ["x"], "id", ["iqr", "isolation_forest", "nope"]).toPandas()
+    assert set(r.method) == {"iqr", "isolation_forest"}
+    assert set(r[r.method == "iqr"].id) == set(pdf.id[_iqr_flags(pdf.x.values)])
+    assert set(range(20)) <= set(r[r.method == "isolation_forest"].id)
+    with pytest.raises(ValueError):
+        O.find_anomalies(df, ["x"], "id", ["nope"])
