@@ -60,3 +60,12 @@ def test_rank_distinct_both_paths(spark, slice_rows):
     assert (got.c.values == exp.c.values).all()
     assert (got.start_rank.values == exp.start_rank.values).all()
     assert np.allclose(got.prev_value.fillna(-1).values, exp.prev.fillna(-1).values)
+
+
+def test_compact_local_and_checkpoint_paths(spark):
+    from tablens.session import compact
+    df = spark.range(50).withColumnRenamed("id", "k")
+    small, n = compact(df, max_rows=100)
+    assert n == 50 and small.count() == 50
+    big, n2 = compact(df, max_rows=10)  # over the limit: reliable checkpoint, then counted
+    assert n2 == 50 and sorted(r["k"] for r in big.collect()) == list(range(50))
