@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, secrets, simhash
-from .common import fold_of, read_table
+from . import mixing, packing, quality, secrets, simhash
+from .common import fold_of, read_table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +23,19 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+def tokenizer_file() -> str:
+    """The public byte-level BPE file; its place is a parameter of the operators."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op2_best_fit_packing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_file())
+
+
 @query("op4_simhash_near_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash classes of all documents: 3-word shingles, links at 3 or fewer differing bits."""
@@ -46,3 +59,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = quality.train(docs, labels.where(fold_of("doc_id", 3) != 1), "quality")
     return quality.score(docs.select("doc_id", "text"), weights).select(
         "doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op7_source_mixing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of 150 % of all words takes of every document, sources weighing 3, 1, 2 in turn."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed, sizes, quotas = mixing.mix(docs, F.array("source"), word_count(F.col("text")), mixing.rotating_quotas)
+    rows = [(s, n, float(quotas[s])) for s, n in sizes.items()]
+    # One row per source; mix() bounds their number.
+    per_source = F.broadcast(spark.createDataFrame(rows, "name string, source_size long, target double"))
+    return mixed.join(per_source, F.col("source").eqNullSafe(F.col("name"))).select(
+        "doc_id", F.col("mix_size").alias("size"), "source_size", "target", F.col("mix_taken").alias("taken"))
