@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality, secrets, simhash
+from . import minhash, mixing, packing, quality, secrets, simhash
 from .common import fold_of, read_table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +61,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query("op6_document_fingerprints")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-permutation MinHash of every document and of its edited text."""
+    return minhash.edited_fingerprints(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op7_source_mixing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of 150 % of all words takes of every document, sources weighing 3, 1, 2 in turn."""
