@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, mixing, packing, quality, secrets, simhash
+from . import minhash, mixing, packing, quality, secrets, simhash, vectors
 from .common import fold_of, read_table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,12 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op1_embedding_near_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of all embeddings at a cosine of 0.9 or more, found by product quantisation."""
+    return vectors.near_vectors(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def tokenizer_file() -> str:
     """The public byte-level BPE file; its place is a parameter of the operators."""
     import public_tokenizers
