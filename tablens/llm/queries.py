@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, mixing, packing, quality, secrets, simhash, vectors
+from . import minhash, mixing, packing, quality, secrets, simhash, toxicity, vectors
 from .common import fold_of, read_table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,15 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+@query("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents; labels of the rows with crc32 mod 5 = 0 are held out."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    net = toxicity.train(docs, labels.where(fold_of("doc_id", 5) != 0), "toxic")
+    return toxicity.score(docs.select("doc_id", "text"), net).select(
+        "doc_id", (fold_of("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query("op4_simhash_near_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash classes of all documents: 3-word shingles, links at 3 or fewer differing bits."""
