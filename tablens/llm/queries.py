@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, mixing, packing, quality, secrets, simhash, toxicity, vectors
+from . import ctw, minhash, mixing, packing, quality, secrets, simhash, toxicity, vectors
 from .common import fold_of, read_table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_classes(read_table(spark, sf_dir, "documents"))
 
 
+@query("op8_lm_scoring")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Context-tree-weighting and add-one unigram scores; rows with crc32 mod 7 = 2 are held out."""
+    held = fold_of("doc_id", 7) == 2
+    scored = ctw.score_texts(read_table(spark, sf_dir, "documents").select("doc_id", "text"), ~held)
+    return scored.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 @query("op9_secret_scan")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, digest and spans of the secrets in every document."""
