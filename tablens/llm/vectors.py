@@ -59,6 +59,20 @@ def _nearest(x: np.ndarray, centres: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
+def _apart(x: np.ndarray, centres: np.ndarray, gap: float) -> np.ndarray:
+    """Centres at least ``gap`` from each other, those of the largest lists first.
+
+    So a dense group doesn't fall into many lists whose members all link with one another.
+    """
+    near = _nearest(x, centres, 1)[:, 0]
+    order = np.argsort(-np.bincount(near, minlength=len(centres)), kind="stable")
+    kept = np.empty((0, centres.shape[1]), dtype=centres.dtype)
+    for c in order:
+        if not len(kept) or ((kept - centres[c]) ** 2).sum(axis=1).min() >= gap * gap:
+            kept = np.concatenate([kept, centres[c:c + 1]])
+    return kept
+
+
 def _spans(dim: int) -> list[slice]:
     cuts = [dim * i // min(SUBSPACES, dim) for i in range(min(SUBSPACES, dim) + 1)]
     return [slice(a, b) for a, b in zip(cuts, cuts[1:], strict=False)]
@@ -67,8 +81,8 @@ def _spans(dim: int) -> list[slice]:
 class Index:
     """Coarse centres and residual codebooks."""
 
-    def __init__(self, sample: np.ndarray, lists: int):
-        self.centres = _kmeans(sample, lists)
+    def __init__(self, sample: np.ndarray, lists: int, threshold: float = THRESHOLD):
+        self.centres = _apart(sample, _kmeans(sample, lists), np.sqrt(2 - 2 * threshold))
         home = _nearest(sample, self.centres, 1)[:, 0]
         rest = sample - self.centres[home]
         self.books = [_kmeans(np.ascontiguousarray(rest[:, s]), CODES, seed=6 + i) for i, s in enumerate(_spans(sample.shape[1]))]
@@ -138,15 +152,17 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     dims = base.where(fit).groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
     fit = fit & (F.size("v") == (dims["d"] if dims else 0))
     good = base.where(fit)
-    classes = written(good.groupBy("v").agg(F.min("id").alias("node"), F.count("*").alias("n")), "vectors")
+    # Numbered once, as written: ids may repeat over different vectors.
+    classes = written(good.groupBy("v").agg(F.min("id").alias("least"), F.count("*").alias("n"))
+                      .withColumn("node", F.monotonically_increasing_id()), "vectors")
     distinct = classes.count()
     if not distinct:
         return base.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"),
                            F.col("id").isNotNull().alias("kept"))
     lists = max(1, min(MAX_LISTS, int(4 * distinct ** 0.5)))
     # A bounded sample: SAMPLE vectors, or 16 per list where there are more lists than that serves.
-    rows = classes.orderBy(F.xxhash64("v"), "node").limit(max(sample, 16 * lists)).select("v").collect()
-    index = Index(_unit([np.array(r["v"], "<f4").tobytes() for r in rows])[1], lists)
+    rows = classes.orderBy(F.xxhash64("v")).limit(max(sample, 16 * lists)).select("v").collect()
+    index = Index(_unit([np.array(r["v"], "<f4").tobytes() for r in rows])[1], lists, threshold)
     held = spark.sparkContext.broadcast(index)  # at most MAX_LISTS centres and SUBSPACES x CODES codewords
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +174,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
                 yield pa.RecordBatch.from_arrays([pa.array(raw, pa.binary()), batch.column(1), batch.column(2), pa.array(list(near), pa.list_(pa.int32()))],
                                                  names=["v", "node", "n", "near"])
 
-    placed = written(classes.mapInArrow(assign, "v binary, node long, n long, near array<int>"), "placed")
+    placed = written(classes.select("v", "node", "n").mapInArrow(assign, "v binary, node long, n long, near array<int>"), "placed")
     sizes = placed.groupBy(F.col("near")[0].alias("list")).agg(F.count("*").alias("members"))
     looks = placed.select(F.explode("near").alias("list")).groupBy("list").agg(F.count("*").alias("queries"))
     cuts = sizes.join(looks, "list").select("list", F.ceil(F.col("members") / MEMBERS).cast("int").alias("m"),
@@ -220,8 +236,11 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
                     .mapInArrow(run, "a long, b long, links long"), "vector-links")
     counts = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     groups = connected_components(found.select("a", "b"))
-    label = (classes.join(counts, "node", "left").join(groups, "node", "left")
-             .select("v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id")))
+    rooted = written(classes.join(counts, "node", "left").join(groups, "node", "left")
+                     .select("v", "least", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
+                             F.coalesce("component", "node").alias("root")), "vector-classes")
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    label = rooted.join(named, "root").select("v", "n_links", "component_id")
     linked = good.join(label, "v").select("id", "n_links", "component_id")
     alone = base.where(~fit).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return linked.unionByName(alone).select(F.col("id").alias(id_col), "n_links", "component_id",
