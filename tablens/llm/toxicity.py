@@ -24,7 +24,9 @@ from .textbatch import LOWER, cut, hash_spans, mix, slices, text_column, words
 WINDOW, STRIDE = 32, 16
 WORDS, GRAMS, EMBED, HIDDEN = 1 << 15, 1 << 14, 8, 8
 SAMPLE = 4000
-EPOCHS = 6
+EPOCHS = 4
+#: Text bytes of one update, and the least number of updates, whatever the sample's size.
+STEP_BYTES, UPDATES = 24 << 10, 400
 _SLICE = 2 << 20
 _BATCH = 2048
 _G = np.uint64(0x9E3779B97F4A7C15)
@@ -68,6 +70,14 @@ def window_places(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return begin[:, None] + np.minimum(np.arange(WINDOW), np.maximum(real[:, None] - 1, 0)), real, doc
 
 
+def _summed(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct indexes in order and the sum of their rows."""
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    lead = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    return at[lead], np.add.reduceat(rows[order], lead, axis=0)
+
+
 def _sig(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
@@ -146,7 +156,7 @@ class Network:
         for d, part in (("f", slice(0, HIDDEN)), ("b", slice(HIDDEN, 2 * HIDDEN))):
             u = self.p["u" + d]
             du = np.zeros_like(u)
-            dproj = np.zeros((len(x), 3 * HIDDEN), dtype=np.float32)
+            back = np.empty((WINDOW, len(places), 3 * HIDDEN), dtype=np.float32)
             dh = np.zeros((len(places), HIDDEN), dtype=np.float32)
             for t, before, z, r, new, ub in reversed(tape["keep"][d]):
                 dh = dh + dh_all[t][:, part]
@@ -155,11 +165,13 @@ class Network:
                 dnew = dstep * (1 - z) * (1 - new * new)
                 dz = dstep * (before - new) * z * (1 - z)
                 dr = dnew * ub * r * (1 - r)
-                da = np.concatenate([dz, dr, dnew], axis=1)
+                back[t] = np.concatenate([dz, dr, dnew], axis=1)
                 db = np.concatenate([dz, dr, dnew * r], axis=1)
-                np.add.at(dproj, places[:, t], da)
                 du += before.T @ db
                 dh = dstep * z + db @ u.T + dh * (1 - on)
+            dproj = np.zeros((len(x), 3 * HIDDEN), dtype=np.float32)
+            at, rows = _summed(places.T.ravel(), back.reshape(-1, 3 * HIDDEN))
+            dproj[at] = rows
             g["u" + d], g["w" + d], g["c" + d] = du, x.T @ dproj, dproj.sum(axis=0)
             dx += dproj @ self.p["w" + d].T
         return g, dx
@@ -172,10 +184,11 @@ class Network:
     def fit(self, texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS) -> None:
         """Adagrad on batches of whole documents; a document's gradient goes to its highest windows."""
         order = np.random.default_rng(4)
-        for _ in range(epochs):
+        steps = max(1, sum(len(t) + 64 for t in texts) // STEP_BYTES)
+        for _ in range(max(epochs, -(-UPDATES // steps))):
             perm = order.permutation(len(texts))
             sizes = np.cumsum([len(texts[i]) + 64 for i in perm])
-            for part in np.split(perm, np.flatnonzero(np.diff(sizes // 65_536)) + 1):
+            for part in np.split(perm, np.flatnonzero(np.diff(sizes // STEP_BYTES)) + 1):
                 raw = [texts[i] for i in part]
                 offs = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
                 slot, gram, borders, place, first = read_words(*cut(np.frombuffer(b"".join(raw), np.uint8), offs, 0, len(raw)))
@@ -195,9 +208,7 @@ class Network:
                 for name, grad in g.items():
                     self._move(name, np.clip(grad, -5, 5), 0.03)
                 for name, at, grad in (("word", slot, dx), ("gram", gram, np.repeat(dx / np.diff(borders)[:, None], np.diff(borders), axis=0))):
-                    rows, back = np.unique(at, return_inverse=True)
-                    total = np.zeros((len(rows), EMBED), dtype=np.float32)
-                    np.add.at(total, back, grad)
+                    rows, total = _summed(at, grad)
                     self._move(name, total, 0.05, rows)
 
     def score(self, buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
