@@ -39,9 +39,5 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
-
-def spread(df: DataFrame, bytes_per_task: int, total_bytes: int, least: int = 1) -> int:
-    """A partition count that follows the data's size."""
-    return max(least, -(-total_bytes // bytes_per_task))
