@@ -74,11 +74,13 @@ def long_form(df: DataFrame, columns: Sequence[str], ids: Sequence[str] = (),
 def row_key(df: DataFrame, key: Sequence[str] | None, name: str = "_row_key") -> tuple[DataFrame, list[str]]:
     """Return ``(df, key_columns)``; without a key, derive one from the row content.
 
-    The derived key is ``xxhash64`` over all columns: deterministic under recomputation
-    (unlike ``monotonically_increasing_id``). Fully identical rows share a key, which is
-    harmless for row flags because identical rows always get identical flags.
+    The derived key is the sha256 of the row as JSON, which names its columns and leaves out
+    NULLs, so (1, NULL) and (NULL, 1) differ; it is deterministic under recomputation (unlike
+    ``monotonically_increasing_id``). Fully identical rows share a key, which is harmless for
+    row flags because identical rows always get identical flags.
     """
     key = as_list(key)
     if key:
         return df, key
-    return df.withColumn(name, F.xxhash64(*[F.col(c) for c in df.columns])), [name]
+    text = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
+    return df.withColumn(name, F.sha2(text.cast("binary"), 256)), [name]

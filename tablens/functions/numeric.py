@@ -27,6 +27,13 @@ def nan_to_null(c) -> Column:
     return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
 
 
+def missing_to_null(df, columns):
+    """``df`` with NaN read as NULL in those of ``columns`` that hold floating-point numbers; types stay."""
+    kinds = dict(df.dtypes)
+    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast(kinds[c])) for c in columns
+                           if kinds.get(c) in ("double", "float")})
+
+
 def safe_div(a, b) -> Column:
     """Division that yields NULL instead of raising on a zero divisor (ANSI mode)."""
     return F.try_divide(col_(a).cast("double"), col_(b).cast("double"))
@@ -61,7 +68,7 @@ def safe_corr(a, b) -> Column:
     ``corr`` raises DIVIDE_BY_ZERO on a constant input under ANSI mode, so it is
     computed from population moments with ``try_divide``.
     """
-    a, b = col_(a).cast("double"), col_(b).cast("double")
+    a, b = nan_to_null(a), nan_to_null(b)
     both = a.isNotNull() & b.isNotNull()
     aa = F.when(both, a)
     bb = F.when(both, b)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tablens.functions.frames import as_list, long_form, numeric_columns
 from tablens.functions.joins import attach
-from tablens.functions.numeric import nan_to_null
+from tablens.functions.numeric import missing_to_null, nan_to_null
 from tablens.functions.quantiles import quantile_table
 from tablens.session import compact
 
@@ -44,9 +44,10 @@ def filter_allowed(df: DataFrame, column: str, allowed: Sequence) -> DataFrame:
 
 
 def filter_positive(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows whose ``columns`` are all positive; a missing value (NULL or NaN) is not."""
     cond = F.lit(True)
     for c in as_list(columns):
-        cond = cond & (F.col(c) > 0)
+        cond = cond & (nan_to_null(c) > 0)
     return df.filter(cond)
 
 
@@ -99,72 +100,92 @@ def impute_mean(df: DataFrame, columns: Sequence[str] | None = None, group=None)
 
 # ---------------------------------------------------------------- model-based imputers (Spark ML)
 
-def impute_random_forest(df: DataFrame, columns: Sequence[str], key: Sequence[str] | str,
-                         num_trees: int = 100, seed: int = 42) -> DataFrame:
+def _with_filled(df: DataFrame, columns: list[str], prefix: str) -> DataFrame:
+    """``df`` plus median-filled copies ``prefix + column``, carried in the same row."""
+    wide = df.select("*", *[nan_to_null(c).alias(f"{prefix}{c}") for c in columns])
+    return impute_median(wide, [f"{prefix}{c}" for c in columns])
+
+
+def impute_random_forest(df: DataFrame, columns: Sequence[str], key: Sequence[str] | str | None = None,
+                         num_trees: int = 100, seed: int = 42, predictors: Sequence[str] | None = None) -> DataFrame:
     """Per column: a distributed ``RandomForestRegressor`` fitted on the rows where the column
-    is present (the other features median-filled), predicting the rows where it is missing."""
+    is present (the other features median-filled), predicting the rows where it is missing.
+
+    The filled features travel in the row itself, so no row is joined with another; only the
+    rows that lack a column are scored. ``key`` isn't needed (kept for callers that have one;
+    a key that repeats is refused). ``predictors`` defaults to ``columns``.
+    """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import RandomForestRegressor
 
-    columns, key = as_list(columns), as_list(key)
+    columns, key, names = as_list(columns), as_list(key), list(df.columns)
+    feats_all = as_list(predictors) or columns
+    if key and not df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").isEmpty():
+        raise ValueError(f"key {key} repeats")
     miss = df.agg(*[F.count_if(nan_to_null(c).isNull()).alias(c) for c in columns]).first()
-    filled = impute_median(df.select(*key, *columns), columns)
-    preds = []
+    work = _with_filled(df, feats_all, "_feat_")
     for c in columns:
-        feats = [x for x in columns if x != c]
+        feats = [f"_feat_{x}" for x in feats_all if x != c]
         if not feats or miss[c] == 0:
             continue
-        va = VectorAssembler(inputCols=feats, outputCol="__f")
-        data = va.transform(filled.select(*key, *feats)
-                            .join(df.select(*key, nan_to_null(c).alias("__y")), key))
-        model = RandomForestRegressor(featuresCol="__f", labelCol="__y", numTrees=num_trees,
-                                      seed=seed).fit(data.filter(F.col("__y").isNotNull()))
-        preds.append((c, model.transform(data.filter(F.col("__y").isNull()))
-                      .select(*key, F.col("prediction").alias(f"{c}__pred"))))
-    out = df
-    for c, pr in preds:
-        out = out.join(pr, key, "left")
-    done = {c for c, _ in preds}
-    return out.select(*[(F.coalesce(nan_to_null(c), F.col(f"{c}__pred")).alias(c) if c in done else F.col(c))
-                        for c in df.columns])
+        va = VectorAssembler(inputCols=feats, outputCol="_features", handleInvalid="keep")
+        have = nan_to_null(c).isNotNull()
+        train = va.transform(work.filter(have).select(*feats, nan_to_null(c).alias("_target")))
+        model = RandomForestRegressor(featuresCol="_features", labelCol="_target", numTrees=num_trees, seed=seed).fit(train)
+        lack = model.transform(va.transform(work.filter(~have))).withColumn(c, F.col("prediction").cast(df.schema[c].dataType))
+        work = work.filter(have).unionByName(lack.select(*work.columns))
+    return missing_to_null(work.select(*names), [c for c in columns if miss[c]])
 
 
 def impute_label(df: DataFrame, label: str, features: Sequence[str], num_trees: int = 100,
                  seed: int = 42) -> DataFrame:
-    """Missing labels predicted by a ``RandomForestClassifier`` trained on labelled rows."""
-    from pyspark.ml import Pipeline
+    """Missing labels predicted by a ``RandomForestClassifier`` trained on labelled rows.
+
+    Labelled rows pass through unscored; a table without any label comes back as it is.
+    """
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 
-    features = as_list(features)
-    filled = impute_median(df, features)
-    known = filled.filter(F.col(label).isNotNull())
-    idx = StringIndexer(inputCol=label, outputCol="__y", stringOrderType="alphabetAsc").fit(known)
-    va = VectorAssembler(inputCols=features, outputCol="__f", handleInvalid="keep")
-    rf = RandomForestClassifier(featuresCol="__f", labelCol="__y", numTrees=num_trees, seed=seed)
-    model = Pipeline(stages=[idx, va, rf]).fit(known)
-    back = IndexToString(inputCol="prediction", outputCol="__pred", labels=idx.labels)
-    pred = back.transform(model.transform(filled))
-    return pred.select(*[(F.coalesce(F.col(label), F.col("__pred")).alias(label) if c == label else F.col(c))
-                         for c in df.columns])
+    features, names = as_list(features), list(df.columns)
+    have = F.col(label).isNotNull()
+    if df.filter(have).isEmpty():
+        return df
+    work = _with_filled(df, features, "_feat_")
+    feats = [f"_feat_{c}" for c in features]
+    va = VectorAssembler(inputCols=feats, outputCol="_features", handleInvalid="keep")
+    known = work.filter(have)
+    idx = StringIndexer(inputCol=label, outputCol="_target", stringOrderType="alphabetAsc").fit(known)
+    model = RandomForestClassifier(featuresCol="_features", labelCol="_target", numTrees=num_trees, seed=seed) \
+        .fit(va.transform(idx.transform(known)))
+    back = IndexToString(inputCol="prediction", outputCol="_label", labels=idx.labels)
+    lack = back.transform(model.transform(va.transform(work.filter(~have)))).withColumn(label, F.col("_label"))
+    return known.select(*names).unionByName(lack.select(*names))
 
 
 # ---------------------------------------------------------------- compositions
 
 def clean(df: DataFrame, columns: Sequence[str] | None = None, rules: Sequence[str] = (),
           handle_missing: str = "median", remove_duplicates: bool = True, round_digits: int | None = 1,
-          key=None) -> DataFrame:
-    """De-duplicate → impute → rule filter → half-even rounding."""
+          key=None, label: str | None = None, num_trees: int = 100) -> DataFrame:
+    """De-duplicate → impute → rule filter → half-even rounding.
+
+    ``handle_missing``: ``median``, ``mean``, ``model_based`` (a random forest per column),
+    ``drop`` or ``none``. With ``label``, missing labels are predicted from the imputed columns.
+    """
     columns = as_list(columns) or numeric_columns(df, skip_id=True)
     out = drop_duplicates(df) if remove_duplicates else df
     if handle_missing == "median":
         out = impute_median(out, columns)
     elif handle_missing == "mean":
         out = impute_mean(out, columns)
+    elif handle_missing == "model_based":
+        out = impute_random_forest(out, columns, key, num_trees)
     elif handle_missing == "drop":
         out = complete_cases(out, columns)
     elif handle_missing != "none":
         raise ValueError(f"unknown missing-value strategy {handle_missing!r}")
+    if label and handle_missing not in ("drop", "none"):
+        out = impute_label(out, label, columns, num_trees)
     out = filter_rules(out, rules)
     if round_digits is not None:
         out = out.select(*[(F.bround(c, round_digits).alias(c) if c in columns else F.col(c)) for c in out.columns])

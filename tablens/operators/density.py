@@ -2,9 +2,10 @@
 
 The KDE never pairs every row with every grid point: rows first collapse to
 distinct values with weights (map-side combined), and each value only feeds the
-grid points within ``TRUNCATE_SD`` bandwidths (beyond that a Gaussian term is
-below 1e-14 of its peak). The grid itself is generated per value from indices,
-so nothing is broadcast and nothing grows on the driver.
+grid points within ``TRUNCATE_SD`` bandwidths, beyond which a Gaussian term is
+below 1.3e-14 of its peak. Every grid point is listed, whether or not a value is
+near it. The grid is generated per column from indices, so nothing is broadcast
+and nothing grows on the driver.
 """
 
 from __future__ import annotations
@@ -50,12 +51,13 @@ def kde_grid(df: DataFrame, columns: Sequence[str] | None = None, group=None, gr
     pts = j.select(*keys, "value", "w", "n", "h", "lo", "dx", F.explode(F.sequence("_i0", "_i1")).alias("i"))
     x = F.col("lo") + F.col("i") * F.col("dx")
     z = (x - F.col("value")) / F.col("h")
-    dens = pts.groupBy(*keys, "i", "n", "h", "lo", "dx").agg(
-        F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("_s"))
+    dens = pts.groupBy(*keys, "i").agg(F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("_s"))
+    every = st.select(*keys, "n", "h", "lo", "dx", F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))).alias("i"))
+    grid = every.join(dens, [*keys, "i"], "left")
     grid_x = F.when(F.col("i") == grid_points - 1, F.col("lo") + F.col("dx") * (grid_points - 1)).otherwise(
         F.col("lo") + F.col("i") * F.col("dx"))
-    return dens.select(*keys, "i", grid_x.alias("x"),
-                       (F.col("_s") / (F.col("n") * F.col("h") * F.lit(SQRT_2PI))).alias("density"))
+    return grid.select(*keys, "i", grid_x.alias("x"),
+                       (F.coalesce("_s", F.lit(0.0)) / (F.col("n") * F.col("h") * F.lit(SQRT_2PI))).alias("density"))
 
 
 def kde_modes(df: DataFrame, columns: Sequence[str] | None = None, group=None, grid_points: int = GRID_POINTS,
@@ -84,7 +86,7 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int | s
 
     ``bins='auto'``: the narrower of the Sturges and Freedman–Diaconis widths (the
     latter only when IQR > 0), ``ceil(range / width)`` bins; the maximum value falls
-    in the last bin. Empty bins are not listed.
+    in the last bin. Empty bins are listed with count 0.
     """
     group = as_list(group)
     columns = as_list(columns) or numeric_columns(df, exclude=group)
@@ -106,8 +108,13 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int | s
     rng = F.col("hi") - F.col("lo")
     b = F.when(rng == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("value") - F.col("lo")) / rng * F.col("nbins")), F.col("nbins") - 1))
-    h = j.withColumn("bin", b.cast("int")).groupBy(*keys, "bin", "lo", "hi", "nbins") \
-        .agg(F.count(F.lit(1)).alias("count"))
+    h = j.withColumn("bin", b.cast("int")).groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("count"))
+    every = st.select(*keys, "lo", "hi", "nbins", F.explode(F.sequence(F.lit(0), F.col("nbins") - 1)).alias("bin"))
+    match = F.lit(True)
+    for k in [*keys, "bin"]:
+        h = h.withColumnRenamed(k, f"_h_{k}")
+        match = match & F.col(k).eqNullSafe(F.col(f"_h_{k}"))
     width = F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")) / F.col("nbins")).otherwise(F.lit(0.0))
-    return h.select(*keys, "bin", (F.col("lo") + F.col("bin") * width).alias("lower"),
-                    (F.col("lo") + (F.col("bin") + 1) * width).alias("upper"), "count")
+    return every.join(h, match, "left").select(
+        *keys, "bin", (F.col("lo") + F.col("bin") * width).alias("lower"),
+        (F.col("lo") + (F.col("bin") + 1) * width).alias("upper"), F.coalesce("count", F.lit(0)).cast("long").alias("count"))

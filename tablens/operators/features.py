@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tablens.functions.frames import as_list, numeric_columns
 from tablens.functions.joins import attach
-from tablens.functions.numeric import RATIO_EPSILON, nan_to_null, ratio, to_number
+from tablens.functions.numeric import RATIO_EPSILON, missing_to_null, nan_to_null, ratio, to_number
 from tablens.functions.ranking import rank_distinct
 
 
@@ -170,7 +170,9 @@ def coerce_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def clip_columns(df: DataFrame, bounds: dict[str, tuple[float | None, float | None]]) -> DataFrame:
-    """Clip to fixed ``{column: (lower, upper)}``; NULL stays NULL, a None bound is open."""
+    """Clip to fixed ``{column: (lower, upper)}``; missing (NULL, NaN) becomes NULL, a None bound is open."""
+    df = missing_to_null(df, list(bounds))
+
     def clip(c, lo, hi):
         x = F.col(c)
         if lo is not None:

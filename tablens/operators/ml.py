@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablens.functions.frames import as_list, numeric_columns
-from tablens.functions.numeric import nan_to_null
+from tablens.functions.numeric import missing_to_null, nan_to_null
 
 # Clustering defaults.
 KMEANS_STARTS = 10
@@ -91,8 +91,8 @@ def cluster_profile(df: DataFrame, assignments: DataFrame, key, columns: Sequenc
     j = df.select(*key, *columns).join(assignments, key)
     tot = F.sum("size").over(Window.partitionBy())
     g = j.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"),
-                                 *[x for c in columns for x in (F.avg(c).alias(f"{c}__mean"),
-                                                                F.stddev_samp(c).alias(f"{c}__std"))])
+                                 *[x for c in columns for x in (F.avg(nan_to_null(c)).alias(f"{c}__mean"),
+                                                                F.stddev_samp(nan_to_null(c)).alias(f"{c}__std"))])
     g = g.withColumn("pct", F.col("size") * 100.0 / tot)
     cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__mean").alias("mean"),
                                F.col(f"{c}__std").alias("std")) for c in columns])
@@ -104,7 +104,7 @@ def cluster_centers(df: DataFrame, assignments: DataFrame, key, columns: Sequenc
     """Long centres ``(cluster, column_name, center)`` as per-cluster means."""
     key = as_list(key)
     j = df.select(*key, *columns).join(assignments, key)
-    g = j.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in columns])
+    g = j.groupBy("cluster").agg(*[F.avg(nan_to_null(c)).alias(c) for c in columns])
     return g.unpivot(["cluster"], list(columns), "column_name", "center")
 
 
@@ -127,10 +127,10 @@ def silhouette(df: DataFrame, assignments: DataFrame, key, columns: Sequence[str
 
 def inertia_curve(df: DataFrame, columns: Sequence[str], max_clusters: int = MAX_CLUSTERS,
                   starts: int = KMEANS_STARTS, seed: int = KMEANS_SEED) -> DataFrame:
-    """``(k, inertia)`` for k = 1 … min(max, n // 5, 10). k = 1 is the total sum of squares
+    """``(k, inertia)`` for k = 1 … min(max_clusters, n // 5). k = 1 is the total sum of squares
     (an aggregate); k ≥ 2 are best-of-``starts`` k-means fits."""
     n = df.count()
-    kmax = min(max_clusters, n // ELBOW_ROWS_PER_K, MAX_CLUSTERS)
+    kmax = min(max_clusters, n // ELBOW_ROWS_PER_K)
     sse1 = df.agg(sum(F.var_pop(c) * F.count(c) for c in columns)).first()[0]
     rows = [(1, float(sse1))]
     if kmax >= 2:
@@ -207,7 +207,7 @@ def pca(df: DataFrame, columns: Sequence[str], key, k: int = 2, scale: bool = Tr
 def ols_by_group(df: DataFrame, y: str, x: str, group=None) -> DataFrame:
     """Least-squares line ``y = slope·x + intercept`` per group, with r² and n."""
     group = as_list(group)
-    base = df
+    base = missing_to_null(df, [y, x])
     for g in group:
         base = base.filter(F.col(g).isNotNull())
     return base.groupBy(*group).agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"),

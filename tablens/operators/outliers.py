@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tablens.functions.frames import as_list, long_form, numeric_columns, row_key
 from tablens.functions.joins import attach
+from tablens.functions.numeric import missing_to_null, nan_to_null
 from tablens.functions.quantiles import quantile_table
 from tablens.session import compact
 
@@ -114,37 +115,74 @@ def fit_bounds(df: DataFrame, columns: Sequence[str] | None = None, method: str
         out = out.filter(~F.col("skipped"))
     out, rows = compact(out.select(*keys, "method", "n", "center", "spread", "threshold",
                                    "lower", "upper", "skipped"))
-    out._tablens_meta = {"method": method, "columns": columns, "group": group, "rows": rows}
+    out._tablens_meta = {"methods": [method], "columns": columns, "group": group, "rows": rows}
     return out
 
 
 def _meta(bounds: DataFrame) -> dict:
-    """Method / columns / row count of a fitted bounds table (read back if not recorded)."""
+    """Columns and row count of a fitted bounds table (read back if not recorded)."""
     m = getattr(bounds, "_tablens_meta", None)
     if m is None:
         rows = bounds.select("method", "column_name").distinct().collect()
-        m = {"method": rows[0][0], "columns": sorted({r[1] for r in rows}), "rows": bounds.count()}
+        m = {"methods": sorted({r[0] for r in rows}), "columns": sorted({r[1] for r in rows}), "rows": bounds.count()}
         bounds._tablens_meta = m
     return m
 
 
-def _outside(method: str):
-    """Row predicate for ``value`` against a joined bounds row."""
-    v, c, s, t = F.col("value"), F.col("center"), F.col("spread"), F.col("threshold")
-    if method == "iqr":
-        return (v < F.col("lower")) | (v > F.col("upper"))
-    if method in ("zscore", "zscore_sample"):
-        return F.abs((v - c) / s) > t
-    return F.abs(F.lit(MODIFIED_Z_CONSTANT) * (v - c) / s) > t
+def _outside(value=None, bound=None):
+    """Row predicate for a value against its bounds row, by that row's own method."""
+    b = (lambda n: F.col(n)) if bound is None else (lambda n: bound[n])
+    v = F.col("value") if value is None else value
+    z = F.try_divide(v - b("center"), b("spread"))
+    return (F.when(b("method") == "iqr", (v < b("lower")) | (v > b("upper")))
+            .when(b("method") == "modified_zscore", F.abs(F.lit(MODIFIED_Z_CONSTANT) * z) > b("threshold"))
+            .otherwise(F.abs(z) > b("threshold")))
 
 
-def _score(method: str):
-    v, c, s = F.col("value"), F.col("center"), F.col("spread")
-    if method == "iqr":
-        return F.lit(None).cast("double")
-    if method in ("zscore", "zscore_sample"):
-        return (v - c) / s
-    return F.lit(MODIFIED_Z_CONSTANT) * (v - c) / s
+def _score():
+    """The z-score of a cell by its bounds row's method; NULL for interval bounds."""
+    z = F.try_divide(F.col("value") - F.col("center"), F.col("spread"))
+    return F.when(F.col("method") == "modified_zscore", F.lit(MODIFIED_Z_CONSTANT) * z).when(F.col("method") != "iqr", z)
+
+
+def _with_bounds(df: DataFrame, bounds: DataFrame, group, columns: list[str]) -> DataFrame:
+    """``df`` with ``_bounds``: a map from column name to the bounds (one per method) of the row's group.
+
+    One row per group is joined, so every later decision is row-local.
+    """
+    group = as_list(group)
+    cells = F.struct("column_name", F.struct("method", "center", "spread", "threshold", "lower", "upper").alias("b"))
+    kept = bounds.filter(~F.col("skipped") & F.col("column_name").isin(columns))
+    wide = kept.groupBy(*group).agg(F.collect_list(cells).alias("_bounds"))
+    if group:
+        return attach(df, wide, group, how="left", known_rows=_meta(bounds)["rows"])
+    return df.crossJoin(F.broadcast(wide))  # a global aggregate: one row
+
+
+def _cell_outside(c: str):
+    """Whether the row's cell ``c`` lies outside any of its bounds; missing cells and bounds don't."""
+    v = nan_to_null(c)
+    hit = F.exists("_bounds", lambda x: (x["column_name"] == c) & F.coalesce(_outside(v, x["b"]), F.lit(False)))
+    return F.coalesce(hit, F.lit(False))
+
+
+def _any_outside(columns: list[str]):
+    cond = F.lit(False)
+    for c in columns:
+        cond = cond | _cell_outside(c)
+    return cond
+
+
+def keep_inside(df: DataFrame, bounds: DataFrame, group=None) -> DataFrame:
+    """Rows without any cell outside its bounds: a filter, no key and no join of rows with rows."""
+    columns = _meta(bounds)["columns"]
+    return _with_bounds(df, bounds, group, columns).filter(~_any_outside(columns)).select(*df.columns)
+
+
+def keep_outside(df: DataFrame, bounds: DataFrame, group=None) -> DataFrame:
+    """Rows with at least one cell outside its bounds, as a filter."""
+    columns = _meta(bounds)["columns"]
+    return _with_bounds(df, bounds, group, columns).filter(_any_outside(columns)).select(*df.columns)
 
 
 def _joined(df: DataFrame, bounds: DataFrame, group, ids):
@@ -163,19 +201,17 @@ def flag_rows(df: DataFrame, bounds: DataFrame, key: Sequence[str] | str | None
     """Flag table ``(key..., group..., column_name, method, value, score)``: one row per outlying cell."""
     group = as_list(group)
     df, key = row_key(df, key)
-    method = _meta(bounds)["method"]
     j = _joined(df, bounds, group, key)
-    return j.filter(_outside(method)).select(
-        *dict.fromkeys(key + group), "column_name", "method", "value", _score(method).alias("score"))
+    return j.filter(_outside()).select(
+        *dict.fromkeys(key + group), "column_name", "method", "value", _score().alias("score"))
 
 
 def outlier_counts(df: DataFrame, bounds: DataFrame, group: Sequence[str] | str | None = None) -> DataFrame:
     """Bounds plus ``outlier_count`` per (group, column); skipped pairs count 0."""
     group = as_list(group)
-    method = _meta(bounds)["method"]
     j = _joined(df, bounds, group, [])
-    cnt = j.groupBy(*group, "column_name").agg(F.count_if(_outside(method)).alias("outlier_count"))
-    keys = group + ["column_name"]
+    keys = group + ["column_name", "method"]
+    cnt = j.groupBy(*keys).agg(F.count_if(_outside()).alias("outlier_count"))
     return attach(bounds, cnt, keys, how="left", known_rows=_meta(bounds)["rows"]) \
         .withColumn("outlier_count", F.coalesce("outlier_count", F.lit(0)).cast("long"))
 
@@ -214,16 +250,29 @@ def flagged_keys(flags: DataFrame, key) -> DataFrame:
     return flags.select(*as_list(key)).distinct()
 
 
+def _match(key: list[str]):
+    cond = F.lit(True)
+    for k in key:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_flag_{k}"))
+    return cond
+
+
 def remove_outliers(df: DataFrame, flags: DataFrame, key) -> DataFrame:
-    """Drop every row flagged by any column (anti join on the key)."""
+    """Drop every row whose key is flagged (NULL keys match NULL keys).
+
+    For flags that aren't row-local, such as another table's; bounds of the same table are
+    applied by ``keep_inside``.
+    """
     key = as_list(key)
-    return df.join(flagged_keys(flags, key), key, "left_anti")
+    f = flagged_keys(flags, key).select(*[F.col(k).alias(f"_flag_{k}") for k in key])
+    return df.join(f, _match(key), "left_anti")
 
 
 def outlier_rows(df: DataFrame, flags: DataFrame, key) -> DataFrame:
-    """Rows flagged by any column (semi join on the key)."""
+    """Rows whose key is flagged (NULL keys match NULL keys); see ``keep_outside`` for bounds."""
     key = as_list(key)
-    return df.join(flagged_keys(flags, key), key, "left_semi")
+    f = flagged_keys(flags, key).select(*[F.col(k).alias(f"_flag_{k}") for k in key])
+    return df.join(f, _match(key), "left_semi")
 
 
 def _wide_bounds(bounds: DataFrame, group, columns, lo_col="lower", hi_col="upper") -> DataFrame:
@@ -248,18 +297,25 @@ def apply_caps(df: DataFrame, bounds: DataFrame, group=None, columns=None) -> Da
     group = as_list(group)
     columns = as_list(columns) or _meta(bounds)["columns"]
     wide = _wide_bounds(bounds, group, columns)
-    j = attach(df, wide, group, how="left", known_rows=_meta(bounds)["rows"])
+    j = attach(missing_to_null(df, columns), wide, group, how="left", known_rows=_meta(bounds)["rows"])
     return j.select(*[(_clip(c).alias(c) if c in columns else F.col(c)) for c in df.columns])
 
 
-def cap_outliers(df: DataFrame, columns=None, method: str = "iqr", group=None, factor: float = IQR_FACTOR) -> DataFrame:
-    """Cap to IQR bounds, or (``method='zscore'``) to mean ± 3·sample std whatever threshold is set."""
+def cap_outliers(df: DataFrame, columns=None, method: str = "iqr", group=None, factor: float = IQR_FACTOR,
+                 threshold: float | None = None) -> DataFrame:
+    """Cap to the method's bounds.
+
+    ``iqr``: quartiles ∓ factor · IQR; ``zscore``: mean ± 3 · sample std whatever threshold is
+    set; ``zscore_sample`` and ``modified_zscore``: their own centre ∓ threshold · spread.
+    """
     group = as_list(group)
     columns = as_list(columns) or default_columns(df, group)
     if method == "iqr":
         b = fit_bounds(df, columns, "iqr", group, factor=factor, min_spread=-1.0)
     elif method == "zscore":
         b = fit_bounds(df, columns, "zscore_sample", group, threshold=CAP_ZSCORE_THRESHOLD, min_spread=-1.0)
+    elif method in METHODS:
+        b = fit_bounds(df, columns, method, group, threshold=threshold)
     else:
         raise ValueError(f"unknown cap method {method!r}")
     return apply_caps(df, b, group, columns)
@@ -267,37 +323,51 @@ def cap_outliers(df: DataFrame, columns=None, method: str = "iqr", group=None, f
 
 def impute_outliers(df: DataFrame, bounds: DataFrame, group=None, columns=None,
                     quantile_method: str = "exact") -> DataFrame:
-    """Flagged cells → NULL → median of the remaining values of the same group and column."""
+    """Flagged cells (by the bounds' own method) → NULL → median of the remaining values of the group and column."""
+    from tablens.operators.cleaning import impute_median
     group = as_list(group)
     columns = as_list(columns) or _meta(bounds)["columns"]
-    method = _meta(bounds)["method"]
-    wb = bounds.withColumn("_lo", F.when(~F.col("skipped"), F.col("lower"))) \
-               .withColumn("_hi", F.when(~F.col("skipped"), F.col("upper")))
-    cols_lohi = _wide_bounds(wb, group, columns, "_lo", "_hi")
-    j = attach(df, cols_lohi, group, how="left", known_rows=_meta(bounds)["rows"])
-    if method != "iqr":
-        raise ValueError("impute_outliers applies interval bounds; fit them with method='iqr' or use caps")
-    masked = j.select(*[(F.when(~((F.col(c) < F.col(f"{c}__lo")) | (F.col(c) > F.col(f"{c}__hi")))
-                                | F.col(f"{c}__lo").isNull(), F.col(c)).alias(c)
-                         if c in columns else F.col(c)) for c in df.columns])
-    from tablens.operators.cleaning import impute_median
+    j = _with_bounds(df, bounds, group, columns)
+    masked = j.select(*[(F.when(~_cell_outside(c), F.col(c)).alias(c) if c in columns else F.col(c)) for c in df.columns])
     return impute_median(masked, columns, group=group, quantile_method=quantile_method)
 
 
+def _forest_flags(df: DataFrame, columns, key, group, contamination: float) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Keyed rows, the flagged keys of the isolation forest and the key columns."""
+    from tablens.operators import iforest
+    df, key = row_key(df, key)
+    r = iforest.isolation_forest_by_group(df, columns, key, group, contamination) if group else \
+        iforest.isolation_forest(df, columns, key, contamination)
+    return df, r.filter("is_outlier"), key
+
+
 def handle(df: DataFrame, strategy: str = "remove", method: str = "zscore", columns=None, group=None,
-           key=None, **kw) -> DataFrame:
-    """Front door: ``remove`` flagged rows, ``cap`` to bounds, or ``impute`` with group medians."""
-    if strategy == "remove":
-        b = fit_bounds(df, columns, method, group, **kw)
-        df2, k = row_key(df, key)
-        out = remove_outliers(df2, flag_rows(df2, b, k, group), k)
-        return out if key else out.drop(*k)
+           key=None, contamination: float = 0.05, **kw) -> DataFrame:
+    """Front door: ``remove`` flagged rows, ``cap`` to bounds, or ``impute`` with group medians.
+
+    Every bound method works with every strategy. ``isolation_forest`` flags whole rows:
+    ``remove`` drops them; its rows have no bounds, so ``cap`` raises, and ``impute`` replaces
+    the measured cells of flagged rows by the median of the others.
+    """
+    if strategy not in ("remove", "cap", "impute"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    group = as_list(group)
+    columns = as_list(columns) or default_columns(df, group)
+    if method == "isolation_forest":
+        if strategy == "cap":
+            raise ValueError("an isolation forest gives no bounds to cap to")
+        keyed, flags, k = _forest_flags(df, columns, key, group, contamination)
+        if strategy == "remove":
+            return remove_outliers(keyed, flags, k).select(*df.columns)
+        from tablens.operators.cleaning import impute_median
+        f = flagged_keys(flags, k).select(*[F.col(x).alias(f"_flag_{x}") for x in k], F.lit(True).alias("_flagged"))
+        masked = keyed.join(f, _match(k), "left").select(
+            *[(F.when(F.col("_flagged").isNull(), F.col(c)).alias(c) if c in columns else F.col(c)) for c in df.columns])
+        return impute_median(masked, columns, group=group)
     if strategy == "cap":
-        return cap_outliers(df, columns, "iqr" if method == "iqr" else "zscore", group)
-    if strategy == "impute":
-        b = fit_bounds(df, columns, "iqr", group, **kw)
-        return impute_outliers(df, b, group, columns)
-    raise ValueError(f"unknown strategy {strategy!r}")
+        return cap_outliers(df, columns, method, group, **{k: v for k, v in kw.items() if k in ("factor", "threshold")})
+    b = fit_bounds(df, columns, method, group, **kw)
+    return keep_inside(df, b, group) if strategy == "remove" else impute_outliers(df, b, group, columns)
 
 
 def removal_report(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablens.functions.frames import as_list, long_form, numeric_columns, string_columns
+from tablens.functions.numeric import nan_to_null
 from tablens.functions.joins import attach
 from tablens.functions.quantiles import quantile_table
 
@@ -109,15 +110,18 @@ def parallel_coordinates(df: DataFrame, label: str, columns: Sequence[str] | Non
 def radar(df: DataFrame, group: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Group means in long form ``(group, column_name, mean)``."""
     columns = as_list(columns) or numeric_columns(df, exclude=[group])
-    g = df.filter(F.col(group).isNotNull()).groupBy(group).agg(*[F.avg(c).alias(c) for c in columns])
+    g = df.filter(F.col(group).isNotNull()).groupBy(group).agg(*[F.avg(nan_to_null(c)).alias(c) for c in columns])
     return g.unpivot([group], columns, "column_name", "mean")
 
 
 def time_lines(df: DataFrame, ts: str, columns: Sequence[str] | None = None,
-               step_seconds: int | None = None) -> DataFrame:
-    """``(ts, column_name, value)`` for the first three numeric columns, ordered by time;
-    with ``step_seconds`` the values are bucket means."""
-    columns = as_list(columns) or numeric_columns(df)[:LINE_MAX_COLUMNS]
+               step_seconds: int | None = None, max_columns: int | None = LINE_MAX_COLUMNS) -> DataFrame:
+    """``(ts, column_name, value)`` ordered by time; with ``step_seconds`` the values are bucket means.
+
+    Without a list the first ``max_columns`` numeric columns are drawn (None: all); a list is
+    always drawn whole.
+    """
+    columns = as_list(columns) or numeric_columns(df)[:max_columns]
     lf = long_form(df.filter(F.col(ts).isNotNull()), columns, ids=[ts], variable="column_name")
     if step_seconds:
         us = int(step_seconds) * 1_000_000
@@ -127,10 +131,14 @@ def time_lines(df: DataFrame, ts: str, columns: Sequence[str] | None = None,
 
 
 def category_bars(df: DataFrame, columns: Sequence[str] | None = None, max_levels: int = BAR_MAX_LEVELS,
-                  max_columns: int = BAR_MAX_COLUMNS) -> DataFrame:
-    """Value counts of the first ``max_columns`` text columns with fewer than ``max_levels`` levels."""
+                  max_columns: int | None = BAR_MAX_COLUMNS) -> DataFrame:
+    """Value counts of the text columns with fewer than ``max_levels`` levels.
+
+    Without a list the first ``max_columns`` text columns are looked at (None: all); a list is
+    always used whole.
+    """
     from tablens.operators.quality import distinct_counts
-    columns = (as_list(columns) or string_columns(df))[:max_columns]
+    columns = as_list(columns) or string_columns(df)[:max_columns]
     ok = {r[0] for r in distinct_counts(df, columns).filter(F.col("n_unique") < max_levels).collect()}
     cols = [c for c in columns if c in ok]
     if not cols:

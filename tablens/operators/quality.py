@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tablens.functions.frames import as_list, long_form, numeric_columns, string_columns
 from tablens.functions.joins import attach
-from tablens.functions.numeric import is_numeric_text, nan_to_null, ratio_below
+from tablens.functions.numeric import is_numeric_text, missing_to_null, nan_to_null, ratio_below
 
 # Issue-detection limits.
 HIGH_CARDINALITY_RATIO = 0.9
@@ -112,7 +112,7 @@ def positive_check(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     columns = as_list(columns)
     ok = F.lit(True)
     for c in columns:
-        ok = ok & F.coalesce(F.col(c) > 0, F.lit(False))
+        ok = ok & F.coalesce(nan_to_null(c) > 0, F.lit(False))
     return df.agg(F.lit("all_positive").alias("check"), F.coalesce(F.bool_and(ok), F.lit(True)).alias("passed"),
                   F.count_if(~ok).alias("violations"))
 
@@ -129,10 +129,17 @@ def domain_check(df: DataFrame, column: str, allowed: Sequence) -> DataFrame:
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(column_name, n_unique)``: distinct non-missing values per column (two grouped shuffles)."""
     columns = as_list(columns) or df.columns
-    num = set(numeric_columns(df))
-    sel = [(F.when(~F.isnan(F.col(c)), F.col(c)) if dict(df.dtypes)[c] in ("double", "float") else F.col(c))
-           .cast("string").alias(c) if c in num else F.col(c).cast("string").alias(c) for c in columns]
-    lf = df.select(*sel).unpivot([], columns, "column_name", "value").filter(F.col("value").isNotNull())
+    kinds = dict(df.dtypes)
+
+    def as_text(c):
+        x = F.col(c)
+        if kinds[c] in ("double", "float"):  # -0.0 + 0.0 is 0.0: one value, one text
+            x = F.nanvl(x, F.lit(None).cast(kinds[c])) + F.lit(0.0)
+        # A long text is told from another by its digest: the shuffled value stays short.
+        text = x.cast("string")
+        return (F.when(F.length(text) > 64, F.sha2(text.cast("binary"), 256)).otherwise(text) if kinds[c] == "string" else text).alias(c)
+
+    lf = df.select(*[as_text(c) for c in columns]).unpivot([], columns, "column_name", "value").filter(F.col("value").isNotNull())
     per = lf.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_c"))
     found = per.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_unique"))
     allc = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
@@ -141,8 +148,13 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 
 
 def constant_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Columns with at most one distinct non-missing value."""
-    return distinct_counts(df, columns).filter(F.col("n_unique") <= 1)
+    """Columns with at most one distinct non-missing value: least equals greatest, one scan, no shuffle of values."""
+    columns = as_list(columns) or df.columns
+    clean = missing_to_null(df, columns)
+    row = clean.agg(*[x for c in columns for x in (F.min(c).alias(f"lo__{c}"), F.max(c).alias(f"hi__{c}"))])
+    cells = [F.struct(F.lit(c).alias("column_name"), F.when(F.col(f"lo__{c}").isNull(), 0).when(F.col(f"lo__{c}") == F.col(f"hi__{c}"), 1)
+                      .otherwise(2).cast("long").alias("n_unique")) for c in columns]
+    return row.select(F.explode(F.array(*cells)).alias("_s")).select("_s.*").filter(F.col("n_unique") <= 1)
 
 
 def high_cardinality(df: DataFrame, columns: Sequence[str] | None = None,

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablens.functions.frames import as_list, long_form, numeric_columns, string_columns
-from tablens.functions.numeric import inv_norm_cdf, safe_corr
+from tablens.functions.numeric import inv_norm_cdf, nan_to_null, safe_corr
 from tablens.functions.quantiles import quantile_table
 from tablens.functions.ranking import rank_distinct
 
@@ -157,13 +157,13 @@ def top_values(df: DataFrame, columns=None, k: int = TOP_VALUES) -> DataFrame:
 
 def group_means(df: DataFrame, group: str, columns=None) -> DataFrame:
     columns = as_list(columns) or numeric_columns(df, exclude=[group])
-    return df.filter(F.col(group).isNotNull()).groupBy(group).agg(*[F.avg(c).alias(c) for c in columns])
+    return df.filter(F.col(group).isNotNull()).groupBy(group).agg(*[F.avg(nan_to_null(c)).alias(c) for c in columns])
 
 
 def group_stats(df: DataFrame, categoricals=None, columns=None, max_levels: int = GROUP_STATS_MAX_LEVELS,
                 quantile_method: str = "exact") -> DataFrame:
     """For every text column with fewer than ``max_levels`` distinct values: per level and
-    numeric column, mean, median, count, sample std.
+    numeric column, mean, median, rows of the level (``count``, missing cells included), sample std.
 
     All categoricals are handled in one pass by unpivoting them next to the numeric
     long form: ``(group_column, level, column_name, value)``.
@@ -180,7 +180,7 @@ def group_stats(df: DataFrame, categoricals=None, columns=None, max_levels: int
                    ids=cats, drop_nulls=False, variable="column_name")
     lf = lf.unpivot(["column_name", "value"], cats, "group_column", "level").filter(F.col("level").isNotNull())
     keys = ["group_column", "level", "column_name"]
-    mom = lf.groupBy(*keys).agg(F.avg("value").alias("mean"), F.count("value").alias("count"),
+    mom = lf.groupBy(*keys).agg(F.avg("value").alias("mean"), F.count(F.lit(1)).alias("count"),
                                 F.stddev_samp("value").alias("std"))
     med = quantile_table(lf, keys, {"median": 0.5}, method=quantile_method).drop("n")
     return mom.join(med, keys, "left").select(*keys, "mean", "median", F.col("count").cast("long").alias("count"),
@@ -314,7 +314,7 @@ def insights(df: DataFrame, measures: Sequence[str], label: str, iqr_factor: flo
 def ks_normal(df: DataFrame, column: str) -> DataFrame:
     """One-sample Kolmogorov–Smirnov test against a normal with the sample mean and std (MLlib)."""
     from pyspark.ml.stat import KolmogorovSmirnovTest
-    x = df.select(F.col(column).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    x = df.select(nan_to_null(column).alias("x")).filter(F.col("x").isNotNull())
     m, s = x.agg(F.avg("x"), F.stddev_samp("x")).first()
     r = KolmogorovSmirnovTest.test(x, "x", "norm", float(m), float(s))
     return r.select(F.lit(column).alias("column_name"), "statistic", "pValue")

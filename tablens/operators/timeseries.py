@@ -22,8 +22,12 @@ from pyspark.sql import functions as F
 
 from tablens.functions.frames import as_list, numeric_columns
 from tablens.functions.joins import attach
-from tablens.functions.ranking import rank_distinct
+from tablens.functions.numeric import nan_to_null
 from tablens.functions.quantiles import quantile_table
+from tablens.functions.ranking import rank_distinct
+from tablens.session import materialize
+
+DECOMPOSE_BLOCK = 65_536
 
 # Resampling step rule (average spacing → step) and period per step.
 STEP_RULE = [(60, 1, "1s"), (3600, 60, "1min"), (86400, 3600, "1h")]
@@ -58,7 +62,7 @@ def monthly_means(df: DataFrame, ts: str, columns: Sequence[str] | None = None)
     """Mean of each numeric column by calendar month: ``(month, column_name, mean)``."""
     columns = as_list(columns) or numeric_columns(df)
     g = df.filter(F.col(ts).isNotNull()).groupBy(F.month(ts).alias("month")) \
-        .agg(*[F.avg(c).alias(c) for c in columns])
+        .agg(*[F.avg(nan_to_null(c)).alias(c) for c in columns])
     return g.unpivot(["month"], columns, "column_name", "mean").filter(F.col("mean").isNotNull())
 
 
@@ -73,14 +77,16 @@ def gap_stats(df: DataFrame, ts: str, series: Sequence[str] | None = None) -> Da
     gap = (F.col("value") - F.col("prev_value")).cast("double") / 1e6
     per = rk.select(*series, "c", gap.alias("g"))
     agg = per.groupBy(*series).agg(
-        (F.sum("c") - 1).alias("n_gaps"),
+        (F.sum("c") - 1).alias("n_gaps"), F.count("g").alias("_m"), F.avg("g").alias("_mean"), F.var_pop("g").alias("_var"),
         F.sum(F.coalesce("g", F.lit(0.0))).alias("_s"),
-        F.sum(F.coalesce(F.col("g") * F.col("g"), F.lit(0.0))).alias("_s2"),
         F.count_distinct("g").alias("_nd"),
         F.max(F.when(F.col("c") > 1, 1).otherwise(0)).alias("_has_zero"),
         F.max("g").alias("_gmax"))
     mean = F.try_divide(F.col("_s"), F.col("n_gaps"))
-    var = F.greatest(F.try_divide(F.col("_s2"), F.col("n_gaps")) - mean * mean, F.lit(0.0))
+    # Moments of the m gaps between distinct times, merged with the n - m gaps of zero between equal ones.
+    m, zeros = F.col("_m").cast("double"), (F.col("n_gaps") - F.col("_m")).cast("double")
+    var = F.try_divide(m * F.coalesce("_var", F.lit(0.0)) + F.try_divide(m * zeros, F.col("n_gaps")) * F.pow(F.coalesce("_mean", F.lit(0.0)), F.lit(2.0)),
+                       F.col("n_gaps"))
     out = agg.withColumn("mean_interval_seconds", mean) \
         .withColumn("std_interval_seconds", F.sqrt(var)) \
         .withColumn("regularity", 1 - F.least(F.lit(1.0), F.col("std_interval_seconds")
@@ -172,22 +178,24 @@ def decompose(regular: DataFrame, period: int | None = None, series: Sequence[st
             raise ValueError("give a period or one of the resampling steps " + str(sorted(PERIOD_BY_STEP)))
         period = PERIOD_BY_STEP[step_seconds]
     h = period // 2
-    if period % 2:
-        offs = [(o, 1.0 / period) for o in range(-h, h + 1)]
-    else:
-        offs = [(o, (0.5 if abs(o) == h else 1.0) / period) for o in range(-h, h + 1)]
-    n_win = len(offs)
+    n_win = 2 * h + 1
     x = regular.select(*series, F.col(t).alias("t"), F.col(value).cast("double").alias("y"))
     sizes = x.groupBy(*series).agg(F.count(F.lit(1)).alias("_len")) \
         .filter(F.col("_len") >= max(MIN_DECOMPOSE_POINTS, 2 * period)).drop("_len")
     x = x.join(sizes, series, "left_semi") if series else x.crossJoin(F.broadcast(sizes.limit(1)))
-    contrib = x.select(*series, "y", "t", F.explode(F.array(*[
-        F.struct(F.lit(o).alias("o"), F.lit(w).alias("w")) for o, w in offs])).alias("_ow"))
-    trend = contrib.select(*series, (F.col("t") - F.col("_ow.o")).alias("t"), (F.col("_ow.w") * F.col("y")).alias("wy")) \
-        .groupBy(*series, "t").agg(F.sum("wy").alias("trend"), F.count(F.lit(1)).alias("_nw")) \
-        .filter(F.col("_nw") == n_win).drop("_nw")
-    j = x.join(trend, [*series, "t"], "left").withColumn("detrended", F.col("y") - F.col("trend")) \
-        .withColumn("phase", F.pmod(F.col("t"), F.lit(period)))
+    # Centred windows run inside blocks of t; a row within half a window of a border is copied to the
+    # neighbouring block, so a long series is cut into pieces and no row is multiplied by the period.
+    size = max(DECOMPOSE_BLOCK, 2 * n_win)
+    block = lambda v: F.floor(v / F.lit(size))
+    cut = x.withColumn("_block", F.explode(F.array_distinct(F.array(
+        block(F.col("t")), block(F.col("t") - h), block(F.col("t") + h)))))
+    near = Window.partitionBy(*series, "_block").orderBy("t").rangeBetween(-h, h)
+    total = F.sum("y").over(near)
+    if period % 2 == 0:  # the two ends of an even period weigh half
+        total = total - 0.5 * F.first("y").over(near) - 0.5 * F.last("y").over(near)
+    trend = F.when(F.count("y").over(near) == n_win, total / F.lit(float(period)))
+    j = cut.withColumn("trend", trend).filter(F.col("_block") == block(F.col("t"))).drop("_block") \
+        .withColumn("detrended", F.col("y") - F.col("trend")).withColumn("phase", F.pmod(F.col("t"), F.lit(period)))
     ph = j.groupBy(*series, "phase").agg(F.avg("detrended").alias("_pm"))
     w = Window.partitionBy(*series) if series else Window.partitionBy()
     ph = ph.withColumn("seasonal", F.col("_pm") - F.avg("_pm").over(w)).drop("_pm")
@@ -198,7 +206,6 @@ def decompose(regular: DataFrame, period: int | None = None, series: Sequence[st
 
 # ---------------------------------------------------------------- periodicity
 
-DFT_MAX_POINTS = 4096
 FFT_POINTS_PER_GROUP = 1 << 20
 
 
@@ -211,60 +218,41 @@ def _split(n: int) -> int:
 
 
 def dft_power(regular: DataFrame, series: Sequence[str] | None = None, t: str = "t",
-              value: str = "value", method: str = "auto", max_class_points: int = FFT_POINTS_PER_GROUP) -> DataFrame:
+              value: str = "value", max_class_points: int = FFT_POINTS_PER_GROUP) -> DataFrame:
     """Power ``|Σ (y−ȳ)·e^{−2πikt/n}|²`` for bins k = 1 … n//2 − 1: ``(series..., n, k, frequency, period, power)``.
 
-    ``method='dft'``: every point is multiplied with each frequency bin and the products
-    are summed per bin (exact, O(n²) work, partial aggregation; used for short series).
-    ``method='fft'``: distributed four-step FFT for n = n1·n2 (n1 the largest divisor ≤ √n)
-    — FFTs of length n1 over the residue classes ``t mod n2``, a twiddle factor, then FFTs
-    of length n2 over the output classes k1; classes are batched into ``applyInPandas``
-    groups of about 2²⁰ points and transformed by one vectorised NumPy call per group. A
-    single length-n2 transform stays in one task, so a series whose length has no divisor
-    near √n (n2 ≈ n) is bounded by one task's FFT (NumPy handles any length).
-    ``auto`` picks the FFT for series longer than ``DFT_MAX_POINTS``.
+    A distributed four-step FFT for every length n = n1·n2 (n1 the largest divisor ≤ √n):
+    FFTs of length n1 over the residue classes ``t mod n2``, a twiddle factor, then FFTs of
+    length n2 over the output classes k1; classes are batched into ``applyInPandas`` groups
+    of about 2²⁰ points and transformed by one vectorised NumPy call per group. A length
+    whose split leaves more than ``max_class_points`` points in one class (a large prime,
+    say) goes through Bluestein's chirp-z transform on a power of two instead. The split is
+    computed next to each series' length, so neither their number nor their lengths matter.
     """
     series = as_list(series)
     x = regular.select(*series, F.col(t).alias("t"), F.col(value).cast("double").alias("y"))
     st = x.groupBy(*series).agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("_m"))
     st = st.filter(F.col("n") >= MIN_FFT_POINTS)
-    if method == "auto":
-        long_series = st.filter(F.col("n") > DFT_MAX_POINTS).select(*series, "n").limit(100_001).collect()
-        method = "fft" if long_series and len(long_series) <= 100_000 else "dft"
     j = attach(x, st, series, known_rows=None) if series else x.crossJoin(F.broadcast(st))
-    if method == "fft":
-        return _fft_power(j, series, _plan_fft(st, series, max_class_points))
-    j = j.filter(F.floor(F.col("n") / 2) - 1 >= 1)
-    pairs = j.select(*series, "n", "t", (F.col("y") - F.col("_m")).alias("yc"),
-                     F.explode(F.sequence(F.lit(1).cast("long"), F.floor(F.col("n") / 2) - 1)).alias("k"))
-    ang = F.lit(2.0 * 3.141592653589793) * F.col("k") * F.col("t") / F.col("n")
-    p = pairs.groupBy(*series, "n", "k").agg(F.sum(F.col("yc") * F.cos(ang)).alias("re"),
-                                             F.sum(F.col("yc") * F.sin(ang)).alias("im"))
-    return p.select(*series, "n", "k", (F.col("k") / F.col("n")).alias("frequency"),
-                    (F.col("n") / F.col("k")).alias("period"),
-                    (F.col("re") * F.col("re") + F.col("im") * F.col("im")).alias("power"))
+    return _fft_power(j, series, materialize(_plan_fft(st, series, max_class_points)))
 
 
 def _plan_fft(st: DataFrame, series: list[str], max_class_points: int) -> DataFrame:
-    """Per series: transform length and its split. A length whose split leaves more than
-    ``max_class_points`` points in one class goes through Bluestein's chirp-z transform
-    on the next power of two ≥ 2n − 1 (balanced split)."""
-    sizes = st.select(*series, "n").limit(100_001).collect()
-    if len(sizes) > 100_000:
-        raise ValueError("too many series for the FFT path; use method='dft'")
-    rows = []
-    for r in sizes:
-        n = r["n"]
-        n1 = _split(n)
-        if n // n1 <= max_class_points:
-            rows.append((*[r[c] for c in series], "direct", n, n1, n // n1))
-        else:
+    """``(series..., _mode, _L, _n1, _n2)``: each series' transform length and its split."""
+    @F.pandas_udf("array<long>")
+    def lengths(n):
+        def one(n: int) -> list[int]:
+            n1 = _split(n)
+            if n // n1 <= max_class_points:
+                return [0, n, n1, n // n1]
             m = 1 << (2 * n - 2).bit_length()
             m1 = 1 << ((m.bit_length() - 1) // 2)
-            rows.append((*[r[c] for c in series], "bluestein", m, m1, m // m1))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in st.select(*series).schema.fields)
-    return st.sparkSession.createDataFrame(
-        rows, (schema + ", " if schema else "") + "_mode string, _L long, _n1 long, _n2 long")
+            return [1, m, m1, m // m1]
+        return n.map(lambda v: one(int(v)))
+
+    p = st.select(*series, lengths(F.col("n").cast("long")).alias("_p"))
+    return p.select(*series, F.when(F.col("_p")[0] == 0, "direct").otherwise("bluestein").alias("_mode"),
+                    F.col("_p")[1].alias("_L"), F.col("_p")[2].alias("_n1"), F.col("_p")[3].alias("_n2"))
 
 
 def _four_step(x: DataFrame, series: list[str], inverse: bool = False) -> DataFrame:
@@ -326,7 +314,10 @@ def _fft_power(j: DataFrame, series: list[str], plan: DataFrame) -> DataFrame:
 
     direct = j.filter(F.col("_mode") == "direct").select(*series, "_L", "_n1", "_n2", "t",
                                                          F.col("yc").alias("re"), F.lit(0.0).alias("im"))
+    modes = {r[0] for r in plan.select("_mode").distinct().collect()}
     d = _four_step(direct, series).withColumn("n", F.col("_L"))
+    if "bluestein" not in modes:  # no length needs the chirp-z branch
+        return _power_columns(d.filter(keep), series)
 
     # Bluestein: X_k = w*_k · Σ_t (y_t w*_t) w_{k−t}, w_j = e^{iπj²/n}; |X_k|² = |(a ⊛ b)_k|²
     blu = j.filter(F.col("_mode") == "bluestein")
@@ -352,22 +343,23 @@ def _fft_power(j: DataFrame, series: list[str], plan: DataFrame) -> DataFrame:
     conv = _four_step(prod, series, inverse=True)
     conv = attach(conv, ns, series, known_rows=None) if series else conv.crossJoin(F.broadcast(ns))
     out = d.unionByName(conv.select(*series, "_L", "k", "re", "im", "n"))
-    out = out.filter(keep)
-    return out.select(*series, "n", "k", (F.col("k") / F.col("n")).alias("frequency"),
-                      (F.col("n") / F.col("k")).alias("period"),
-                      (F.col("re") * F.col("re") + F.col("im") * F.col("im")).alias("power"))
+    return _power_columns(out.filter(keep), series)
+
+
+def _power_columns(x: DataFrame, series: list[str]) -> DataFrame:
+    return x.select(*series, "n", "k", (F.col("k") / F.col("n")).alias("frequency"), (F.col("n") / F.col("k")).alias("period"),
+                    (F.col("re") * F.col("re") + F.col("im") * F.col("im")).alias("power"))
 
 
 def dominant_periods(regular: DataFrame, series: Sequence[str] | None = None, t: str = "t",
-                     value: str = "value", top: int | None = None, order: str = "frequency",
-                     method: str = "auto") -> DataFrame:
+                     value: str = "value", top: int | None = None, order: str = "frequency") -> DataFrame:
     """Bins whose power exceeds the 95th percentile of bins 1 … n//2 − 1.
 
     ``top`` keeps the first ``top`` bins by frequency (``order='frequency'``) or by
     power (``order='power'``).
     """
     series = as_list(series)
-    p = dft_power(regular, series, t, value, method)
+    p = dft_power(regular, series, t, value)
     thr = quantile_table(p.select(*series, F.col("power").alias("value")), series,
                          {"threshold": FFT_POWER_PERCENTILE}).drop("n")
     d = (attach(p, thr, series, known_rows=None) if series else p.crossJoin(F.broadcast(thr))) \

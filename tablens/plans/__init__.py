@@ -9,6 +9,7 @@ QUERY_MODULES = (
     "tablens.plans.time_queries",
     "tablens.plans.pattern_queries",
     "tablens.plans.report_queries",
+    "tablens.plans.missing_queries",
 )
 
 

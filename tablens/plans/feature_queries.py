@@ -323,7 +323,7 @@ def random_forest_imputed_lineitem(spark, sf):
     li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *LINE_MEASURES)
     li = li.withColumn("row_id", F.xxhash64("l_orderkey", "l_linenumber", *LINE_MEASURES))
     li = li.withColumn("l_discount", F.when(F.col("l_orderkey") % 17 == 0, None).otherwise(F.col("l_discount")))
-    out = C.impute_random_forest(li, ["l_quantity", "l_extendedprice", "l_discount"], key="row_id", num_trees=20)
+    out = C.impute_random_forest(li, ["l_quantity", "l_extendedprice", "l_discount"], predictors=LINE_MEASURES)
     return out.filter(F.col("l_orderkey") % 17 == 0).select("row_id", "l_discount")
 
 
@@ -332,5 +332,5 @@ def random_forest_label_imputed_events(spark, sf):
     """Label imputation with a distributed random-forest classifier (rows-only check)."""
     ev = events_with_nulls(spark, sf).select("event_id", "event_type", "value",
                                              F.col("user_id").cast("double").alias("user_id"))
-    out = C.impute_label(ev, "event_type", ["value", "user_id"], num_trees=20)
+    out = C.impute_label(ev, "event_type", ["value", "user_id"])
     return out.select("event_id", "event_type")

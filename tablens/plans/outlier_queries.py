@@ -170,7 +170,7 @@ select cast((select count(*) from events) as bigint) as rows_before,
        cast(6 as bigint) as n_columns
 """)
 def outliers_removed_report_events(spark, sf):
-    """Remove rows flagged by a grouped population z-score (anti join); rows before/after."""
+    """Remove rows flagged by a grouped population z-score (row-local filter); rows before/after."""
     ev = load(spark, sf, "events")
     kept = O.handle(ev, "remove", "zscore", ["value"], "event_type", key="event_id")
     return O.removal_report(ev, kept)

@@ -13,11 +13,11 @@ from tablens.plans.registry import load, register, rounded
 LINE_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-def _kde_sql(src: str, group: str | None) -> str:
+def _kde_sql(src: str, group: str | None, curve: bool = False) -> str:
     g, gsel, gjoin, gpart = ("", "", "", "") if group is None else (
         f"{group},", f"v.{group},", f"and w.{group} = s.{group}", f"partition by {group}")
     grp_by = f"{group}," if group else ""
-    return f"""
+    head = f"""
 with v as ({src}),
 s as (select {g} count(*) as n, min(value) as lo, max(value) as hi,
              stddev_samp(value) * pow(count(*), -0.2) as h from v {'group by ' + group if group else ''}),
@@ -29,7 +29,13 @@ d as (select {'s.' + group + ',' if group else ''} gr.i,
                / (s.n * s.h * 2.5066282746310002) as density
       from s join w on true {gjoin} cross join gr
       where s.n >= 100
-      group by {'s.' + group + ',' if group else ''} gr.i, s.hi, s.lo, s.n, s.h),
+      group by {'s.' + group + ',' if group else ''} gr.i, s.hi, s.lo, s.n, s.h)
+"""
+    if curve:
+        return head + f"""
+select {g} 'value' as column_name, cast(i as integer) as i, round(x, 6) as x, round(density, 6) as density from d
+"""
+    return head + f""",
 p as (select *, lag(density) over ({gpart} order by i) as pv, lead(density) over ({gpart} order by i) as nx from d),
 m as (select * from p where density > pv and density > nx)
 select {g} 'value' as column_name, cast(i as integer) as i, round(x, 6) as x, round(density, 6) as density,
@@ -59,11 +65,11 @@ b as (select *, (hi - lo) / (log2(n) + 1) as sturges, 2 * (q3 - q1) * pow(n, -1.
 nb as (select *, cast(case when hi - lo > 0 then greatest(1, ceil((hi - lo) / case when fd > 0 then least(sturges, fd)
                                                                              else sturges end)) else 1 end as integer)
                   as nbins from b)
-select 'o_totalprice' as column_name, cast(bin as integer) as bin, round(lo + bin * ((hi - lo) / nbins), 6) as lower,
-       round(lo + (bin + 1) * ((hi - lo) / nbins), 6) as upper, cast(count(*) as bigint) as count
-from (select cast(least(floor((value - lo) / (hi - lo) * nbins), nbins - 1) as integer) as bin, lo, hi, nbins
-      from v, nb)
-group by bin, lo, hi, nbins
+select 'o_totalprice' as column_name, cast(g.bin as integer) as bin, round(lo + g.bin * ((hi - lo) / nbins), 6) as lower,
+       round(lo + (g.bin + 1) * ((hi - lo) / nbins), 6) as upper, cast(count(w.bin) as bigint) as count
+from nb cross join (select unnest(generate_series(0, (select nbins - 1 from nb))) as bin) g
+left join (select cast(least(floor((value - lo) / (hi - lo) * nbins), nbins - 1) as integer) as bin from v, nb) w on w.bin = g.bin
+group by g.bin, lo, hi, nbins
 """)
 def histogram_auto_orders(spark, sf):
     """Histogram with the automatic (Sturges / Freedman–Diaconis) bin count."""
@@ -74,17 +80,39 @@ def histogram_auto_orders(spark, sf):
 with l as (select column_name, value from lineitem
            unpivot (value for column_name in (l_quantity, l_extendedprice, l_discount, l_tax))),
 s as (select column_name, min(value) as lo, max(value) as hi from l group by 1)
-select l.column_name, cast(least(floor((value - lo) / (hi - lo) * 10), 9) as integer) as bin,
-       round(lo + least(floor((value - lo) / (hi - lo) * 10), 9) * ((hi - lo) / 10), 6) as lower,
-       round(lo + (least(floor((value - lo) / (hi - lo) * 10), 9) + 1) * ((hi - lo) / 10), 6) as upper,
-       cast(count(*) as bigint) as count
-from l join s on l.column_name = s.column_name group by all
+select s.column_name, cast(g.bin as integer) as bin, round(lo + g.bin * ((hi - lo) / 10), 6) as lower,
+       round(lo + (g.bin + 1) * ((hi - lo) / 10), 6) as upper, cast(count(l.value) as bigint) as count
+from s cross join (select unnest(generate_series(0, 9)) as bin) g
+left join l on l.column_name = s.column_name and least(floor((value - lo) / (hi - lo) * 10), 9) = g.bin
+group by s.column_name, g.bin, lo, hi
 """)
 def histogram_fixed_lineitem(spark, sf):
     """Ten equal-width bins per measure."""
     return rounded(D.histogram(load(spark, sf, "lineitem"), LINE_MEASURES, bins=10))
 
 
+@register("histogram_with_gaps_orders", """
+with v as (select case when o_orderkey % 3 = 0 then o_totalprice + 5000000 else o_totalprice end as value from orders),
+s as (select min(value) as lo, max(value) as hi from v),
+w as (select cast(least(floor((value - lo) / (hi - lo) * 40), 39) as integer) as bin from v, s)
+select 'value' as column_name, cast(g.bin as integer) as bin, round(lo + g.bin * ((hi - lo) / 40), 6) as lower,
+       round(lo + (g.bin + 1) * ((hi - lo) / 40), 6) as upper, cast(count(w.bin) as bigint) as count
+from s cross join (select unnest(generate_series(0, 39)) as bin) g left join w on w.bin = g.bin
+group by g.bin, lo, hi
+""")
+def histogram_with_gaps_orders(spark, sf):
+    """Forty equal-width bins over two separated ranges of prices: empty bins are listed."""
+    price = F.when(F.col("o_orderkey") % 3 == 0, F.col("o_totalprice") + 5000000).otherwise(F.col("o_totalprice"))
+    return rounded(D.histogram(load(spark, sf, "orders").select(price.alias("value")), ["value"], bins=40))
+
+
+@register("density_curve_by_event_type", _kde_sql(
+    "select event_type, value from events where value is not null and event_type is not null", "event_type", curve=True))
+def density_curve_by_event_type(spark, sf):
+    """The whole density curve of every group: all 1000 grid points."""
+    return rounded(D.kde_grid(load(spark, sf, "events"), ["value"], group="event_type"))
+
+
 @register("box_stats_events_by_type", """
 with q as (select event_type, count(value) as n, quantile_cont(value, 0.25) as q1, quantile_cont(value, 0.5) as med,
                   quantile_cont(value, 0.75) as q3 from events where event_type is not null and value is not null
@@ -206,26 +234,21 @@ def _embeddings(spark, sf, dims):
 
 
 @register("cluster_profile_embeddings", """
-with e as (select vec_id, label as cluster, embedding[1] as f0, embedding[2] as f1, embedding[3] as f2,
-                  embedding[4] as f3 from embeddings),
-g as (select cluster, count(*) as size, avg(f0) as m0, stddev_samp(f0) as s0, avg(f1) as m1, stddev_samp(f1) as s1,
-             avg(f2) as m2, stddev_samp(f2) as s2, avg(f3) as m3, stddev_samp(f3) as s3 from e group by 1),
-t as (select *, size * 100.0 / sum(size) over () as pct from g)
-select cluster, cast(size as bigint) as size, round(pct, 6) as pct, 'f0' as column_name, round(m0, 6) as mean,
-       round(s0, 6) as std from t
-union all select cluster, size, round(pct, 6), 'f1', round(m1, 6), round(s1, 6) from t
-union all select cluster, size, round(pct, 6), 'f2', round(m2, 6), round(s2, 6) from t
-union all select cluster, size, round(pct, 6), 'f3', round(m3, 6), round(s3, 6) from t
+with e as (select label as cluster, unnest(generate_series(0, 63)) as d, unnest(embedding) as v from embeddings),
+n as (select label as cluster, count(*) as size, count(*) * 100.0 / sum(count(*)) over () as pct from embeddings group by 1)
+select e.cluster, cast(size as bigint) as size, round(pct, 6) as pct, 'f' || d as column_name, round(avg(cast(v as double)), 6) as mean,
+       round(stddev_samp(cast(v as double)), 6) as std
+from e join n on e.cluster = n.cluster group by all
 """)
 def cluster_profile_embeddings(spark, sf):
     """Per-cluster size, share, mean and std (given labels as the cluster assignment)."""
-    e, cols = _embeddings(spark, sf, 4)
+    e, cols = _embeddings(spark, sf, 64)
     assign = e.select("vec_id", F.col("label").alias("cluster"))
     return rounded(M.cluster_profile(e, assign, "vec_id", cols))
 
 
 @register("cluster_importance_embeddings", """
-with e as (select label, unnest(generate_series(0, 7)) as d, embedding from embeddings),
+with e as (select label, unnest(generate_series(0, 63)) as d, embedding from embeddings),
 c as (select label, d, avg(embedding[d + 1]) as center from e group by 1, 2),
 r as (select d, max(center) - min(center) as range from c group by 1)
 select 'f' || d as column_name, round(case when sum(range) over () > 0 then range / sum(range) over ()
@@ -234,7 +257,7 @@ from r
 """)
 def cluster_importance_embeddings(spark, sf):
     """Feature importance from the spread of cluster centres (given labels)."""
-    e, cols = _embeddings(spark, sf, 8)
+    e, cols = _embeddings(spark, sf, 64)
     assign = e.select("vec_id", F.col("label").alias("cluster"))
     return rounded(M.cluster_feature_importance(M.cluster_centers(e, assign, "vec_id", cols)))
 
@@ -266,17 +289,17 @@ def second_difference_monthly_orders(spark, sf):
 
 @register("kmeans_embeddings")
 def kmeans_embeddings(spark, sf):
-    """k-means (k = 10, best of 3 starts) on standardised embeddings (rows-only check)."""
+    """k-means (k = 10, best of the default number of starts) on standardised embeddings (rows-only check)."""
     e, cols = _embeddings(spark, sf, 64)
-    return M.cluster(e, cols, "vec_id", k=10, starts=3)
+    return M.cluster(e, cols, "vec_id", k=10)
 
 
 @register("elbow_curve_embeddings")
 def elbow_curve_embeddings(spark, sf):
-    """Inertia curve k = 1 … 6 and its second difference (rows-only check)."""
-    e, cols = _embeddings(spark, sf, 16)
+    """Inertia curve up to the default number of clusters and its second difference (rows-only check)."""
+    e, cols = _embeddings(spark, sf, 64)
     z = M.standardize(e, cols, ["vec_id"])
-    return M.second_difference(M.inertia_curve(z, cols, max_clusters=6, starts=2))
+    return M.second_difference(M.inertia_curve(z, cols))
 
 
 @register("silhouette_embeddings")

@@ -163,10 +163,9 @@ with b as (select avg(value) as m, stddev_samp(value) as s from events)
 select e.* from events e where exists (select 1 from b where abs((e.value - b.m) / b.s) > 3)
 """)
 def outlier_rows_semi_events(spark, sf):
-    """Full rows of flagged keys (semi join of the table with its flag table)."""
+    """Full rows with a cell outside its bounds (a row-local filter)."""
     ev = load(spark, sf, "events")
-    b = O.fit_bounds(ev, ["value"], "zscore_sample")
-    return O.outlier_rows(ev, O.flag_rows(ev, b, "event_id"), "event_id")
+    return O.keep_outside(ev, O.fit_bounds(ev, ["value"], "zscore_sample"))
 
 
 @register("flagged_keys_orders", """

@@ -190,3 +190,61 @@ def dominant_periods_click_minutely(spark, sf):
     ev = load(spark, sf, "events").filter(F.col("event_type") == "click")
     d = TS.dominant_periods(TS.resample(ev, "ts", "value", 60), top=3, order="power")
     return d.select("k", F.round("period", 6).alias("period"), F.round("power", 2).alias("power"))
+
+
+_SERIES_SQL = f"""with b as (select event_type, floor(epoch_us(ts) / {HOUR_US})::bigint as bk, avg(value) as y from events
+  where ts is not null and value is not null and event_type is not null group by 1, 2),
+m as (select event_type, min(bk) as lo, max(bk) as hi from b group by 1),
+g as (select event_type, lo, unnest(generate_series(lo, hi)) as bk from m),
+j as (select g.*, b.y from g left join b on g.event_type = b.event_type and g.bk = b.bk),
+f as (select *, last_value(case when y is not null then bk end ignore nulls) over p as pbk, last_value(y ignore nulls) over p as py,
+             first_value(case when y is not null then bk end ignore nulls) over n as nbk, first_value(y ignore nulls) over n as ny
+      from j window p as (partition by event_type order by bk rows between unbounded preceding and current row),
+                    n as (partition by event_type order by bk rows between current row and unbounded following)),
+r as (select event_type, bk - lo as t, make_timestamp(bk * {HOUR_US}) as bucket_ts, y is not null as populated,
+             case when y is not null then y else py + (bk - pbk) * (ny - py) / (nbk - pbk) end as y from f)"""
+
+
+def hourly_by_type(spark, sf):
+    return TS.resample(load(spark, sf, "events"), "ts", "value", 3600, series="event_type")
+
+
+@register("resample_hourly_by_event_type", _SERIES_SQL + """
+select event_type, t, bucket_ts, round(y, 6) as value, populated from r
+""")
+def resample_hourly_by_event_type(spark, sf):
+    """Hourly means of every event type on its own complete grid, gaps interpolated."""
+    return rounded(hourly_by_type(spark, sf)).select("event_type", "t", "bucket_ts", "value", "populated")
+
+
+@register("decompose_hourly_by_event_type", _SERIES_SQL + """,
+tr as (select event_type, t, y, case when count(*) over w = 25
+         then (sum(y) over w - 0.5 * first_value(y) over w - 0.5 * last_value(y) over w) / 24 end as trend
+       from r window w as (partition by event_type order by t rows between 12 preceding and 12 following)),
+ph as (select event_type, t % 24 as phase, avg(y - trend) as pm from tr group by 1, 2),
+s as (select event_type, phase, pm - avg(pm) over (partition by event_type) as seasonal from ph)
+select tr.event_type, t, round(y, 6) as observed, round(trend, 6) as trend, round(seasonal, 6) as seasonal,
+       round(y - trend - seasonal, 6) as resid
+from tr join s on tr.event_type = s.event_type and tr.t % 24 = s.phase
+""")
+def decompose_hourly_by_event_type(spark, sf):
+    """Additive decomposition (period 24) of every event type's hourly series."""
+    return rounded(TS.decompose(hourly_by_type(spark, sf), 24, series="event_type"))
+
+
+@register("dominant_periods_hourly_by_event_type", _SERIES_SQL + """,
+s as (select event_type, count(*) as n, avg(y) as m from r group by 1),
+k as (select event_type, n, m, unnest(generate_series(1, n // 2 - 1)) as k from s),
+p as (select k.event_type, k.n, k.k, sum((r.y - k.m) * cos(2 * pi() * k.k * r.t / k.n)) as re,
+             sum((r.y - k.m) * sin(2 * pi() * k.k * r.t / k.n)) as im
+      from k join r on r.event_type = k.event_type group by all),
+pw as (select event_type, n, k, re * re + im * im as power from p),
+th as (select event_type, quantile_cont(power, 0.95) as threshold from pw group by 1)
+select pw.event_type, k, round(k / n, 6) as frequency, round(n / k, 6) as period, round(power, 2) as power
+from pw join th on pw.event_type = th.event_type where power > threshold
+""")
+def dominant_periods_hourly_by_event_type(spark, sf):
+    """Dominant frequency bins of every event type's hourly series, by FFT."""
+    d = TS.dominant_periods(hourly_by_type(spark, sf), series="event_type")
+    return d.select("event_type", "k", F.round("frequency", 6).alias("frequency"), F.round("period", 6).alias("period"),
+                    F.round("power", 2).alias("power"))

@@ -44,11 +44,14 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is used as is. Only
-    when it is unset (local tests) a private folder is created.
+    On a cluster that setting points at shared storage and is used as is; without it
+    RuntimeError is raised there, since a folder of the driver's machine is no place for
+    checkpoints. Only in local mode (tests) a private folder is created where it is unset.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not d and not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="tablens-ckpt-")
     if sc.getCheckpointDir() is None:

@@ -22,17 +22,16 @@ def flag_stream(stream: DataFrame, bounds: DataFrame, key: Sequence[str] | str,
                 group: Sequence[str] | str | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """Outlier flags ``(key..., keep..., group..., column_name, method, value, score)`` for a stream.
 
-    ``bounds`` comes from ``fit_bounds`` on historical data and is broadcast; each
-    micro-batch is scored row-locally (no state).
+    ``bounds`` comes from ``fit_bounds`` on historical data; each micro-batch is scored
+    row-locally against it (no state).
     """
     key, group, keep = as_list(key), as_list(group), as_list(keep)
     m = _meta(bounds)
     ids = list(dict.fromkeys(key + keep + group))
     lf = long_form(stream, m["columns"], ids=ids, variable="column_name")
-    b = F.broadcast(bounds.filter(~F.col("skipped")))
-    j = lf.join(b, group + ["column_name"])
-    return j.filter(_outside(m["method"])).select(*ids, "column_name", "method", "value",
-                                                  _score(m["method"]).alias("score"))
+    # A stream joins a static table of any size; Catalyst broadcasts it when its bytes allow.
+    j = lf.join(bounds.filter(~F.col("skipped")), group + ["column_name"])
+    return j.filter(_outside()).select(*ids, "column_name", "method", "value", _score().alias("score"))
 
 
 def windowed_flag_counts(flags: DataFrame, ts: str, window: str = "1 hour", watermark: str = "10 minutes",
