@@ -100,6 +100,35 @@ def _grow(features: list[str], max_depth: int, seed: int):
     return grow
 
 
+def pool_rate(n: float, psi: float, n_trees: int) -> float:
+    """The share of n rows in the common pool: twice the rows that all trees need, at most all."""
+    return min(1.0, 2.0 * n_trees * psi / n)
+
+
+def _picked(df: DataFrame, key: list[str], n, psi, n_trees: int, seed: int) -> DataFrame:
+    """Rows drawn for the trees (about 2ψ each, more than enough to keep ψ), with their ``tree``.
+
+    One hash per row draws a pool of about 2·trees·ψ rows, whatever n is (the rate is a double,
+    so it holds for any n); only pool rows are hashed once more per tree.
+    """
+    fraction = lambda h: h.cast("double") / F.lit(2.0 ** 64) + F.lit(0.5)
+    cols = [F.col(k) for k in key]
+    need = F.lit(2.0 * n_trees) * psi
+    pool = df.filter(fraction(F.xxhash64(F.lit(seed + 7), *cols)) < F.least(F.lit(1.0), need / n))
+    rate = F.least(F.lit(1.0), 2.0 * psi / F.least(n, need))
+    trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
+    return pool.withColumn("tree", F.explode(F.filter(trees, lambda t: fraction(F.xxhash64(F.lit(seed), t, *cols)) < rate)))
+
+
+def anomaly_record(scored: DataFrame, group=None) -> DataFrame:
+    """Rows, flagged rows and share, and the least and greatest decision value (per group)."""
+    group = as_list(group)
+    return scored.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("is_outlier").alias("n_flagged"),
+        (F.count_if("is_outlier") * 100.0 / F.count(F.lit(1))).alias("flagged_pct"),
+        F.min("decision").alias("min_decision"), F.max("decision").alias("max_decision"))
+
+
 def fit_forest(df: DataFrame, columns: Sequence[str], key, n_trees: int = N_TREES,
                max_samples: int = MAX_SAMPLES, seed: int = SEED) -> tuple[DataFrame, int]:
     """Grow the forest; returns the node table and the subsample size ψ."""
@@ -109,11 +138,7 @@ def fit_forest(df: DataFrame, columns: Sequence[str], key, n_trees: int = N_TREE
     key = as_list(key)
     n = df.count()
     psi = int(min(max_samples, n))
-    rate = min(1.0, 2.0 * psi / max(n, 1))
-    thr = int(rate * (2 ** 31))
-    trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-    h = lambda t: F.pmod(F.xxhash64(F.lit(seed), t, *[F.col(k) for k in key]), F.lit(2 ** 31))
-    picked = df.select(*key, *columns, F.explode(F.filter(trees, lambda t: h(t) < F.lit(thr))).alias("tree"))
+    picked = _picked(df.select(*key, *columns), key, F.lit(float(max(n, 1))), F.lit(float(psi)), n_trees, seed)
     picked = picked.withColumn("_h", F.xxhash64(F.lit(seed + 1), F.col("tree"), *[F.col(k) for k in key]))
     w = Window.partitionBy("tree").orderBy("_h", *key)
     sample = picked.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= psi)
@@ -199,15 +224,12 @@ def isolation_forest_by_group(df: DataFrame, columns: Sequence[str], key, group,
         data = data.filter(F.col(g).isNotNull())
     sizes = data.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     sizes = sizes.withColumn("_psi", F.least(F.col("_n"), F.lit(max_samples))) \
-        .withColumn("_thr", F.least(F.lit(1.0), 2.0 * F.col("_psi") / F.col("_n")) * F.lit(float(2 ** 31))) \
         .withColumn("_slices", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(slice_rows))))
     sizes = materialize(sizes)
     n_groups = sizes.count()
     d = attach(data, sizes, group, known_rows=n_groups) if group else data.crossJoin(F.broadcast(sizes))
-    h = lambda t: F.pmod(F.xxhash64(F.lit(seed), t, *[F.col(k) for k in key]), F.lit(2 ** 31))
-    trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-    picked = d.select(*group, *key, *columns, "_psi",
-                      F.explode(F.filter(trees, lambda t: h(t) < F.col("_thr"))).alias("tree"))
+    picked = _picked(d.select(*group, *key, *columns, "_n", "_psi"), key, F.col("_n").cast("double"), F.col("_psi").cast("double"),
+                     n_trees, seed)
     picked = picked.withColumn("_h", F.xxhash64(F.lit(seed + 1), F.col("tree"), *[F.col(k) for k in key]))
     w = Window.partitionBy(*group, "tree").orderBy("_h", *key)
     sample = picked.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= F.col("_psi"))

@@ -333,6 +333,14 @@ def isolation_forest_events(spark, sf):
     return IF.isolation_forest(ev, ["value", "user_id"], "event_id")
 
 
+@register("forest_record_events")
+def forest_record_events(spark, sf):
+    """Flagged rows and decision range of the isolation forest per event type (rows-only check)."""
+    ev = load(spark, sf, "events").withColumn("user_id", F.col("user_id").cast("double"))
+    scored = IF.isolation_forest_by_group(ev, ["value", "user_id"], "event_id", "event_type")
+    return rounded(IF.anomaly_record(scored, "event_type"))
+
+
 @register("isolation_forest_raw_orders")
 def isolation_forest_raw_orders(spark, sf):
     """Isolation forest on raw columns (no scaling), flagged keys only."""

@@ -158,6 +158,14 @@ def top_features_lineitem(spark, sf):
     return top_features(load(spark, sf, "lineitem"), LINE_MEASURES)
 
 
+@register("complex_patterns_events")
+def complex_patterns_events(spark, sf):
+    """Step choice → resampling → first three dominant bins of every measure (rows-only check)."""
+    from tablens.plans.reports import complex_patterns
+    ev = load(spark, sf, "events").withColumn("user_id", F.col("user_id").cast("double"))
+    return rounded(complex_patterns(ev, "ts", ["value", "user_id"]))
+
+
 @register("outlier_rows_semi_events", """
 with b as (select avg(value) as m, stddev_samp(value) as s from events)
 select e.* from events e where exists (select 1 from b where abs((e.value - b.m) / b.s) > 3)

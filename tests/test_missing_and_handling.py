@@ -164,3 +164,21 @@ def test_no_checkpoints_on_a_cluster_without_a_shared_folder():
 
     with pytest.raises(RuntimeError):
         checkpoint_dir(Session())
+
+
+def test_forest_pool_rate_needs_no_integer_grid():
+    from tablens.operators import iforest
+    assert iforest.pool_rate(1e13, 256, 100) * 1e13 == pytest.approx(2 * 256 * 100)
+    assert iforest.pool_rate(1000, 256, 100) == 1.0
+
+
+def test_forest_does_not_depend_on_partitioning(spark):
+    from tablens.operators import iforest
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(rng.normal(size=(3000, 2)))] + [(5000, 40.0, 40.0)], "id long, a double, b double")
+    one = iforest.isolation_forest(df.repartition(1), ["a", "b"], "id").select("id", "is_outlier")
+    many = iforest.isolation_forest(df.repartition(7), ["a", "b"], "id").select("id", "is_outlier")
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
+    record = iforest.anomaly_record(iforest.isolation_forest(df, ["a", "b"], "id")).first()
+    assert record.n_rows == 3001 and 120 <= record.n_flagged <= 180 and record.min_decision < 0
+    assert one.filter("id = 5000 and is_outlier").count() == 1

@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 from tablens.operators import plotdata as V
 from tablens.plans.reports import summary_report
 
@@ -43,7 +44,12 @@ def test_caps_and_pairs(grouped):
 
 def test_summary_report_parts(spark):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    rep = summary_report(ev, ["value"], label="event_type", key="event_id")
+    rep = summary_report(ev.withColumn("user_id", F.col("user_id").cast("double")), ["value", "user_id"], label="event_type", key="event_id", ts="ts")
+    assert {"clusters", "cluster_importance", "forest", "calendar", "monthly_means", "gaps", "periods"} <= set(rep)
+    record = rep["forest"].first()
+    assert record.n_rows == 1000 and 40 <= record.n_flagged <= 60 and record.min_decision < 0 < record.max_decision
+    assert rep["clusters"].agg(F.sum("size")).first()[0] == 2 * 1000
+    assert {r.column_name for r in rep["periods"].collect()} <= {"value", "user_id"}
     for name in ("info", "missing", "describe", "anomalies", "importance", "group_stats", "top_groups",
                  "quality_issues"):
         assert rep[name].count() >= 0
