@@ -182,3 +182,15 @@ def test_forest_does_not_depend_on_partitioning(spark):
     record = iforest.anomaly_record(iforest.isolation_forest(df, ["a", "b"], "id")).first()
     assert record.n_rows == 3001 and 120 <= record.n_flagged <= 180 and record.min_decision < 0
     assert one.filter("id = 5000 and is_outlier").count() == 1
+
+
+def test_small_helpers(spark):
+    from tablens.operators import plotdata as V
+    from tablens.operators import roles
+    df = spark.createDataFrame([(i, float(i % 10), "2024-01-0%d" % (i % 9 + 1), "x") for i in range(50)] + [(99, 500.0, None, "y")],
+                               "id long, v double, day string, s string")
+    assert [tuple(r) for r in Q.dtype_report(df).collect()][1] == ("v", "double", True)
+    assert {r.value for r in V.box_fliers(df, "id", ["v"]).collect()} == {500.0}
+    some = io.sample_fraction(df, 0.5, seed=1)
+    assert 5 < some.count() < 45 and some.exceptAll(df).count() == 0
+    assert dict(roles.promote_datetimes(df).dtypes)["day"].startswith(("timestamp", "date")) and dict(roles.promote_datetimes(df).dtypes)["s"] == "string"
