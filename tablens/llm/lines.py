@@ -19,18 +19,19 @@ from pyspark.sql import functions as F
 
 MIN_WORDS = 3
 BREAKS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n(?:[\x20\x09\x0B-\x0D]*\n)+")}
-_ASCII_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
-_WHITE = re.compile(r"[\x20\x09-\x0D]+")
 
 
-def units(text: str, unit: str = "line") -> Iterator[tuple[int, int, str]]:
-    """(start, end with the break, normalised text) of each unit of a text, in code points."""
+def units(text: str, unit: str = "line") -> Iterator[tuple[int, int, list[bytes]]]:
+    """(start, end with the break, lower-cased words) of each unit of a text, in code points.
+
+    ``bytes`` lower-case A-Z and split at the white space \\x20 and \\x09-\\x0D alone.
+    """
     at = 0
     for m in BREAKS[unit].finditer(text):
-        yield at, m.end(), _WHITE.sub(" ", text[at:m.start()].translate(_ASCII_LOWER)).strip(" ")
+        yield at, m.end(), text[at:m.start()].encode().lower().split()
         at = m.end()
     if at < len(text):
-        yield at, len(text), _WHITE.sub(" ", text[at:].translate(_ASCII_LOWER)).strip(" ")
+        yield at, len(text), text[at:].encode().lower().split()
 
 
 def unit_table(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -41,12 +42,12 @@ def unit_table(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS,
         for batch in batches:
             row, start, end, digest = [], [], [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
-                for a, b, norm in units(text or "", unit):
-                    if norm.count(" ") + 1 >= min_words and norm:
+                for a, b, words in units(text or "", unit):
+                    if len(words) >= max(1, min_words):
                         row.append(i)
                         start.append(a)
                         end.append(b)
-                        digest.append(xxhash.xxh3_128_digest(norm.encode()))
+                        digest.append(xxhash.xxh3_128_digest(b" ".join(words)))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), pa.array(start, pa.int64()), pa.array(end, pa.int64()),
                                               pa.array(digest, pa.binary())], names=["id", "start", "end", "digest"])
 
