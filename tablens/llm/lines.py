@@ -17,6 +17,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 MIN_WORDS = 3
 BREAKS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n(?:[\x20\x09\x0B-\x0D]*\n)+")}
 
@@ -60,6 +62,8 @@ def removed_ranges(docs: DataFrame, unit: str = "line", min_words: int = MIN_WOR
     # The least occurrence by (id, start), null ids last; pre-aggregated before the shuffle.
     order = F.struct(F.col("id").isNull().alias("none"), "id", "start")
     first = found.groupBy("digest").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
+    # Written, so that the join deals both sides itself and AQE can split the rows of a very common line.
+    first = written(first, "repeated-units")
     again = found.join(first, "digest").where(order != F.col("first"))
     return again.groupBy("id").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("ranges"))
 
