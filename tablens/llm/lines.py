@@ -1,6 +1,8 @@
 """Substring dedup by line or paragraph hashing.
 
-Each text is cut into lines (or paragraphs, at blank lines); a unit is normalised (A-Z
+Each text is cut into lines (or paragraphs, at blank lines); since a repeated passage seldom
+begins and ends with a line, the unit ``sentence`` also cuts lines behind the marks that end a
+sentence. A unit is normalised (A-Z
 lower-cased, runs of white space as one space, none at the ends) and hashed to 128 bits.
 Digests are grouped over the whole table; of every repeated unit the occurrence with the least
 (id, offset) stays and all others are removed with the line break after them. The removed ranges
@@ -19,8 +21,9 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-MIN_WORDS = 3
-BREAKS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n(?:[\x20\x09\x0B-\x0D]*\n)+")}
+#: Shorter units repeat by chance in unrelated texts and stay.
+MIN_WORDS = 6
+BREAKS = {"line": re.compile(r"\n"), "sentence": re.compile(r"[.!?]+[\x20\x09-\x0D]+|\n"), "paragraph": re.compile(r"\n(?:[\x20\x09\x0B-\x0D]*\n)+")}
 
 
 def units(text: str, unit: str = "line") -> Iterator[tuple[int, int, list[bytes]]]:
@@ -30,7 +33,7 @@ def units(text: str, unit: str = "line") -> Iterator[tuple[int, int, list[bytes]
     """
     at = 0
     for m in BREAKS[unit].finditer(text):
-        yield at, m.end(), text[at:m.start()].encode().lower().split()
+        yield at, m.end(), text[at:m.end()].encode().lower().split()
         at = m.end()
     if at < len(text):
         yield at, len(text), text[at:].encode().lower().split()
@@ -56,15 +59,21 @@ def unit_table(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS,
     return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, start long, end long, digest binary")
 
 
-def removed_ranges(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, ranges``: the (start, end) ranges to remove, in order, for each document that has any."""
+def repeated_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, start, end, kept_id, kept_start``: every unit to remove, in offsets of the original text, and the one that stays."""
     found = unit_table(docs, unit, min_words, id_col, text_col)
     # The least occurrence by (id, start), null ids last; pre-aggregated before the shuffle.
     order = F.struct(F.col("id").isNull().alias("none"), "id", "start")
     first = found.groupBy("digest").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
     # Written, so that the join deals both sides itself and AQE can split the rows of a very common line.
     first = written(first, "repeated-units")
-    again = found.join(first, "digest").where(order != F.col("first"))
+    return found.join(first, "digest").where(order != F.col("first")).select(
+        "id", "start", "end", F.col("first.id").alias("kept_id"), F.col("first.start").alias("kept_start"))
+
+
+def removed_ranges(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, ranges``: the (start, end) ranges to remove, in order, for each document that has any."""
+    again = repeated_units(docs, unit, min_words, id_col, text_col)
     return again.groupBy("id").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("ranges"))
 
 

@@ -85,32 +85,23 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("op5_substring_dedup", r"""
-with u as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as nth
+with m as (select doc_id, string_split(regexp_replace(text, '([.!?]+[\x20\x09-\x0D]+|\n)', '\1' || chr(1), 'g'), chr(1)) as parts
            from documents where text is not null),
-p as (select *, coalesce(sum(length(line) + 1) over (partition by doc_id order by nth rows between unbounded preceding and 1 preceding), 0) as start,
-             max(nth) over (partition by doc_id) as lines from u),
-n as (select doc_id, nth, start, start + length(line) + case when nth < lines then 1 else 0 end as stop, line, nth < lines as broken,
-             trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') as norm
+u as (select doc_id, unnest(parts) as unit, generate_subscripts(parts, 1) as nth from m),
+p as (select doc_id, unit,
+             coalesce(sum(length(unit)) over (partition by doc_id order by nth rows between unbounded preceding and 1 preceding), 0) as start from u),
+n as (select doc_id, start, start + length(unit) as stop,
+             trim(regexp_replace(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') as norm
       from p),
-f as (select *, length(norm) > 0 and len(string_split(norm, ' ')) >= 3 as counts from n),
-r as (select *, counts and row_number() over (partition by counts, norm order by doc_id, start) > 1 as gone from f),
-d as (select doc_id, count(*) filter (where gone) as n_removed,
-             coalesce(sum(stop - start) filter (where gone), 0) as removed_chars,
-             coalesce(string_agg(start || ':' || stop, ',' order by start) filter (where gone), '') as removed_spans,
-             sha256(coalesce(string_agg(line || case when broken then chr(10) else '' end, '' order by nth) filter (where not gone), '')) as kept_sha256
-      from r group by doc_id)
-select t.doc_id, cast(coalesce(n_removed, 0) as bigint) as n_removed, cast(coalesce(removed_chars, 0) as bigint) as removed_chars,
-       coalesce(removed_spans, '') as removed_spans, coalesce(kept_sha256, sha256('')) as kept_sha256
-from documents t left join d on t.doc_id = d.doc_id
+f as (select doc_id, start, stop, first_value(doc_id) over w as kept_doc_id, first_value(start) over w as kept_start, row_number() over w as nth
+      from n where len(string_split(norm, ' ')) >= 6 window w as (partition by norm order by doc_id, start))
+select doc_id, cast(start as bigint) as start, cast(stop as bigint) as stop, kept_doc_id, cast(kept_start as bigint) as kept_start
+from f where nth > 1
 """)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated lines of three words or more removed from all documents but the first to have them."""
-    kept = lines.drop_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    spans = F.transform("removed", lambda x: F.concat_ws(":", x["start"].cast("string"), x["end"].cast("string")))
-    size = F.aggregate("removed", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
-    return kept.select("doc_id", F.size("removed").cast("long").alias("n_removed"), size.alias("removed_chars"),
-                       F.array_join(spans, ",").alias("removed_spans"),
-                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+    """Every line, cut at sentence ends, of six words or more that repeats an earlier one, with original offsets."""
+    found = lines.repeated_units(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "sentence")
+    return found.select(F.col("id").alias("doc_id"), "start", F.col("end").alias("stop"), F.col("kept_id").alias("kept_doc_id"), "kept_start")
 
 
 @query("op6_document_fingerprints")

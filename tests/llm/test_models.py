@@ -418,7 +418,7 @@ def test_line_dedup_equals_duckdb(spark):
     assert Counter(tuple(r) for r in got.collect()) == Counter(want.fetchall())
 
 
-@pytest.mark.parametrize("unit", ["line", "paragraph"])
+@pytest.mark.parametrize("unit", ["line", "paragraph", "sentence"])
 def test_line_dedup_edge_rows(spark, edge, unit):
     before = edge.collect()
     got = lines.drop_repeats(edge, unit, min_words=1).collect()
