@@ -19,7 +19,7 @@ from .common import written
 
 MAX_REPEATS = 2
 MAX_PATTERNS = 200_000
-BUCKET_BITS = 16
+LEVEL_BITS = 8
 
 
 def capped_targets(sizes: dict, weights: dict, budget: float, most: float = MAX_REPEATS) -> dict:
@@ -158,24 +158,33 @@ def mix(docs: DataFrame, sources: Column, size: Column, quotas: Callable[[dict],
         plan.append((k, passes, max(0.0, total - passes * n) if passes < max_repeats and n else 0.0))
     # At most MAX_PATTERNS rows, checked above.
     plans = F.broadcast(spark.createDataFrame(plan, "mix_key string, passes int, rest double"))
-    bucket = F.shiftrightunsigned("mix_hash", 64 - BUCKET_BITS)
-    sums = sized.withColumn("bucket", bucket).groupBy("mix_key", "bucket").agg(F.sum("mix_size").alias("n"))
-    over = Window.partitionBy("mix_key").orderBy("bucket")
-    edge = (sums.withColumn("upto", F.sum("n").over(over)).join(plans, "mix_key")
-            .where((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("n") <= F.col("rest")) & (F.col("n") > 0))
-            .groupBy("mix_key").agg(F.min("bucket").alias("bucket"), F.min(F.col("upto") - F.col("n")).alias("ahead"), F.first("rest").alias("rest")))
-    # One bucket of 2^BUCKET_BITS per pattern is put in order row by row.
+    # The rest of each pattern ends in one of 2^LEVEL_BITS hash buckets, that in one of its own
+    # 2^LEVEL_BITS; the rows of that one alone are put in order. No window is longer than a level.
+    edge = plans.select("mix_key", "rest", F.lit(0.0).alias("ahead"), F.lit(0).cast("long").alias("bucket"))
+    for level in (1, 2):
+        part = F.shiftrightunsigned("mix_hash", 64 - LEVEL_BITS * level)
+        sums = (sized.withColumn("above", F.shiftrightunsigned("mix_hash", 64 - LEVEL_BITS * (level - 1)) if level > 1 else F.lit(0).cast("long"))
+                .join(F.broadcast(edge.select("mix_key", F.col("bucket").alias("above"))), ["mix_key", "above"])
+                .groupBy("mix_key", part.alias("part")).agg(F.sum("mix_size").alias("n")))
+        over = Window.partitionBy("mix_key").orderBy("part")
+        found = (sums.join(F.broadcast(edge), "mix_key").withColumn("upto", F.col("ahead") + F.sum("n").over(over))
+                 .where((F.col("upto") > F.col("rest")) & (F.col("n") > 0))
+                 .groupBy("mix_key").agg(F.min(F.struct("part", (F.col("upto") - F.col("n")).alias("ahead"), "rest")).alias("at")))
+        # One row per pattern, at most MAX_PATTERNS.
+        edge = spark.createDataFrame([tuple(r) for r in found.select("mix_key", "at.rest", "at.ahead", "at.part").collect()],
+                                     "mix_key string, rest double, ahead double, bucket long")
+    bucket = F.shiftrightunsigned("mix_hash", 64 - 2 * LEVEL_BITS)
     hashes = (sized.withColumn("bucket", bucket).join(F.broadcast(edge), ["mix_key", "bucket"])
               .groupBy("mix_key", "mix_hash", "ahead", "rest").agg(F.sum("mix_size").alias("n")))
-    inside = Window.partitionBy("mix_key").orderBy(F.col("mix_hash"))
+    order = Window.partitionBy("mix_key").orderBy(F.col("mix_hash"))
     # Signed order inside a bucket agrees with unsigned order: the top bits are the same.
-    last = (hashes.withColumn("upto", F.col("ahead") + F.sum("n").over(inside)).where((F.col("upto") > F.col("rest")) & (F.col("n") > 0))
+    last = (hashes.withColumn("upto", F.col("ahead") + F.sum("n").over(order)).where((F.col("upto") > F.col("rest")) & (F.col("n") > 0))
             .groupBy("mix_key").agg(F.min(F.struct("mix_hash", ((F.col("rest") - F.col("upto") + F.col("n")) / F.col("n")).alias("part"))).alias("at")))
     cuts = {r["mix_key"]: (r["bucket"], r["mix_hash"], r["part"])
             for r in edge.join(last, "mix_key").select("mix_key", "bucket", "at.mix_hash", "at.part").collect()}
     rows = [(k, n, *cuts.get(k, (0, None, 0.0))) for k, n, _ in plan]
     decided = F.broadcast(spark.createDataFrame(rows, "mix_key string, mix_passes int, mix_cut long, mix_last long, mix_part double"))
-    mine = F.shiftrightunsigned("mix_hash", 64 - BUCKET_BITS)
+    mine = F.shiftrightunsigned("mix_hash", 64 - 2 * LEVEL_BITS)
     at_cut = mine == F.col("mix_cut")
     part = (F.when(mine < F.col("mix_cut"), 1.0).when(at_cut & (F.col("mix_hash") < F.col("mix_last")), 1.0)
             .when(at_cut & (F.col("mix_hash") == F.col("mix_last")), F.col("mix_part")).otherwise(0.0))
