@@ -110,7 +110,7 @@ def _as_buffer(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), offs
 
 
-def with_next(docs: DataFrame, id_col: str, text_col: str, rows_per_range: int = 20_000) -> tuple[DataFrame, int]:
+def with_next(docs: DataFrame, id_col: str, text_col: str, rows_per_range: int = 4_000) -> tuple[DataFrame, int]:
     """Rows dealt by ranges of descending id, each range with the row that follows it.
 
     Returns ``id, text, range, extra`` (extra 1: the following range's first row, only to be
@@ -172,19 +172,20 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         texts: list[str] = []
         size, at = 0, None
         for batch in batches:
-            for i, t, r, x in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
-                if x:
-                    if ids:
-                        yield emit(ids, texts, [*texts[1:], t])
-                    ids, texts, size = [], [], 0
-                    continue
-                at = r
-                ids.append(i)
-                texts.append(t)
-                size += len(t)
-                if size > 8 << 20 and len(texts) > 1:
-                    yield emit(ids[:-1], texts[:-1], texts[1:])
-                    ids, texts, size = ids[-1:], texts[-1:], len(t)
+            for k in range(0, batch.num_rows, 256):
+                for i, t, r, x in zip(*(c.to_pylist() for c in batch.slice(k, 256).columns), strict=True):
+                    if x:
+                        if ids:
+                            yield emit(ids, texts, [*texts[1:], t])
+                        ids, texts, size = [], [], 0
+                        continue
+                    at = r
+                    ids.append(i)
+                    texts.append(t)
+                    size += len(t)
+                    if size > 2 << 20 and len(texts) > 1:
+                        yield emit(ids[:-1], texts[:-1], texts[1:])
+                        ids, texts, size = ids[-1:], texts[-1:], len(t)
         if ids:
             raise RuntimeError(f"range {at} has no following row")
 
