@@ -30,7 +30,7 @@ from .textbatch import HashIndex, cut, hash_spans, slices, text_column, words
 
 DEPTH = 5
 BLOCK = 64 << 20
-_SLICE = 2 << 20
+_SLICE = 1 << 20
 _END = 0xFF
 _U = np.uint64
 WORD, GRAM, BUNDLE = 0, 1, 2
@@ -83,7 +83,7 @@ class Tally:
         self.keys.append(keys)
         self.counts.append(counts)
         self.held += len(keys)
-        if self.held > 6_000_000 and len(self.keys) > 8:
+        if self.held > 2_000_000 and len(self.keys) > 8:
             self.total()
 
     def total(self) -> tuple[np.ndarray, np.ndarray]:
