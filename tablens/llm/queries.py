@@ -104,6 +104,31 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "start", F.col("end").alias("stop"), F.col("kept_id").alias("kept_doc_id"), "kept_start")
 
 
+@query("op5_whole_unit_dedup", r"""
+with m as (select doc_id, 'paragraph' as unit, 1 as least, string_split(regexp_replace(text, '(\n(?:[\x20\x09\x0B-\x0D]*\n)+)', '\1' || chr(1), 'g'), chr(1)) as parts
+           from documents where text is not null
+           union all
+           select doc_id, 'line', 1, string_split(regexp_replace(text, '(\n)', '\1' || chr(1), 'g'), chr(1)) from documents where text is not null
+           union all
+           select doc_id, 'sentence', 6, string_split(regexp_replace(text, '([.!?]+[\x20\x09-\x0D]+|\n)', '\1' || chr(1), 'g'), chr(1))
+           from documents where text is not null),
+u as (select doc_id, unit, least, unnest(parts) as part, generate_subscripts(parts, 1) as nth from m),
+p as (select doc_id, unit, least, part, coalesce(sum(length(part)) over
+             (partition by doc_id, unit order by nth rows between unbounded preceding and 1 preceding), 0) as start from u),
+n as (select doc_id, unit, least, start, start + length(part) as stop,
+             trim(regexp_replace(translate(part, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') as norm
+      from p),
+f as (select doc_id, unit, start, stop, first_value(doc_id) over w as kept_doc_id, first_value(start) over w as kept_start, row_number() over w as nth
+      from n where norm <> '' and len(string_split(norm, ' ')) >= least window w as (partition by unit, norm order by doc_id, start))
+select doc_id, unit, cast(start as bigint) as start, cast(stop as bigint) as stop, kept_doc_id, cast(kept_start as bigint) as kept_start
+from f where nth > 1
+""")
+def op5_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole paragraph and line, and every sentence of six words or more, that repeats an earlier one."""
+    found = lines.repeated_units(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "all")
+    return found.select(F.col("id").alias("doc_id"), "unit", "start", F.col("end").alias("stop"), F.col("kept_id").alias("kept_doc_id"), "kept_start")
+
+
 @query("op6_document_fingerprints")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One-permutation MinHash of every document and of its edited text."""

@@ -439,6 +439,30 @@ def test_line_dedup_edge_rows(spark, edge, unit):
     assert lines.drop_repeats(edge.limit(0)).count() == 0
 
 
+def test_whole_lines_and_paragraphs_of_short_sentences_go(spark):
+    line = "Yes. No. Maybe so. " * 20
+    rows = [(1, f"{line}\nfirst text\n"), (2, f"other\n{line}\n"), (3, "a b\nc d\n\nonly here"), (4, "Say a b. c\n\na b\nc d\n"), (5, "ok\n\nok")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert lines.repeated_units(docs, "sentence").count() == 0
+    got = {(r.id, r.unit, r.start, r.end, r.kept_id, r.kept_start) for r in lines.repeated_units(docs, "all").collect()}
+    n = len(line) + 1
+    assert got == {(2, "line", 6, 6 + n, 1, 0), (4, "paragraph", 12, 20, 3, 0), (4, "line", 12, 16, 3, 0), (4, "line", 16, 20, 3, 4),
+                   (5, "paragraph", 4, 6, 5, 0), (5, "line", 4, 6, 5, 0)}
+    left = {r.doc_id: (r.text, [tuple(x) for x in r.removed]) for r in lines.drop_repeats(docs, "all").collect()}
+    assert left[1][1] == left[3][1] == [] and left[2] == ("other\n", [(6, 6 + n)])
+    assert left[4] == ("Say a b. c\n\n", [(12, 20)]) and left[5] == ("ok\n\n", [(4, 6)])
+
+
+def test_whole_unit_query_equals_duckdb(spark):
+    import duckdb
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{SF}/documents.parquet'")
+    want = con.sql(ORACLES["op5_whole_unit_dedup"])
+    got = QUERIES["op5_whole_unit_dedup"](spark, SF).select(*want.columns)
+    rows = Counter(tuple(r) for r in got.collect())
+    assert rows == Counter(want.fetchall()) and {"line", "sentence"} <= {r[1] for r in rows}
+
+
 def test_models_on_empty_tables(spark):
     docs, labels = spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.score(docs, quality.train(docs, labels)).count() == 0
