@@ -1,10 +1,12 @@
 """Secret scans: pattern rules plus sliding-window Shannon entropy over candidate strings.
 
 The pattern rules give the base spans. The entropy method looks at every maximal run of token
-characters of at least ``WINDOW`` characters; a window slides over it one character at a time
+characters of at least SHORTEST characters; a window of WINDOW characters (of the run's own length,
+if that is less) slides over it one character at a time
 with incrementally kept counts, and its entropy is compared with the limit of its character
-class. Consecutive hits merge into one span of kind ``entropy``. Allow-listed candidates
-(addresses, host names, repeated or spelled-out placeholders, plain words and numbers) give none.
+class. Consecutive hits merge into one span of kind ``entropy``. A host name, address or date at the
+start of a run is passed over and what follows it is scanned as a run of its own. Allow-listed runs
+(repeated or spelled-out placeholders, plain words and numbers) give none.
 """
 
 from __future__ import annotations
@@ -32,18 +34,27 @@ KINDS = ("assign", "access", "hex", "entropy")
 TOKEN = np.zeros(256, dtype=bool)
 TOKEN[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"]] = True
 
-WINDOW = 20
-#: Least entropy, in bits per character, of a window of WINDOW characters, by character class.
+WINDOW, SHORTEST = 20, 12
+#: Least entropy, in bits per character, of a window of WINDOW characters, by character class; a
+#: shorter window's limit is less by the ratio of the most entropy the two lengths can have.
 #: A window of only letters or only digits is never a secret on its own.
-LIMITS = {"hex": 2.9, "upper": 3.3, "mixed": 3.5}
+LIMITS = {"hex": 2.9, "upper": 3.3, "lower": 3.2, "mixed": 3.5}
 HEXDIGITS = frozenset("0123456789abcdefABCDEF")
+_DIGIT = re.compile(r"[0-9]")
 
+#: Host names, addresses and dates: suppressed themselves, but not what follows them in a run.
+HEADS = (
+    re.compile(r"(?:[A-Za-z0-9-]+\.)+(?:com|org|net|edu|gov|io|example|invalid|test|local)(?=[/.=-]|\Z)"),
+    re.compile(r"[0-9]{1,4}(?:[-./][0-9]{1,4})+(?:T[0-9:.+-]*Z?(?![A-Za-z0-9])|\Z)"),
+)
+_JOIN = re.compile(r"[-_./=+]*")
 #: Candidates that are suppressed.
 ALLOW = (
-    re.compile(r"(?:[A-Za-z0-9-]+\.)+(?:com|org|net|edu|gov|io|example|invalid|test|local)(?:[/.=-].*)?"),
-    re.compile(r"[0-9]{1,4}(?:[-./][0-9]{1,4})+(?:T.*)?"),
+    *HEADS,
     re.compile(r"(.{1,8}?)\1{2,}.{0,8}"),
     re.compile(r"[A-Za-z]+(?:[-_./=+][A-Za-z]+)*[-_./=+0-9]{0,6}"),
+    # Words with numbers between them.
+    re.compile(r"(?:[A-Za-z][a-z]*|[0-9]{1,4}(?:st|nd|rd|th|s)?)(?:[-_./=+]+(?:[A-Za-z][a-z]*|[0-9]{1,4}(?:st|nd|rd|th|s)?))*"),
     re.compile(r"[A-Fa-f0-9]{8}-(?:[A-Fa-f0-9]{4}-){3}[A-Fa-f0-9]{12}"),
 )
 
@@ -63,7 +74,21 @@ def _class(upper: int, lower: int, digit: int, hexa: int, size: int) -> str | No
         return "hex"
     if upper and not lower:
         return "upper"
-    return "mixed" if upper and lower else None
+    if upper:
+        return "mixed"
+    return "lower" if lower else None
+
+
+def run_spans(run: str) -> list[tuple[int, int]]:
+    """Merged (start, end) of the hits of a whole run behind its leading host names, addresses and dates."""
+    at = 0
+    while _DIGIT.search(run, at):
+        head = next((m for p in HEADS if (m := p.match(run, at))), None)
+        if not head:
+            rest = run[at:]
+            return [(at + s, at + e) for s, e in entropy_spans(rest, min(WINDOW, len(rest)))] if len(rest) >= SHORTEST else []
+        at = _JOIN.match(run, head.end()).end()
+    return []
 
 
 def entropy_spans(candidate: str, window: int = WINDOW) -> list[tuple[int, int]]:
@@ -71,6 +96,9 @@ def entropy_spans(candidate: str, window: int = WINDOW) -> list[tuple[int, int]]
     n = len(candidate)
     if n < window or any(p.fullmatch(candidate) for p in ALLOW):
         return []
+    if any(p.match(candidate) for p in HEADS):
+        return run_spans(candidate)
+    least = {k: v * math.log2(window) / math.log2(WINDOW) for k, v in LIMITS.items()}
     weight = [0.0] + [c * math.log2(c) for c in range(1, window + 1)]
     counts: dict[str, int] = {}
     total = 0.0
@@ -90,7 +118,7 @@ def entropy_spans(candidate: str, window: int = WINDOW) -> list[tuple[int, int]]
                                          hexa - (old in HEXDIGITS))
         if i >= window - 1:
             kind = _class(upper, lower, digit, hexa, window)
-            if kind and math.log2(window) - total / window >= LIMITS[kind]:
+            if kind and math.log2(window) - total / window >= least[kind]:
                 at = i - window + 1
                 if out and at <= out[-1][1]:
                     out[-1] = (out[-1][0], i + 1)
@@ -107,14 +135,12 @@ def _document(raw: bytes, found: list[tuple[int, int]]) -> list[tuple[int, int,
     if b":" in raw or b"=" in raw:
         out += [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST["assign"]]
     for a, b in found:
-        if b - a < LEAST["hex"]:
-            continue
         run = raw[a:b].decode()
         at = a if ascii_only else len(raw[:a].decode())
         # Token runs are maximal, and the characters of both rules are token characters.
         out += [(at + m.start(), at + m.end(), "access") for m in ACCESS.finditer(run) if len(m[0]) >= LEAST["access"]]
         out += [(at + m.start(), at + m.end(), "hex") for m in HEX.finditer(run) if len(m[0]) >= LEAST["hex"]]
-        out += [(at + s, at + e, "entropy") for s, e in entropy_spans(run)]
+        out += [(at + s, at + e, "entropy") for s, e in run_spans(run)]
     return sorted(out, key=lambda x: (x[0], KINDS.index(x[2])))
 
 

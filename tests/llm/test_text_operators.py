@@ -166,6 +166,24 @@ def test_entropy_finds_keys_and_leaves_plain_strings():
         assert not secrets.entropy_spans(plain), plain
 
 
+def test_entropy_of_lower_case_short_and_followed_keys(spark):
+    rng = random.Random(12)
+    lower, mixed = "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for alphabet in (lower, lower[:26] + "234567", mixed):
+        for size, least in ((12, 0.8), (16, 0.9), (19, 0.9), (24, 0.97), (40, 0.99)):
+            keys = ["".join(rng.choice(alphabet) for _ in range(size)) for _ in range(300)]
+            found = [secrets.run_spans(k) for k in keys]
+            assert sum(map(bool, found)) >= least * 300, (alphabet, size, sum(map(bool, found)))
+            assert size >= 20 or all(x in ([], [(0, size)]) for x in found)
+    key = "k7w2m9xq4zt8vb3nj6hd5rcy"
+    texts = [f"{head}{key}" for head in ("hooks.example.com/services/T04AB7/B09XY2/", "10.0.0.12/", "2024-01-02T101112Z-", "2024-01-02Tab/", "")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert all(key[-8:] not in r.text and "[SECRET]" in r.text for r in secrets.redact_secrets(docs).collect())
+    for plain in ("mail6.example.com/path/to/some/page1", "mail7.example.com", "129.38.82.176", "2024-01-02T10:11:12", "21st-century", "covid-19-cases",
+                  "section-3-of-the-long-book", "desleleenpa.90", "9807915762804490"):
+        assert not secrets.run_spans(plain), plain
+
+
 def test_redaction_keeps_rows_and_rest(spark, edge):
     before = sorted((str(r.doc_id), r.text or "") for r in edge.collect())
     after = sorted((str(r.doc_id), r.text or "") for r in secrets.redact_secrets(edge).collect())
