@@ -5,8 +5,9 @@ DataFrame, which is written as Parquet and reread as the next stage's ``docs``.
 return the columns of ``documents``. ``run`` applies them to the whole table.
 
 Nulls and repeated rows: a null text is an empty one (rejected only if the classifier says so);
-of rows that share the id kept for their class, the one with the smallest content stays; an empty
-table passes through as an empty table; extra columns of ``docs`` are carried along.
+of rows that share the id kept for their class, the one with the smallest content stays, as does one
+row of every class that has no id but null; an empty table passes through as an empty table; extra
+columns of ``docs`` are carried along.
 """
 
 from __future__ import annotations
@@ -27,16 +28,31 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-dedup: one document of each class stays, the one with the smallest id."""
-    classes = simhash.simhash_classes(docs)
-    kept = classes.where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    # Rows that share a kept id are rare; only they are compared with one another.
-    shared = written(rows.groupBy(F.col("doc_id").alias("_shared")).agg(F.count("*").alias("n")).where("n > 1").select("_shared"), "shared")
-    alone = rows.join(shared, F.col("doc_id").eqNullSafe(F.col("_shared")), "left_anti")
-    same = rows.join(shared, F.col("doc_id").eqNullSafe(F.col("_shared")), "left_semi")
-    first = same.groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("_row")).select(*[F.col("_row")[c].alias(c) for c in docs.columns])
-    return alone.unionByName(first)
+    """SimHash near-dedup: one document of each class stays, the one with the smallest id.
+
+    A class is known by its fingerprints, not by its least id, which may be null or repeat. Of its
+    rows those with the least id (null if it has no other) are candidates, of which the least
+    content stays. Candidates of several classes that share an id that isn't null count as one document.
+    """
+    fps = written(simhash.fingerprints(docs), "fingerprints")
+    # ``rep`` is the least id of a fingerprint, so the least of a class is that of its fingerprints.
+    classes = written(simhash.fp_classes(fps), "classes")
+    least = classes.groupBy("root").agg(F.min("rep").alias("least"))
+    # A null ``rep`` is a candidate only in a class without ids.
+    chosen = classes.join(least, "root").where(F.col("rep").eqNullSafe(F.col("least")))
+    chosen = written(chosen.select(F.col("fp").alias("_fp"), F.col("rep").alias("_kept"), F.when(F.col("rep").isNull(), F.col("root")).alias("_class")), "chosen")
+    # A group is an id, or a class without ids; only groups of several rows are compared with one another.
+    several = fps.join(chosen, (F.col("fp") == F.col("_fp")) & F.col("doc_id").eqNullSafe(F.col("_kept")))
+    several = several.groupBy("_kept", "_class").agg((F.count("*") > 1).alias("_several"))
+    chosen = chosen.join(several.withColumnsRenamed({"_kept": "_k", "_class": "_c"}),
+                         F.col("_kept").eqNullSafe(F.col("_k")) & F.col("_class").eqNullSafe(F.col("_c"))).drop("_k", "_c")
+    chosen = written(chosen, "chosen")
+    marked = simhash.with_fingerprints(docs, fp_col="_own")
+    rows = marked.join(chosen, (F.col("_own") == F.col("_fp")) & F.col("doc_id").eqNullSafe(F.col("_kept")))
+    rows = written(rows.select(*docs.columns, "_class", "_several"), "candidates")
+    first = (rows.where("_several").groupBy("doc_id", "_class").agg(F.min(F.struct(*docs.columns)).alias("_row"))
+             .select(*[F.col("_row")[c].alias(c) for c in docs.columns]))
+    return rows.where("not _several").select(*docs.columns).unionByName(first)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,20 +50,26 @@ def fingerprint(raw: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
     return int(bits.view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """``id_col, fp``: one row per document, the fingerprint as a signed long. Null text: 0."""
+def with_fingerprints(docs: DataFrame, text_col: str = "text", shingle_words: int = SHINGLE_WORDS, fp_col: str = "fp") -> DataFrame:
+    """``docs`` with ``fp_col``: each text's fingerprint as a signed long. Null text: 0."""
+    at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            buf, offs = text_column(batch.column(1))
+            buf, offs = text_column(batch.column(at))
             data = memoryview(buf)
             fp = np.fromiter((fingerprint(bytes(data[offs[i]:offs[i + 1]]), shingle_words)
                               for i in range(len(offs) - 1)), dtype=np.uint64, count=len(offs) - 1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], names=[id_col, "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fp.view(np.int64))], names=[*batch.schema.names, fp_col])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return docs.mapInArrow(run, f"{fields}, `{fp_col}` long")
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, fp long")
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+    """``id_col, fp``: one row per document, the fingerprint as a signed long. Null text: 0."""
+    return with_fingerprints(docs.select(id_col, text_col), text_col, shingle_words).drop(text_col)
 
 
 class BKTree:
@@ -179,11 +185,16 @@ def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     empty table gives an empty result. Exact copies meet as one fingerprint before any search.
     """
     fps = written(fingerprints(docs, id_col, text_col, shingle_words), "simhash")
-    distinct = written(fps.groupBy("fp").agg(F.min(id_col).alias("rep")), "simhash-distinct")
-    classes = connected_components(links(distinct.select("fp"), radius))
-    rooted = (distinct.join(classes.select(F.col("node").alias("fp"), "component"), "fp", "left")
-              .select("fp", "rep", F.coalesce("component", "fp").alias("root")))
+    rooted = fp_classes(fps, id_col, radius)
     named = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
     label = written(rooted.join(named, "root").select("fp", "component_id"), "simhash-classes")
     return fps.join(label, "fp").select(
         id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def fp_classes(fps: DataFrame, id_col: str = "doc_id", radius: int = RADIUS) -> DataFrame:
+    """``fp, rep, root``: every distinct fingerprint, its least id, and the fingerprint that names its class."""
+    distinct = written(fps.groupBy("fp").agg(F.min(id_col).alias("rep")), "simhash-distinct")
+    classes = connected_components(links(distinct.select("fp"), radius))
+    return (distinct.join(classes.select(F.col("node").alias("fp"), "component"), "fp", "left")
+            .select("fp", "rep", F.coalesce("component", "fp").alias("root")))

@@ -49,3 +49,12 @@ def test_edge_rows_pass_all_stages(spark):
     kept = corpus_pipeline.drop_near_copies(spark, docs, SMALL).collect()
     assert Counter(r.doc_id for r in kept).most_common(1)[0][1] == 1 and len(kept[0]) == 6
     assert corpus_pipeline.keep_quality(spark, docs, SMALL).columns == docs.columns
+
+
+def test_classes_without_ids_and_with_foreign_ids_keep_a_row(spark):
+    texts = [" ".join(f"{w}{k}{i}" for i in range(30)) for k, w in enumerate(("alpha", "brown", "cedar", "delta", "eager"))]
+    rows = [(None, texts[0]), (None, texts[0]), (None, texts[1]), (None, texts[2]), (7, texts[2]), (1, texts[3]), (3, texts[3]), (3, texts[4]), (9, texts[4])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = corpus_pipeline.drop_near_copies(spark, docs, SMALL).collect()
+    # Row (3, texts[3]) is a copy of document 1 and must not take the place of (3, texts[4]).
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter([(None, texts[0]), (None, texts[1]), (7, texts[2]), (1, texts[3]), (3, texts[4])])
