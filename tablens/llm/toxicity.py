@@ -3,8 +3,9 @@
 A word enters as the sum of its own hashed embedding and the mean embedding of its character
 trigrams (with its borders). Each window of WINDOW words, one every STRIDE words, runs through
 one gated recurrent layer in either direction; attention pools the states, a linear layer gives
-the window's logit, and a text's score is that of its highest window, so every word of every
-text is read twice. The network is trained in numpy, with hand-written back-propagation, on at
+the window's logit, and a text's score is that of its highest window. Windows overlap by half:
+every word is read, those more than STRIDE words from both ends of a text twice, and any passage of at
+most WINDOW - STRIDE + 1 words lies whole in a window; a longer one may be cut. The network is trained in numpy, with hand-written back-propagation, on at
 most SAMPLE labelled rows, half of either label.
 """
 
