@@ -10,10 +10,22 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir, ship_package
 
 
+#: Arrow batches hold at most so many bytes (one longer row is a batch of its own), not only so many rows.
+BATCH_BYTES = "8m"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches that tasks send to Python by bytes, where the session has no bound of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, BATCH_BYTES)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     ship_package(spark)
     checkpoint_dir(spark)
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
