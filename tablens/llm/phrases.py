@@ -5,10 +5,10 @@ Texts are lower-cased (A-Z), cut into pieces at ``[.,;:!?\\x0A-\\x0D]`` and thos
 every place, overlaps included, by a HAT-trie in each task (``hattrie.py``), whose sorted runs are
 merged by Spark per prefix partition: a phrase's leading words decide its partition.
 
-All parts of a phrase occur at least as often as it does, so words are counted first, then pairs
-of words that may be frequent, then triples and fours of frequent pairs. What may be frequent is
-told by a Bloom filter of fixed size: it lets rare phrases pass, which the exact counts then drop,
-and never holds back a frequent one.
+All parts of a phrase occur at least as often as it does, so words are counted first, then pairs of
+frequent words, then triples and fours of frequent pairs, each exactly and by text. What is frequent is
+told to the next pass by a Bloom filter of fixed size: it lets some rare phrases pass, which their
+counts then drop, and never holds back a frequent one.
 
 Null and empty texts have no words; a null language is ``und``; repeated rows count each; ties in
 the score go by count, then phrase (UTF-8 bytes); an empty table gives an empty result; other
@@ -39,6 +39,7 @@ ENDS_WORD[[0x20, 0x09]] = True
 MAX_WORDS = 4
 BLOOM_BITS = 1 << 26
 DICTIONARY = 1 << 20
+PART_WORDS = 2_000_000
 TOP_SALTS = 64
 _A = np.uint64(0x9E3779B97F4A7C15)
 
@@ -119,8 +120,8 @@ class Bloom:
         return out
 
 
-def bloom_of(phrases: DataFrame, bits: int = BLOOM_BITS):
-    """The broadcast filter (``bits`` bits, whatever the corpus) of a table ``lang, phrase`` of words or pairs."""
+def bloom_words(phrases: DataFrame, bits: int = BLOOM_BITS) -> np.ndarray:
+    """The words of a filter of ``bits`` bits, whatever the corpus, over a table ``lang, phrase`` of words or pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros(bits // 64, dtype=np.uint64)
@@ -129,10 +130,10 @@ def bloom_of(phrases: DataFrame, bits: int = BLOOM_BITS):
             buf, offs = text_column(batch.column(1))
             for i, j in slices(offs):
                 chunk, cuts = cut(buf, offs, i, j)
-                _, _, doc, h, goes_on = tokens(chunk, cuts, language_salts(names)[lang[i:j]])
+                _, _, _, h, goes_on = tokens(chunk, cuts, language_salts(names)[lang[i:j]])
                 # The last word's hash, joined with the one before it if there is one.
-                last = ~goes_on
-                h = np.where(np.concatenate([[False], goes_on[:-1]]), pair_hash(np.roll(h, 1), h), h)[last]
+                joined = np.concatenate([[False], goes_on[:-1]])
+                h = np.where(joined, pair_hash(np.roll(h, 1), h), h)[~goes_on]
                 for p in Bloom.places(h, bits):
                     np.bitwise_or.at(found, (p >> np.uint64(6)).astype(np.int64), np.uint64(1) << (p & np.uint64(63)))
         at = np.flatnonzero(found)
@@ -142,7 +143,7 @@ def bloom_of(phrases: DataFrame, bits: int = BLOOM_BITS):
     got = rows.toArrow()  # at most bits / 64 rows
     words = np.zeros(bits // 64, dtype=np.uint64)
     words[got["at"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
-    return phrases.sparkSession.sparkContext.broadcast(words)
+    return words
 
 
 def _languages(col) -> tuple[np.ndarray, list[str]]:
@@ -174,55 +175,117 @@ class Words:
             known = self.index.get(h)
         return known.astype(np.uint64) + np.uint64(1)
 
-    def rows(self, found: list[Run], names: list[str]) -> Iterator[pa.RecordBatch]:
-        """A run's phrases as rows ``lang, words, prefix, phrase, c``, in the run's order for each number of words."""
+    def packed(self, found: list[Run], names: list[str], parts: int) -> Iterator[pa.RecordBatch]:
+        """Sorted runs as rows ``part, size, run``: for each prefix partition the run's words and phrases, packed."""
         if not found:
             return
-        texts = pa.array(self.texts, pa.binary()).cast(pa.string())
+        texts = np.array(self.texts, dtype=object)
         langs, hashes = np.concatenate(self.langs), np.concatenate(self.hashes)
-        named = pa.array(names, pa.string())
+        named = [n.encode() for n in names]
         for high, low, count in found:
             ids = np.stack([word_at(high, low, d).astype(np.int64) - 1 for d in range(MAX_WORDS)])
             size = (ids >= 0).sum(axis=0)
+            rows: list[tuple[int, int, bytes]] = []
             for m in np.unique(size).tolist():
                 at = np.flatnonzero(size == m)
                 mine = ids[:m, at]
+                # The leading words: one or two, or all but the last.
                 prefix = hashes[mine[0]]
                 for d in range(1, min(m, max(2, m - 1))):
                     prefix = pair_hash(prefix, hashes[mine[d]])
-                parts = [texts.take(pa.array(x)) for x in mine]
-                phrase = pc.binary_join_element_wise(*parts, " ") if m > 1 else parts[0]
-                yield pa.RecordBatch.from_arrays(
-                    [named.take(pa.array(langs[mine[0]])), pa.array(np.full(len(at), m, np.int32)), pa.array(prefix.view(np.int64)), phrase,
-                     pa.array(count[at])], names=["lang", "words", "prefix", "phrase", "c"])
-
-
-def count_phrases(docs: DataFrame, sizes: tuple[int, ...], bloom=None) -> DataFrame:
-    """``lang, words, phrase, c``: counts of all phrases of ``sizes`` words, (1,), (2,) or (3, 4).
-
-    ``docs`` has ``lang`` and ``text``. ``bloom`` may hold phrases back: for pairs it is asked for each word, for
-    longer ones for each pair of neighbours.
+                part = (prefix >> np.uint64(8)) % np.uint64(parts)
+                order = np.argsort(part, kind="stable")
+                cuts = np.flatnonzero(np.diff(part[order], prepend=-1, append=-1))
+                for i, j in zip(cuts, cuts[1:], strict=False):
+                    sel = order[i:j]
+                    used, local = np.unique(mine[:, sel], return_inverse=True)
+                    shown = [named[x] + b" " + w for x, w in zip(langs[used].tolist(), texts[used].tolist(), strict=True)]
+                    raw = b"".join([
+                        np.array([m, len(sel), len(used)], "<u4").tobytes(), np.array([len(w) for w in shown], "<u4").tobytes(),
+                        local.astype("<u4").tobytes(), count[at[sel]].astype("<i8").tobytes(), *shown])
+                    rows.append((int(part[sel[0]]), len(raw), pa.compress(raw, codec="zstd", asbytes=True)))
+            part, size, run = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(size, pa.int64()), pa.array(run, pa.binary())], names=["part", "size", "run"])
+
+
+def unpack_run(raw: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """A packed run's words (language, blank, word), word numbers (a row per place in the phrase) and counts."""
+    m, n, words = np.frombuffer(raw, "<u4", 3).tolist()
+    at = 12
+    offs = np.concatenate([[0], np.cumsum(np.frombuffer(raw, "<u4", words, at), dtype=np.int64)])
+    at += 4 * words
+    ids = np.frombuffer(raw, "<u4", m * n, at).reshape(m, n)
+    at += 4 * m * n
+    count = np.frombuffer(raw, "<i8", n, at)
+    texts = pa.Array.from_buffers(pa.large_binary(), words, [None, pa.py_buffer(offs.tobytes()), pa.py_buffer(raw[at + 8 * n:])])
+    return texts, ids, count
+
+
+def merge_runs(table: pa.Table, least: int) -> pa.Table:
+    """Merges the runs of a prefix partition: ``lang, words, phrase, c`` of the phrases that occur ``least`` times or more.
+
+    Rows of no words hold the number of all words of a language there.
     """
-
-    def phrases(ids, h, goes_on, ready):
-        if sizes == (1,):
-            return ids[ready] << np.uint64(32), np.zeros(int(ready.sum()), np.uint64)
-        shift = np.uint64(32)
-        pair = goes_on[:-1] & (ids[:-1] > 0) & (ids[1:] > 0)
-        if sizes == (2,):
-            at = np.flatnonzero(pair & ready[1:])
-            return ids[at] << shift | ids[at + 1], np.zeros(len(at), np.uint64)
-        three = pair[:-1] & pair[1:]
-        four = three[:-1] & three[1:]
-        at3, at4 = np.flatnonzero(three & ready[2:]), np.flatnonzero(four & ready[3:])
-        at3, at4 = at3 if 3 in sizes else at3[:0], at4 if 4 in sizes else at4[:0]
-        at = np.concatenate([at3, at4])
-        low = ids[at + 2] << shift
-        low[len(at3):] |= ids[at4 + 3]
-        return ids[at] << shift | ids[at + 1], low
+    by_size: dict[int, list] = {}
+    for size, run in zip(table["size"].to_pylist(), table["run"], strict=True):
+        got = unpack_run(pa.decompress(run.as_buffer(), size, codec="zstd", asbytes=True))
+        by_size.setdefault(len(got[1]), []).append(got)
+    out = [pa.table({"lang": pa.array([], pa.string()), "words": pa.array([], pa.int32()), "phrase": pa.array([], pa.string()), "c": pa.array([], pa.int64())})]
+    for m, found in by_size.items():
+        words = pa.concat_arrays([f[0] for f in found]).dictionary_encode()
+        number = words.indices.to_numpy()
+        first = np.cumsum([0, *[len(f[0]) for f in found]])
+        ids = np.concatenate([number[f[1].astype(np.int64) + k] for f, k in zip(found, first, strict=False)], axis=1)
+        count = np.concatenate([f[2] for f in found])
+        order = np.lexsort(ids[::-1])
+        ids = ids[:, order]
+        new = np.flatnonzero(np.concatenate([[True], (ids[:, 1:] != ids[:, :-1]).any(axis=0)]))
+        total = np.add.reduceat(count[order], new)
+        ids = ids[:, new]
+        named = [w.rsplit(b" ", 1) for w in words.dictionary.to_pylist()]
+        lang = pa.array([n[0].decode() for n in named], pa.string())
+        text = pa.array([n[1].decode() for n in named], pa.string())
+        if m == 1:
+            sums = pa.table({"lang": lang.take(pa.array(ids[0])), "c": pa.array(total)}).group_by("lang").aggregate([("c", "sum")])
+            out.append(pa.table({"lang": sums["lang"], "words": pa.array(np.zeros(len(sums), np.int32)), "phrase": pa.nulls(len(sums), pa.string()), "c": sums["c_sum"]}))
+        keep = total >= least
+        ids, total = ids[:, keep], total[keep]
+        parts = [text.take(pa.array(x)) for x in ids]
+        phrase = pc.binary_join_element_wise(*parts, " ") if m > 1 else parts[0]
+        out.append(pa.table({"lang": lang.take(pa.array(ids[0])), "words": pa.array(np.full(len(total), m, np.int32)), "phrase": phrase, "c": pa.array(total)}))
+    return pa.concat_tables(out)
+
+
+def _occurrences(ids: np.ndarray, goes_on: np.ndarray, ready: np.ndarray, sizes: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Packed phrases of ``sizes`` words in all places where ``goes_on`` joins a word with the next."""
+    shift = np.uint64(32)
+    begins = ids > 0
+    for m in range(1, max(sizes) + 1):
+        if m > 1:
+            begins = begins[:-1] & goes_on[m - 2:-1] & (ids[m - 1:] > 0)
+        if m not in sizes:
+            continue
+        at = np.flatnonzero(begins & ready[m - 1:])
+        high = ids[at] << shift
+        if m > 1:
+            high |= ids[at + 1]
+        low = ids[at + 2] << shift if m > 2 else np.zeros(len(at), np.uint64)
+        if m > 3:
+            low |= ids[at + 3]
+        yield high, low
+
+
+def count_phrases(docs: DataFrame, sizes: tuple[int, ...], least: int, parts: int, words: np.ndarray | None = None) -> DataFrame:
+    """``lang, words, phrase, c``: exact counts of the phrases of ``sizes`` words that occur ``least`` times or more.
+
+    ``docs`` has ``lang`` and ``text``. ``words`` is a filter that may hold back phrases: of two words by either word, of
+    more by any pair of neighbours. Sizes are (1,), (2,) or (3, 4); with (1,) rows of no words hold the languages' totals.
+    Runs are dealt over ``parts`` prefix partitions, each merged at once.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(words) if words is not None else None  # BLOOM_BITS bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        allowed = Bloom(bloom.value) if bloom else None
+        allowed = Bloom(held.value) if held else None
         trie, known, names, code = HatTrie(), Words(), [], {}
         for batch in batches:
             lang, present = _languages(batch.column(0))
@@ -237,28 +300,25 @@ def count_phrases(docs: DataFrame, sizes: tuple[int, ...], bloom=None) -> DataFr
                 starts, ends, doc, h, goes_on = tokens(chunk, cuts, salt[i:j])
                 if not len(h):
                     continue
-                ready = starts >= context
-                if allowed is None:
-                    use = np.ones(len(h), dtype=bool)
-                elif sizes == (2,):
+                use = np.ones(len(h), dtype=bool)
+                if allowed and sizes == (2,):
                     use = allowed.may_hold(h)
-                else:
-                    both = goes_on.copy()
-                    both[:-1] &= allowed.may_hold(pair_hash(h[:-1], h[1:]))
-                    goes_on, use = both, both.copy()
-                    use[1:] |= both[:-1]
+                elif allowed:
+                    at = np.flatnonzero(goes_on)
+                    goes_on[at] = allowed.may_hold(pair_hash(h[at], h[at + 1]))
+                    use = goes_on.copy()
+                    use[1:] |= goes_on[:-1]
                 ids = np.zeros(len(h), dtype=np.uint64)
                 ids[use] = known.ids(chunk, starts[use], ends[use], h[use], lang[i:j][doc[use]])
-                yield from known.rows(trie.add(*phrases(ids, h, goes_on, ready)), names)
+                for high, low in _occurrences(ids, goes_on, starts >= context, sizes):
+                    yield from known.packed(trie.add(high, low), names, parts)
                 if known.index.size > DICTIONARY:
-                    yield from known.rows(trie.drain(), names)
+                    yield from known.packed(trie.drain(), names, parts)
                     known = Words()
-        yield from known.rows(trie.drain(), names)
+        yield from known.packed(trie.drain(), names, parts)
 
-    found = docs.select("lang", "text").mapInArrow(run, "lang string, words int, prefix long, phrase string, c long")
-    # A prefix partition holds all phrases with the same leading words (one or two words, or all but the last).
-    merged = found.repartition("prefix").groupBy("prefix", "lang", "words", "phrase").agg(F.sum("c").alias("c"))
-    return merged.select("lang", "words", "phrase", "c")
+    runs_ = docs.select("lang", "text").mapInArrow(run, "part int, size long, run binary")
+    return runs_.groupBy("part").applyInArrow(lambda t: merge_runs(t, least), "lang string, words int, phrase string, c long")
 
 
 def _join(words: Column, start, length) -> Column:
@@ -274,13 +334,15 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     that occurs at least ``contained_percent`` as often go; ``n`` is the number of all words of the language.
     """
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    enough = F.col("c") >= min_count
-    words = written(count_phrases(texts, (1,)), "phrase-words")
-    pairs = written(count_phrases(texts, (2,), bloom_of(words.where(enough))).where(enough), "phrase-pairs")
-    longer = written(count_phrases(texts, (3, 4), bloom_of(pairs)).where(enough), "phrase-longer")
-    total = words.groupBy("lang").agg(F.sum("c").alias("n"))
-    known = words.where(enough).unionByName(pairs).unionByName(longer)
-    return rank_collocations(known, total, contained_percent, top)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = written(count_phrases(texts, (1,), min_count, parts), "phrase-words")
+    total = words.where("words = 0").groupBy("lang").agg(F.sum("c").alias("n"))
+    words = words.where("words = 1")
+    # There are no more phrases in a partition's runs than words in the corpus over the number of partitions.
+    parts = max(parts, (total.agg(F.sum("n")).first()[0] or 0) // PART_WORDS)
+    pairs = written(count_phrases(texts, (2,), min_count, parts, bloom_words(words)), "phrase-pairs")
+    longer = written(count_phrases(texts, (3, 4), min_count, parts, bloom_words(pairs)), "phrase-longer")
+    return rank_collocations(words.unionByName(pairs).unionByName(longer), total, contained_percent, top)
 
 
 def rank_collocations(known: DataFrame, total: DataFrame, contained_percent: int, top: int) -> DataFrame:
