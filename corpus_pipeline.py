@@ -5,13 +5,16 @@ DataFrame, which is written as Parquet and reread as the next stage's ``docs``.
 return the columns of ``documents``. ``run`` applies them to the whole table.
 
 Nulls and repeated rows: a null text is an empty one (rejected only if the classifier says so);
-of rows that share the id kept for their class, the one with the smallest content stays, as does one
-row of every class that has no id but null; an empty table passes through as an empty table; extra
-columns of ``docs`` are carried along.
+near-dedup keeps one row of each class, that with the least id (a null id last), then the least
+content, also where unlike texts share an id; an empty table passes through as an empty table; extra columns
+of ``docs``, of any type and name, are carried along unchanged.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,51 +23,62 @@ from tablens.llm.common import fold_of, read_table, word_count, written
 from tablens.llm.queries import tokenizer_file
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+READ = ("doc_id", "text", "source", "n_chars")
+
+
+def carries_extras(stage: Stage) -> Stage:
+    """Columns that no stage reads have plain names inside ``stage``, so that none clashes with its own."""
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        plain = [c if c in READ else f"extra_{i}" for i, c in enumerate(docs.columns)]
+        out = stage(spark, docs.toDF(*plain), sf_dir)
+        return out.toDF(*docs.columns) if out.columns == plain else out
+
+    return run
+
+
+@carries_extras
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier: documents scored under one half go."""
     labels = read_table(spark, sf_dir, "labels").where(fold_of("doc_id", 3) != 1)
     weights = quality.train(docs, labels, "quality")
-    return quality.score(docs, weights, score_col="_quality").where("_quality >= 0.5").drop("_quality")
+    return quality.score(docs, weights, score_col="quality_score").where("quality_score >= 0.5").drop("quality_score")
 
 
+@carries_extras
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-dedup: one document of each class stays, the one with the smallest id.
 
-    A class is known by its fingerprints, not by its least id, which may be null or repeat. Of its
-    rows those with the least id (null if it has no other) are candidates, of which the least
-    content stays. Candidates of several classes that share an id that isn't null count as one document.
+    A class is known by its fingerprints, not by its ids, which may be null or repeat: the least id of
+    a class and the least fingerprint under which it occurs there name the rows of which one stays.
     """
     fps = written(simhash.fingerprints(docs), "fingerprints")
-    # ``rep`` is the least id of a fingerprint, so the least of a class is that of its fingerprints.
-    classes = written(simhash.fp_classes(fps), "classes")
-    least = classes.groupBy("root").agg(F.min("rep").alias("least"))
-    # A null ``rep`` is a candidate only in a class without ids.
-    chosen = classes.join(least, "root").where(F.col("rep").eqNullSafe(F.col("least")))
-    chosen = written(chosen.select(F.col("fp").alias("_fp"), F.col("rep").alias("_kept"), F.when(F.col("rep").isNull(), F.col("root")).alias("_class")), "chosen")
-    # A group is an id, or a class without ids; only groups of several rows are compared with one another.
-    several = fps.join(chosen, (F.col("fp") == F.col("_fp")) & F.col("doc_id").eqNullSafe(F.col("_kept")))
-    several = several.groupBy("_kept", "_class").agg((F.count("*") > 1).alias("_several"))
-    chosen = chosen.join(several.withColumnsRenamed({"_kept": "_k", "_class": "_c"}),
-                         F.col("_kept").eqNullSafe(F.col("_k")) & F.col("_class").eqNullSafe(F.col("_c"))).drop("_k", "_c")
-    chosen = written(chosen, "chosen")
-    marked = simhash.with_fingerprints(docs, fp_col="_own")
-    rows = marked.join(chosen, (F.col("_own") == F.col("_fp")) & F.col("doc_id").eqNullSafe(F.col("_kept")))
-    rows = written(rows.select(*docs.columns, "_class", "_several"), "candidates")
-    first = (rows.where("_several").groupBy("doc_id", "_class").agg(F.min(F.struct(*docs.columns)).alias("_row"))
-             .select(*[F.col("_row")[c].alias(c) for c in docs.columns]))
-    return rows.where("not _several").select(*docs.columns).unionByName(first)
-
-
+    least = F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "fp")).alias("least")
+    chosen = written(simhash.fp_classes(fps).groupBy("root").agg(least).select(F.col("least.fp").alias("kept_fp"), F.col("least.rep").alias("kept_id")), "chosen")
+    same = lambda fp: (F.col(fp) == F.col("kept_fp")) & F.col("doc_id").eqNullSafe(F.col("kept_id"))
+    # Only rows that share a class' fingerprint and id are compared with one another.
+    several = fps.join(chosen, same("fp")).groupBy("kept_fp").agg((F.count("*") > 1).alias("several"))
+    chosen = written(chosen.join(several, "kept_fp"), "chosen")
+    rows = simhash.with_fingerprints(docs, fp_col="own_fp").join(chosen, same("own_fp"))
+    rows = written(rows.select(*docs.columns, "kept_fp", "several"), "candidates")
+    every = F.struct(*docs.columns)
+    first = rows.where("several").groupBy("kept_fp").agg(F.min_by(every, F.struct("text", F.to_json(every))).alias("kept"))
+    return rows.where("not several").select(*docs.columns).unionByName(first.select("kept.*"))
+
+
+@carries_extras
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secret scans: every found secret is replaced by a mark; no document goes."""
     return secrets.redact_secrets(docs, n_chars_col="n_chars" if "n_chars" in docs.columns else None)
 
 
+@carries_extras
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing: every document as often (0 to 2 times) as the mix takes it."""
     mixed, _, _ = mixing.mix(docs, F.array("source"), word_count(F.col("text")), mixing.rotating_quotas)
     taken = mixed.where("mix_copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int")))).select(*docs.columns)
+    return taken.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int")))).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

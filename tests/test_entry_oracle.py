@@ -11,6 +11,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
 
+OWN_NAME = re.compile(r"op\d+_|pipeline$")
 HEAVY = {"kmeans_embeddings", "elbow_curve_embeddings", "random_forest_imputed_lineitem",
          "random_forest_label_imputed_events"}
 
@@ -27,6 +28,26 @@ def test_entry_runs_in_a_fresh_process():
     assert out.stdout.strip().splitlines()[-2:] == ["5", "1000"]
 
 
+def test_library_works_without_the_training_data_folders(tmp_path):
+    """Without both folders the queries that are left are listed, whether the pipeline's file is there or not."""
+    import shutil
+    import subprocess
+    root = os.path.dirname(os.path.abspath(E.__file__))
+    left = {n for n in E.queries() if not OWN_NAME.match(n)}
+    for files in (["__spark_entry__.py", "corpus_pipeline.py"], ["__spark_entry__.py"]):
+        copy = tmp_path / str(len(files))
+        shutil.copytree(os.path.join(root, "tablens"), copy / "tablens", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+        for f in files:
+            if os.path.exists(os.path.join(root, f)):
+                shutil.copy(os.path.join(root, f), copy)
+        code = "import __spark_entry__ as E; print(','.join(sorted(E.queries()))); print(len(set(E.oracle_sql()) - set(E.queries())))"
+        out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd=copy,
+                             env=os.environ | {"PYTHONPATH": str(copy)})
+        assert out.returncode == 0, out.stderr[-2000:]
+        names, odd = out.stdout.strip().splitlines()
+        assert set(names.split(",")) == left and odd == "0"
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     rows = df.collect()
@@ -51,7 +72,7 @@ def test_oracle_matches(spark, duck, name):
 
 
 #: The training-data queries have tests of their own.
-OWN = {n for n in E.queries() if re.match(r"op\d+_|pipeline$", n)}
+OWN = {n for n in E.queries() if OWN_NAME.match(n)}
 
 
 @pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql()) - HEAVY - OWN))
