@@ -27,6 +27,7 @@ from .textbatch import cut, slices, text_column
 from .tokens import encoder
 
 CAPACITY = 1024
+TOKEN_SLICE = 1 << 19
 END_ID = 2
 
 
@@ -51,7 +52,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity
         task, made = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
             buf, offs = text_column(batch.column(1))
-            for i, j in slices(offs):
+            for i, j in slices(offs, TOKEN_SLICE):
                 flat, borders = encoder(tokenizer).encode(*cut(buf, offs, i, j))
                 row, piece, start, length, crc, nth, kept = [], [], [], [], [], [], []
                 for k in range(j - i):

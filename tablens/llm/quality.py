@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from .textbatch import LOWER, cut, hash_spans, mix, slices, text_column, words
 
 BITS = 18
+SCORE_SLICE = 1 << 20
 SAMPLE = 8000
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.2, 1.0, 0.02, 1e-4
@@ -146,7 +147,7 @@ def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text", score_co
         for batch in batches:
             buf, offs = text_column(batch.column(at))
             out = [np.zeros(0)]
-            for i, j in slices(offs):
+            for i, j in slices(offs, SCORE_SLICE):
                 slots, doc, size = features(*cut(buf, offs, i, j), bits)
                 total = np.bincount(doc, weights=w[slots], minlength=j - i) / np.sqrt(np.maximum(size, 1))
                 out.append(1 / (1 + np.exp(-np.clip(total + w[-1], -35, 35))))

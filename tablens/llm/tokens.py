@@ -2,8 +2,8 @@
 
 The pre-tokeniser of such a file never joins characters across white space, so a text's ids are
 those of its white-space pieces one after the other. Pieces are hashed to 64 bits and looked up
-in a table of bounded size that each Python worker keeps; unknown pieces go through the
-tokeniser itself. Texts with unusual white space or special-token strings go to it whole.
+in a table of bounded size that each Python worker keeps, the used ones longest; unknown pieces
+go through the tokeniser itself. Texts with unusual white space or special-token strings go to it whole.
 """
 
 from __future__ import annotations
@@ -14,13 +14,18 @@ import numpy as np
 
 from .textbatch import WHITE, HashIndex, hash_spans, words
 
+ROOM = 800_000
 _SPECIAL = np.frombuffer(b"<|", np.uint8)
 
 
 class PieceEncoder:
-    """ids of whole texts by one tokeniser file; at most ``room`` pieces are remembered."""
+    """ids of whole texts by one tokeniser file; at most ``room`` pieces are remembered.
 
-    def __init__(self, path: str, room: int = 1_500_000):
+    When there are more, those that were used once since the last time are forgotten, and
+    beyond half of the room the least used.
+    """
+
+    def __init__(self, path: str, room: int = ROOM):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -35,6 +40,34 @@ class PieceEncoder:
         self.index = HashIndex(1 << 18)
         self.flat = np.zeros(1 << 20, dtype=np.int32)
         self.start = np.zeros((1 << 17) + 1, dtype=np.int64)
+        self.hits = np.zeros(1 << 17, dtype=np.int32)
+
+    def _keep_used(self) -> None:
+        n = self.index.size
+        hits = self.hits[:n]
+        keep = np.flatnonzero(hits > 1)
+        if len(keep) * 2 > self.room:
+            keep = np.sort(np.argpartition(hits, n - self.room // 2)[n - self.room // 2:])
+        held = self.index.keys != 0
+        keys = np.zeros(n, dtype=np.uint64)
+        keys[self.index.vals[held]] = self.index.keys[held]
+        flat, start = self.flat, self.start
+        self._forget()
+        size = start[keep + 1] - start[keep]
+        ends = np.cumsum(size)
+        self._store(keys[keep], size, flat[np.repeat(start[keep] - (ends - size), size) + np.arange(size.sum())])
+
+    def _store(self, keys: np.ndarray, size: np.ndarray, flat: np.ndarray) -> None:
+        n, used = self.index.size, self.start[self.index.size]
+        while used + len(flat) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while n + len(keys) >= len(self.start):
+            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
+        if n + len(keys) > len(self.hits):
+            self.hits = np.concatenate([self.hits, np.zeros(max(len(self.hits), len(keys)), np.int32)])
+        self.flat[used:used + len(flat)] = flat
+        self.start[n + 1:n + len(keys) + 1] = used + np.cumsum(size)
+        self.index.add(keys)
 
     def _ids(self, text: str) -> list[int]:
         return self.tok.encode(text, add_special_tokens=False).ids
@@ -54,14 +87,7 @@ class PieceEncoder:
             for k, a, b in zip(part, begins, ends, strict=True):
                 ids[k] = got[a:b]
         size = np.array([len(x) for x in ids], dtype=np.int64)
-        n, used = self.index.size, self.start[self.index.size]
-        while used + size.sum() > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while n + len(ids) >= len(self.start):
-            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-        self.flat[used:used + size.sum()] = np.concatenate(ids)
-        self.start[n + 1:n + len(ids) + 1] = used + np.cumsum(size)
-        self.index.add(keys)
+        self._store(keys, size, np.concatenate(ids))
 
     @staticmethod
     def _pieces(chunk: np.ndarray, offs: np.ndarray):
@@ -108,14 +134,15 @@ class PieceEncoder:
         keys = hash_spans(chunk, s, e, 5) | np.uint64(1)
         known = self.index.get(keys)
         if (known < 0).any():
+            if self.index.size + int((known < 0).sum()) > self.room:
+                self._keep_used()
+                known = self.index.get(keys)
             new, at = np.unique(keys[known < 0], return_index=True)
             where = np.flatnonzero(known < 0)[at]
-            if self.index.size + len(new) > self.room:
-                self._forget()
-                new, where = np.unique(keys, return_index=True)
             raw = chunk.tobytes()
             self._learn(new, [raw[a:b] for a, b in zip(s[where].tolist(), e[where].tolist(), strict=True)])
             known = self.index.get(keys)
+        self.hits[:self.index.size] += np.bincount(known, minlength=self.index.size).astype(np.int32)
         size = self.start[known + 1] - self.start[known]
         per_doc = np.bincount(d, weights=size, minlength=len(offs) - 1).astype(np.int64)
         ends = np.cumsum(size)
