@@ -79,11 +79,13 @@ def fit(texts: list[bytes], labels: np.ndarray, bits: int = BITS, epochs: int =
         chunk, offs = cut(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), 0, 1)
         slots, _, size = features(chunk, offs, bits)
         at, count = np.unique(slots, return_counts=True)
-        rows.append((np.append(at, 1 << bits), np.append(count / np.sqrt(max(1, size[0])), 1.0)))
+        # Narrow types: the whole sample is held.
+        rows.append((at.astype(np.int32), count.astype(np.min_scalar_type(count.max(initial=0))), np.sqrt(max(1, size[0]))))
     order = np.random.default_rng(7)
     for _ in range(epochs):
         for i in order.permutation(len(rows)):
-            at, x = rows[i]
+            at, count, root = rows[i]
+            at, x = np.append(at, 1 << bits), np.append(count / root, 1.0)
             w = weights(at)
             g = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - labels[i]) * x
             sigma = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ALPHA
