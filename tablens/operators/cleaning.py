@@ -169,8 +169,8 @@ def clean(df: DataFrame, columns: Sequence[str] | None = None, rules: Sequence[s
           key=None, label: str | None = None, num_trees: int = 100) -> DataFrame:
     """De-duplicate → impute → rule filter → half-even rounding.
 
-    ``handle_missing``: ``median``, ``mean``, ``model_based`` (a random forest per column),
-    ``drop`` or ``none``. With ``label``, missing labels are predicted from the imputed columns.
+    ``handle_missing``: ``median``, ``mean``, ``knn`` (the mean of the nearest rows), ``model_based``
+    (a random forest per column), ``drop`` or ``none``. With ``label``, missing labels are predicted from the imputed columns.
     """
     columns = as_list(columns) or numeric_columns(df, skip_id=True)
     out = drop_duplicates(df) if remove_duplicates else df
@@ -178,6 +178,9 @@ def clean(df: DataFrame, columns: Sequence[str] | None = None, rules: Sequence[s
         out = impute_median(out, columns)
     elif handle_missing == "mean":
         out = impute_mean(out, columns)
+    elif handle_missing == "knn":
+        from tablens.operators.neighbors import impute_knn
+        out = impute_knn(out, columns, key)
     elif handle_missing == "model_based":
         out = impute_random_forest(out, columns, key, num_trees)
     elif handle_missing == "drop":

@@ -10,6 +10,7 @@ QUERY_MODULES = (
     "tablens.plans.pattern_queries",
     "tablens.plans.report_queries",
     "tablens.plans.missing_queries",
+    "tablens.plans.neighbor_queries",
 )
 
 
