@@ -1,6 +1,6 @@
-"""Clustering, projection and regression on Spark ML and SQL aggregates.
+"""Clustering, projection and regression on block passes, Spark ML and SQL aggregates.
 
-Fits run on Spark ML (distributed); the fitted state (centres, loadings) is small
+Fits are distributed (k-means in ``kmeans.py``, PCA by Spark ML); the fitted state (centres, loadings) is small
 and is applied back with column expressions, so projections stay in codegen.
 """
 
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tablens.functions.frames import as_list, numeric_columns
 from tablens.functions.numeric import missing_to_null, nan_to_null
+from tablens.operators.kmeans import assign, fit_models
 
 # Clustering defaults.
 KMEANS_STARTS = 10
@@ -41,48 +42,28 @@ def _vectors(df: DataFrame, columns: Sequence[str], out: str = "features") -> Da
     return VectorAssembler(inputCols=list(columns), outputCol=out).transform(df)
 
 
-FIT_THREADS = 8
-
-
-def _fit_many(data: DataFrame, specs: list[tuple[int, int]], max_iter: int):
-    """Fit k-means for every ``(k, seed)``; the fits are independent Spark jobs submitted
-    from a small thread pool so they share the cluster instead of queueing."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    from pyspark.ml.clustering import KMeans
-
-    def fit(spec):
-        k, seed = spec
-        m = KMeans(k=k, seed=seed, maxIter=max_iter, initMode="k-means||").fit(data)
-        return k, seed, m, m.summary.trainingCost
-
-    with ThreadPoolExecutor(max_workers=min(FIT_THREADS, len(specs))) as ex:
-        return list(ex.map(fit, specs))
-
-
 def kmeans_best(df: DataFrame, columns: Sequence[str], k: int, starts: int = KMEANS_STARTS,
                 seed: int = KMEANS_SEED, max_iter: int = 300):
-    """Best of ``starts`` k-means fits (lowest training cost, ties → lowest seed);
-    returns the model and its cost."""
-    data = _vectors(df, columns).select("features").cache()
-    try:
-        fits = _fit_many(data, [(k, seed + i) for i in range(starts)], max_iter)
-        _, _, m, cost = min(fits, key=lambda f: (f[3], f[1]))
-        return m, cost
-    finally:
-        data.unpersist()
+    """Best of ``starts`` k-means models (lowest cost, ties → lowest start), fitted in the same passes."""
+    return fit_models(df, columns, [k], starts, seed, max_iter).get(k)
 
 
 def cluster(df: DataFrame, columns: Sequence[str], key, k: int | None = None, max_clusters: int = MAX_CLUSTERS,
             starts: int = KMEANS_STARTS, seed: int = KMEANS_SEED, scale: bool = True) -> DataFrame:
-    """Cluster assignments ``(key..., cluster)`` on standardised complete rows; ``k=None``
-    chooses k by the elbow rule."""
-    key = as_list(key)
-    data = standardize(df, columns, key) if scale else df.select(*key, *columns)
+    """Cluster assignments ``(key..., cluster)`` of complete rows, standardised with ``scale``; ``k=None``
+    chooses k by the elbow rule, from the same models that are then used."""
+    from tablens.operators.cleaning import complete_cases
+    key, columns = as_list(key), as_list(columns)
+    data = standardize(df, columns, key) if scale else complete_cases(df.select(*key, *columns), columns)
     if k is None:
-        k = elbow_choice(data, columns, max_clusters, starts, seed)
-    model, _ = kmeans_best(data, columns, k, starts, seed)
-    return model.transform(_vectors(data, columns)).select(*key, F.col("prediction").alias("cluster"))
+        models = elbow_models(data, columns, max_clusters, starts, seed)
+        chosen = elbow_k(_curve(df, models), max_clusters)
+        model = models.get(chosen) or kmeans_best(data, columns, chosen, starts, seed)
+    else:
+        model = kmeans_best(data, columns, k, starts, seed)
+    if model is None:
+        return data.select(*key, F.lit(0).alias("cluster")).limit(0)
+    return assign(data, columns, key, model.centers)
 
 
 def cluster_profile(df: DataFrame, assignments: DataFrame, key, columns: Sequence[str]) -> DataFrame:
@@ -125,23 +106,21 @@ def silhouette(df: DataFrame, assignments: DataFrame, key, columns: Sequence[str
     return ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(j)
 
 
+def elbow_models(df: DataFrame, columns: Sequence[str], max_clusters: int = MAX_CLUSTERS, starts: int = KMEANS_STARTS,
+                 seed: int = KMEANS_SEED) -> dict:
+    """The best model of each k = 1 … min(max_clusters, n // 5), one at least, all fitted in the same passes."""
+    kmax = min(max_clusters, df.count() // ELBOW_ROWS_PER_K)
+    return fit_models(df, columns, range(1, max(kmax, 1) + 1), starts, seed)
+
+
+def _curve(df: DataFrame, models: dict) -> DataFrame:
+    return df.sparkSession.createDataFrame([(k, m.cost) for k, m in sorted(models.items())], "k int, inertia double")
+
+
 def inertia_curve(df: DataFrame, columns: Sequence[str], max_clusters: int = MAX_CLUSTERS,
                   starts: int = KMEANS_STARTS, seed: int = KMEANS_SEED) -> DataFrame:
-    """``(k, inertia)`` for k = 1 … min(max_clusters, n // 5). k = 1 is the total sum of squares
-    (an aggregate); k ≥ 2 are best-of-``starts`` k-means fits."""
-    n = df.count()
-    kmax = min(max_clusters, n // ELBOW_ROWS_PER_K)
-    sse1 = df.agg(sum(F.var_pop(c) * F.count(c) for c in columns)).first()[0]
-    rows = [(1, float(sse1))]
-    if kmax >= 2:
-        data = _vectors(df, columns).select("features").cache()
-        try:
-            fits = _fit_many(data, [(k, seed + i) for k in range(2, kmax + 1) for i in range(starts)], 300)
-        finally:
-            data.unpersist()
-        for k in range(2, kmax + 1):
-            rows.append((k, float(min(f[3] for f in fits if f[0] == k))))
-    return df.sparkSession.createDataFrame(rows[:max(kmax, 1)], "k int, inertia double")
+    """``(k, inertia)`` for k = 1 … min(max_clusters, n // 5), best of ``starts`` each."""
+    return _curve(df, elbow_models(df, columns, max_clusters, starts, seed))
 
 
 def second_difference(curve: DataFrame, x: str = "k", y: str = "inertia") -> DataFrame:

@@ -302,6 +302,14 @@ def elbow_curve_embeddings(spark, sf):
     return M.second_difference(M.inertia_curve(z, cols))
 
 
+@register("elbow_choice_embeddings")
+def elbow_choice_embeddings(spark, sf):
+    """The number of clusters that the elbow rule chooses, with the inertia there (rows-only check)."""
+    e, cols = _embeddings(spark, sf, 64)
+    curve = M.inertia_curve(M.standardize(e, cols, ["vec_id"]), cols)
+    return curve.where(F.col("k") == M.elbow_k(curve))
+
+
 @register("silhouette_embeddings")
 def silhouette_embeddings(spark, sf):
     """Silhouette of the given labels as clusters (squared Euclidean; rows-only check)."""
