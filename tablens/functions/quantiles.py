@@ -1,43 +1,39 @@
 """Exact (linear-interpolated) and approximate quantiles over a long table.
 
-Spark's exact ``percentile`` aggregate keeps every distinct value of a group in
-one final task, which does not hold when one group has a third of 100 TB. The
-exact path here bounds the per-task work instead:
-
-0. group sizes are counted first; when no group exceeds ``max_bracket_rows`` the
-   exact ``percentile`` aggregate is used directly (per-group state is bounded);
-1. one partial/final aggregate per group: ``count`` and a mergeable
-   ``percentile_approx`` sketch (bounded memory per group);
-2. for every requested probability the sketch brackets the two order statistics
-   the interpolation needs (rank error of the sketch ≤ n/accuracy, the bracket
-   uses three times that margin); groups with n ≤ ``max_bracket_rows`` use the
-   whole range, so small data never depends on the sketch;
-3. one shuffle of ``(group, prob, band, value) → count``: values below the
-   bracket collapse into one count per group, values inside stay as distinct
-   values with multiplicities (hot repeated values collapse map-side);
-4. if a bracket still holds more than ``max_bracket_rows`` distinct values it is
-   narrowed with equal-width histograms over the distinct-value table
-   (aggregates only), until it fits;
-5. a running count over the distinct values of each bracket (≤ bounded rows per
-   window task) locates the order statistics; interpolation as in
-   ``percentile``/``quantile_cont``: ``v[k] + (h - k)·(v[k+1] - v[k])`` with
-   ``h = p·(n − 1)``.
+Spark's exact ``percentile`` aggregate keeps every distinct value of a group in one final task, which
+does not hold when one group has a third of 100 TB. Here the order statistics are found by radix
+selection, the same way at every size:
+
+* a double becomes a signed 64-bit key in the same order (its IEEE bits, inverted below zero), computed by
+  exact arithmetic with powers of two, inside whole-stage code;
+* each of three rounds counts the next 16, 24 and 24 bits of the keys per group, map-side combined: at most
+  65,536 counts per group and task leave the first scan, whatever the values. A running count finds the
+  digit in which each wanted rank lies, and its rank within;
+* later rounds count only the values that share all digits found so far, so that their scans
+  shuffle little (at most 2^24 counts per group and digit, whatever the number of values); after the
+  third the key is whole and is turned back into the value.
+
+Each probability needs the two order statistics around ``h = p·(n − 1)``; interpolation as in
+``percentile``/``quantile_cont``: ``v[k] + (h - k)·(v[k+1] - v[k])``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablens.functions.frames import as_list
-from tablens.functions.joins import MAX_BROADCAST_ROWS, attach
 from tablens.session import materialize
 
 DEFAULT_ACCURACY = 10_000
-MAX_BRACKET_ROWS = 2_000_000
-HIST_BUCKETS = 4096
+# Bits of the key that are still open after each round.
+OPEN_BITS = (48, 24, 0)
+# Rows of (group, found digits) that are broadcast to a round's scan; more are joined by a shuffle.
+MAX_BROADCAST_ROWS = 500_000
+_INF = float("inf")
+_MANTISSA = 1 << 52
 
 
 def _prob_items(probs) -> list[tuple[str, float]]:
@@ -46,18 +42,52 @@ def _prob_items(probs) -> list[tuple[str, float]]:
     return [(f"p{int(round(float(p) * 100)):02d}", float(p)) for p in probs]
 
 
+def with_ordered_key(df: DataFrame, value: str, key: str) -> DataFrame:
+    """``df`` with a long ``key`` that orders like the double ``value`` (no NaN); -0.0 counts as 0.0."""
+    a = F.abs(F.col(value))
+    normal = (a >= 2.0**-1022) & (a < _INF)
+    out = df.withColumn("_a", a).withColumn("_e", F.when(normal, F.least(F.floor(F.log2(a)), F.lit(1023))).cast("int"))
+    out = out.withColumn("_p", F.pow(F.lit(2.0), F.col("_e")))
+    # The logarithm is rounded: the exponent may be one off.
+    out = out.withColumn("_off", F.when(F.col("_p") > F.col("_a"), -1).when(F.col("_p") * 2 <= F.col("_a"), 1).otherwise(0))
+    part = F.col("_a") / F.col("_p") * F.when(F.col("_off") == -1, 2.0).when(F.col("_off") == 1, 0.5).otherwise(1.0) - 1
+    whole = F.shiftleft((F.col("_e") + F.col("_off") + 1023).cast("long"), 52) + (part * float(_MANTISSA)).cast("long")
+    tiny = (F.col("_a") * F.lit(2.0**537) * F.lit(2.0**537)).cast("long")
+    bits = F.when(F.col("_e").isNotNull(), whole).when(F.col("_a") == _INF, F.lit(2047 << 52)).otherwise(tiny)
+    return out.withColumn(key, F.when(F.col(value) < 0, -1 - bits).otherwise(bits)).drop("_a", "_e", "_p", "_off")
+
+
+def key_value(key: Column) -> Column:
+    """The double of an ordered key."""
+    bits = F.when(key < 0, -1 - key).otherwise(key)
+    e, mantissa = F.shiftright(bits, 52).cast("int"), bits.bitwiseAND(F.lit(_MANTISSA - 1)).cast("double")
+    a = (F.when(e == 2047, F.lit(_INF)).when(e == 0, mantissa * F.lit(2.0**-1074))
+         .otherwise((mantissa / float(_MANTISSA) + 1) * F.pow(F.lit(2.0), e - 1023)))
+    return F.when(key < 0, -a).otherwise(a)
+
+
+def _match(left: DataFrame, right: DataFrame, on: Sequence[str], small: bool) -> DataFrame:
+    """Inner join on null-safe equal ``on`` columns, ``right`` broadcast where it is ``small``."""
+    names = {c: f"_right{i}" for i, c in enumerate(on)}
+    right = right.withColumnsRenamed(names)
+    cond = F.lit(True)
+    for c, r in names.items():
+        cond = cond & left[c].eqNullSafe(right[r])
+    return left.join(F.broadcast(right) if small else right, cond).drop(*names.values())
+
+
 def quantile_table(long: DataFrame, by: Sequence[str] | None, probs, value: str = "value",
-                   method: str = "exact", accuracy: int = DEFAULT_ACCURACY,
-                   max_bracket_rows: int = MAX_BRACKET_ROWS) -> DataFrame:
+                   method: str = "exact", accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Quantiles of ``value`` per ``by`` group: ``(by..., n, <name> for each prob)``.
 
-    ``probs`` is a list of probabilities or a ``{name: p}`` mapping. NULL values are
-    ignored; groups whose values are all NULL are absent. ``method='approx'`` returns
+    ``probs`` is a list of probabilities or a ``{name: p}`` mapping. NULL and NaN are
+    ignored; groups without other values are absent. ``method='approx'`` returns
     ``percentile_approx`` results (one aggregate, bounded memory).
     """
     by = as_list(by)
     items = _prob_items(probs)
-    src = long.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    # -0.0 + 0.0 is 0.0; NaN is missing.
+    src = long.select(*by, (F.col(value).cast("double") + F.lit(0.0)).alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
     if method == "approx":
         agg = src.groupBy(*by).agg(
             F.count("_v").alias("n"),
@@ -66,119 +96,46 @@ def quantile_table(long: DataFrame, by: Sequence[str] | None, probs, value: str
     if method != "exact":
         raise ValueError(f"unknown quantile method {method!r}")
 
-    sizes = src.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    n_groups, max_n = sizes.agg(F.count(F.lit(1)), F.coalesce(F.max("_n"), F.lit(0))).first()
-    if max_n <= max_bracket_rows:
-        # every group is bounded: Spark's exact percentile holds at most max_bracket_rows
-        # values per group in one task
-        agg = src.groupBy(*by).agg(
-            F.count("_v").alias("n"),
-            F.percentile("_v", F.array(*[F.lit(p) for _, p in items])).alias("_a"))
-        out = agg.select(*by, "n", *[F.col("_a")[i].alias(nm) for i, (nm, _) in enumerate(items)])
-        out._tablens_meta = {"rows": n_groups}
-        return out
-
-    margin = 3.0 / accuracy
-    sk_probs = []
-    for _, p in items:
-        sk_probs += [max(p - margin, 0.0), min(p + margin, 1.0)]
-    stats = materialize(src.groupBy(*by).agg(
-        F.count("_v").alias("_n"),
-        F.percentile_approx("_v", F.array(*[F.lit(p) for p in sk_probs]), accuracy).alias("_sk")))
-    narrow = True
-
-    brs = []
-    for i, (nm, p) in enumerate(items):
-        lo = F.col("_sk")[2 * i] if (narrow and p - margin > 0) else F.lit(None).cast("double")
-        hi = F.col("_sk")[2 * i + 1] if (narrow and p + margin < 1) else F.lit(None).cast("double")
-        small = F.col("_n") <= max_bracket_rows
-        brs.append(F.struct(F.lit(nm).alias("_q"), F.lit(p).alias("_p"),
-                            F.when(small, None).otherwise(lo).alias("_lo"),
-                            F.when(small, None).otherwise(hi).alias("_hi")))
-    brackets = stats.select(*by, "_n", F.explode(F.array(*brs)).alias("_b")).select(*by, "_n", "_b.*")
-    bracket_rows = n_groups * len(items)
-
-    j = attach(src, brackets.drop("_n"), by, known_rows=bracket_rows) if by else \
-        src.crossJoin(F.broadcast(brackets.drop("_n")))
-    band = (F.when(F.col("_lo").isNotNull() & (F.col("_v") < F.col("_lo")), F.lit(-1))
-             .when(F.col("_hi").isNotNull() & (F.col("_v") > F.col("_hi")), F.lit(1))
-             .otherwise(F.lit(0)))
-    banded = (j.withColumn("_band", band)
-               .withColumn("_v", F.when(F.col("_band") == 0, F.col("_v")))
-               .groupBy(*by, "_q", "_band", "_v").agg(F.count(F.lit(1)).alias("_c")))
-    keys = by + ["_q"]
-
-    below = (banded.filter(F.col("_band") == -1).groupBy(*keys).agg(F.sum("_c").alias("_below")))
-    dist = banded.filter(F.col("_band") == 0).select(*keys, "_v", "_c")
-    base = brackets.select(*keys, "_n", "_p")
-    base = base.join(below, keys, "left").withColumn("_below", F.coalesce("_below", F.lit(0)))
-    base = base.withColumn("_h", F.col("_p") * (F.col("_n") - 1)) \
-               .withColumn("_k", F.floor("_h"))
-
-    if narrow:
-        dist = materialize(dist)
-        base = materialize(base)
-        for _ in range(16):
-            big = dist.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-            if big <= max_bracket_rows:
-                break
-            dist, base = _refine(dist, base, keys, bracket_rows)
-
-    w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = dist.withColumn("_cum", F.sum("_c").over(w))
-    ranked = attach(ranked, base, keys, known_rows=bracket_rows) if keys else ranked
-    ranked = ranked.withColumn("_end", F.col("_below") + F.col("_cum") - 1)
-    k1 = F.least(F.col("_k") + 1, F.col("_n") - 1)
-    picked = ranked.groupBy(*keys, "_h", "_k").agg(
-        F.min(F.when(F.col("_end") >= F.col("_k"), F.col("_v"))).alias("_vk"),
-        F.min(F.when(F.col("_end") >= k1, F.col("_v"))).alias("_vk1"))
-    frac = F.col("_h") - F.col("_k")
-    picked = picked.withColumn(
-        "_qv", F.when(frac == 0, F.col("_vk"))
-                .otherwise(F.col("_vk") + frac * (F.col("_vk1") - F.col("_vk"))))
-    wide = picked.groupBy(*by).agg(*[F.max(F.when(F.col("_q") == nm, F.col("_qv"))).alias(nm)
-                                     for nm, _ in items])
-    counts = stats.select(*by, F.col("_n").alias("n"))
-    if by:
-        out = attach(counts, wide, by, how="left", known_rows=n_groups) \
-            .select(*by, "n", *[nm for nm, _ in items])
-    else:
-        out = counts.crossJoin(wide)
-    out._tablens_meta = {"rows": n_groups}
-    return out
-
-
-def _refine(dist: DataFrame, base: DataFrame, keys: list[str], bracket_rows: int):
-    """Narrow every bracket to the histogram buckets holding ranks k and k+1."""
-    rng = dist.groupBy(*keys).agg(F.min("_v").alias("_mn"), F.max("_v").alias("_mx"))
-    d = attach(dist, rng, keys, known_rows=bracket_rows)
-    width = (F.col("_mx") - F.col("_mn")) / HIST_BUCKETS
-    bucket = F.when(F.col("_mx") == F.col("_mn"), F.lit(0)).otherwise(
-        F.least(F.floor((F.col("_v") - F.col("_mn")) / width), F.lit(HIST_BUCKETS - 1)))
-    d = d.withColumn("_bk", bucket.cast("int"))
-    hist = d.groupBy(*keys, "_bk").agg(F.sum("_c").alias("_bc"), F.min("_v").alias("_bmin"),
-                                       F.max("_v").alias("_bmax"))
-    w = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumn("_bcum", F.sum("_bc").over(w))
-    hist = attach(hist, base.select(*keys, "_below", "_k", "_n"), keys, known_rows=bracket_rows)
-    hist = hist.withColumn("_bend", F.col("_below") + F.col("_bcum") - 1) \
-               .withColumn("_bstart", F.col("_bend") - F.col("_bc") + 1)
-    k1 = F.least(F.col("_k") + 1, F.col("_n") - 1)
-    sel = hist.groupBy(*keys).agg(
-        F.min(F.when(F.col("_bend") >= F.col("_k"), F.col("_bmin"))).alias("_nlo"),
-        F.min(F.when(F.col("_bend") >= k1, F.col("_bmax"))).alias("_nhi"),
-        F.min(F.when(F.col("_bend") >= F.col("_k"), F.col("_bstart"))).alias("_nbelow"))
-    sel = materialize(sel)
-    nd = attach(dist, sel, keys, known_rows=bracket_rows) \
-        .filter((F.col("_v") >= F.col("_nlo")) & (F.col("_v") <= F.col("_nhi"))) \
-        .select(*keys, "_v", "_c")
-    nb = attach(base.drop("_below"), sel.select(*keys, F.col("_nbelow").alias("_below")), keys,
-                known_rows=bracket_rows)
-    return materialize(nd), materialize(nb)
+    m = 2 * len(items)
+    keyed = with_ordered_key(src, "_v", "_key").select(*by, "_key")
+    digits = lambda r: F.shiftright("_key", OPEN_BITS[r])  # noqa: E731  all up to round r
+    counts = keyed.groupBy(*by, digits(0).alias("_digits")).agg(F.count(F.lit(1)).alias("_c"))
+    upto = Window.partitionBy(*by).orderBy("_digits").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = counts.withColumn("_n", F.sum("_c").over(Window.partitionBy(*by))).withColumn("_before", F.sum("_c").over(upto) - F.col("_c"))
+    ranks = []
+    for i, (_, p) in enumerate(items):
+        k = F.floor(F.lit(p) * (F.col("_n") - 1)).cast("long")
+        ranks += [F.struct(F.lit(2 * i).alias("_at"), k.alias("_rank")),
+                  F.struct(F.lit(2 * i + 1).alias("_at"), F.least(k + 1, F.col("_n") - 1).alias("_rank"))]
+    inside = F.filter(F.array(*ranks), lambda t: (t["_rank"] >= F.col("_before")) & (t["_rank"] < F.col("_before") + F.col("_c")))
+    hit = counts.select(*by, "_n", "_digits", "_before", F.explode(inside).alias("_t"))
+    wanted = materialize(hit.select(*by, "_n", "_digits", "_t._at", (F.col("_t._rank") - F.col("_before")).alias("_rank")))
+    rows = wanted.count()
+    small = rows <= MAX_BROADCAST_ROWS
+    for r in range(1, len(OPEN_BITS)):
+        found = wanted.select(*by, "_digits").distinct()
+        near = _match(keyed.withColumn("_digits", digits(r - 1)), found, [*by, "_digits"], small)
+        counts = near.groupBy(*by, "_digits", digits(r).alias("_next")).agg(F.count(F.lit(1)).alias("_c"))
+        upto = Window.partitionBy(*by, "_digits").orderBy("_next").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        counts = counts.withColumn("_before", F.sum("_c").over(upto) - F.col("_c"))
+        hit = _match(counts, wanted, [*by, "_digits"], small)
+        hit = hit.where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_c")))
+        wanted = materialize(hit.select(*by, "_n", F.col("_next").alias("_digits"), "_at", (F.col("_rank") - F.col("_before")).alias("_rank")))
+    wide = wanted.withColumn("_v", key_value(F.col("_digits"))).groupBy(*by).agg(
+        F.max("_n").alias("n"), *[F.max(F.when(F.col("_at") == i, F.col("_v"))).alias(f"_v{i}") for i in range(m)])
+    out = []
+    for i, (name, p) in enumerate(items):
+        h = F.lit(p) * (F.col("n") - 1)
+        part = h - F.floor(h)
+        low, high = F.col(f"_v{2 * i}"), F.col(f"_v{2 * i + 1}")
+        out.append(F.when((part == 0) | (low == high), low).otherwise(low + part * (high - low)).alias(name))
+    result = wide.where(F.col("n").isNotNull()).select(*by, "n", *out)
+    result._tablens_meta = {"rows": rows // m}
+    return result
 
 
 def median_table(long: DataFrame, by, value: str = "value", **kw) -> DataFrame:
     return quantile_table(long, by, {"median": 0.5}, value=value, **kw)
 
 
-__all__ = ["quantile_table", "median_table", "MAX_BROADCAST_ROWS"]
+__all__ = ["quantile_table", "median_table", "with_ordered_key", "key_value"]
