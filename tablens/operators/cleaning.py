@@ -111,8 +111,9 @@ def impute_random_forest(df: DataFrame, columns: Sequence[str], key: Sequence[st
     """Per column: a distributed ``RandomForestRegressor`` fitted on the rows where the column
     is present (the other features median-filled), predicting the rows where it is missing.
 
-    The filled features travel in the row itself, so no row is joined with another; only the
-    rows that lack a column are scored. ``key`` isn't needed (kept for callers that have one;
+    The filled features travel in the row itself, so no row is joined with another. All models are fitted on
+    the same filled rows and applied in one pass over the rows that lack a column, however many
+    columns there are; complete rows pass through unscored. ``key`` isn't needed (kept for callers that have one;
     a key that repeats is refused). ``predictors`` defaults to ``columns``.
     """
     from pyspark.ml.feature import VectorAssembler
@@ -124,17 +125,24 @@ def impute_random_forest(df: DataFrame, columns: Sequence[str], key: Sequence[st
         raise ValueError(f"key {key} repeats")
     miss = df.agg(*[F.count_if(nan_to_null(c).isNull()).alias(c) for c in columns]).first()
     work = _with_filled(df, feats_all, "_feat_")
-    for c in columns:
+    fitted: list[tuple[str, VectorAssembler, object]] = []
+    for i, c in enumerate(columns):
         feats = [f"_feat_{x}" for x in feats_all if x != c]
         if not feats or miss[c] == 0:
             continue
-        va = VectorAssembler(inputCols=feats, outputCol="_features", handleInvalid="keep")
-        have = nan_to_null(c).isNotNull()
-        train = va.transform(work.filter(have).select(*feats, nan_to_null(c).alias("_target")))
-        model = RandomForestRegressor(featuresCol="_features", labelCol="_target", numTrees=num_trees, seed=seed).fit(train)
-        lack = model.transform(va.transform(work.filter(~have))).withColumn(c, F.col("prediction").cast(df.schema[c].dataType))
-        work = work.filter(have).unionByName(lack.select(*work.columns))
-    return missing_to_null(work.select(*names), [c for c in columns if miss[c]])
+        va = VectorAssembler(inputCols=feats, outputCol=f"_features{i}", handleInvalid="keep")
+        train = va.transform(work.filter(nan_to_null(c).isNotNull()).select(*feats, nan_to_null(c).alias("_target")))
+        model = RandomForestRegressor(featuresCol=f"_features{i}", labelCol="_target", numTrees=num_trees, seed=seed).fit(train)
+        fitted.append((c, va, model.setPredictionCol(f"_predicted{i}")))
+    lacking = F.lit(False)
+    for c, _, _ in fitted:
+        lacking = lacking | nan_to_null(c).isNull()
+    lack = work.filter(lacking)
+    for _, va, model in fitted:
+        lack = model.transform(va.transform(lack))
+    filled = {c: F.coalesce(nan_to_null(c), F.col(model.getPredictionCol())).cast(df.schema[c].dataType).alias(c) for c, _, model in fitted}
+    out = work.filter(~lacking).select(*names).unionByName(lack.select(*[filled.get(c, F.col(c)) for c in names]))
+    return missing_to_null(out, [c for c in columns if miss[c]])
 
 
 def impute_label(df: DataFrame, label: str, features: Sequence[str], num_trees: int = 100,

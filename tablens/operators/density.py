@@ -80,17 +80,22 @@ def kde_modes(df: DataFrame, columns: Sequence[str] | None = None, group=None, g
     return peaks.select(*keys, "i", "x", "density", "mode_count")
 
 
+# Automatic bins of a column (of a group); far values would ask for millions.
+MAX_BINS = 10_000
+
+
 def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int | str = "auto",
               group=None) -> DataFrame:
     """Histogram counts per column: ``(group..., column_name, bin, lower, upper, count)``.
 
     ``bins='auto'``: the narrower of the Sturges and Freedman–Diaconis widths (the
     latter only when IQR > 0), ``ceil(range / width)`` bins; the maximum value falls
-    in the last bin. Empty bins are listed with count 0.
+    in the last bin. Empty bins are listed with count 0. There are at most ``MAX_BINS`` bins: where far values
+    ask for more, all bins are widened alike. Infinite values are left out.
     """
     group = as_list(group)
     columns = as_list(columns) or numeric_columns(df, exclude=group)
-    lf = long_form(df, columns, ids=group, variable="column_name")
+    lf = long_form(df, columns, ids=group, variable="column_name").where(F.abs("value") < float("inf"))
     keys = group + ["column_name"]
     st = lf.groupBy(*keys).agg(F.count("value").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
     if bins == "auto":
@@ -100,7 +105,7 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int | s
         sturges = rng / (F.log2(F.col("n")) + 1)
         fd = 2.0 * (F.col("q3") - F.col("q1")) * F.pow(F.col("n"), F.lit(-1.0 / 3.0))
         width = F.when(fd > 0, F.least(sturges, fd)).otherwise(sturges)
-        nb = F.when(rng > 0, F.greatest(F.lit(1), F.ceil(rng / width))).otherwise(F.lit(1))
+        nb = F.when(rng > 0, F.ceil(F.greatest(F.lit(1.0), F.least(rng / width, F.lit(float(MAX_BINS)))))).otherwise(F.lit(1))
         st = st.withColumn("nbins", nb.cast("int")).drop("q1", "q3")
     else:
         st = st.withColumn("nbins", F.lit(int(bins)))

@@ -203,7 +203,7 @@ def quality_issues(df: DataFrame, key: str | None = None) -> DataFrame:
     parts = [
         missing_report(df).filter(F.col("missing") > 0)
         .select(F.lit("missing").alias("issue"), "column_name", F.col("missing").cast("double").alias("value")),
-        distinct_counts(df).filter(F.col("n_unique") <= 1)
+        constant_columns(df)
         .select(F.lit("constant").alias("issue"), "column_name", F.col("n_unique").cast("double").alias("value")),
     ]
     if string_columns(df):

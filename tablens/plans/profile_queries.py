@@ -433,8 +433,26 @@ def moment_issues_orders(spark, sf):
     return rounded(Q.moment_stats(load(spark, sf, "orders"), ["o_totalprice"]))
 
 
+@register("moment_issues_planted_orders", """
+with o as (select power(cast(o_orderkey % 100 as double) / 100, 40) as tail, 1 + cast(o_orderkey % 7 as double) / 100000 as flat, o_totalprice from orders),
+m as (select 'skewed' as issue, 'tail' as column_name, skewness(tail) * (count(*) - 2) / sqrt(count(*) * (count(*) - 1)) as value from o
+      union all select 'skewed', 'flat', skewness(flat) * (count(*) - 2) / sqrt(count(*) * (count(*) - 1)) from o
+      union all select 'skewed', 'o_totalprice', skewness(o_totalprice) * (count(*) - 2) / sqrt(count(*) * (count(*) - 1)) from o
+      union all select 'near_zero_variance', 'tail', var_samp(tail) from o union all select 'near_zero_variance', 'flat', var_samp(flat) from o
+      union all select 'near_zero_variance', 'o_totalprice', var_samp(o_totalprice) from o)
+select issue, column_name, round(value, 12) as value from m where (issue = 'skewed' and abs(value) > 3) or (issue = 'near_zero_variance' and value < 1e-6)
+""")
+def moment_issues_planted_orders(spark, sf):
+    """Skewed and near-constant columns: a planted long tail and a planted almost flat measure are reported, the price isn't."""
+    o = load(spark, sf, "orders").select(F.pow((F.col("o_orderkey") % 100).cast("double") / 100, F.lit(40.0)).alias("tail"),
+                                         (1 + (F.col("o_orderkey") % 7).cast("double") / 100000).alias("flat"), "o_totalprice")
+    found = [Q.skewed_columns(o).select(F.lit("skewed").alias("issue"), "column_name", F.col("skewness").alias("value")),
+             Q.near_zero_variance(o).select(F.lit("near_zero_variance").alias("issue"), "column_name", F.col("variance").alias("value"))]
+    return rounded(found[0].unionByName(found[1]), 12)
+
+
 def _normality_sql():
-    from tablens.functions.numeric import inv_norm_cdf_sql
+    from tablens.functions.numeric import inv_norm_cdf_sql, norm_cdf_sql
     phi = inv_norm_cdf_sql("((i - 0.375) / (n + 0.25))")
     return f"""
 with s as (select count(value) as n,
@@ -442,11 +460,12 @@ with s as (select count(value) as n,
                   kurtosis_pop(value) as g2 from events),
 r as (select value, row_number() over (order by value) as i, count(*) over () as n
       from events where value is not null),
-w as (select corr(value, {phi}) as r from r)
+w as (select corr(value, {phi}) as r from r),
+z as (select (ln(1 - w.r * w.r) - (-1.2725 + 1.0521 * (ln(ln(s.n)) - ln(s.n)))) / (1.0308 - 0.26758 * (ln(ln(s.n)) + 2.0 / ln(s.n))) as z from s, w)
 select 'value' as column_name, cast(s.n as bigint) as n, round(s.n / 6.0 * (g1 * g1 + g2 * g2 / 4.0), 6) as jarque_bera,
        round(exp(-(s.n / 6.0 * (g1 * g1 + g2 * g2 / 4.0)) / 2.0), 6) as jb_pvalue,
-       round(w.r * w.r, 6) as shapiro_francia_w
-from s, w
+       round(w.r * w.r, 6) as shapiro_francia_w, round(1 - {norm_cdf_sql('z.z')}, 6) as sf_pvalue
+from s, w, z
 """
 
 

@@ -8,6 +8,7 @@ from tablens.operators import outliers as O
 from tablens.operators import quality as Q
 from tablens.operators import stats as S
 from tablens.plans.profile_queries import _EVENTS_NULLS_SQL, events_with_nulls
+from tablens.functions.numeric import kolmogorov_sf_sql, norm_cdf_sql
 from tablens.plans.registry import load, register, rounded
 from tablens.plans.reports import top_features
 
@@ -212,10 +213,18 @@ def anomaly_methods_events(spark, sf):
                     F.col("outlier_count").cast("long").alias("outlier_count"))
 
 
-@register("ks_test_events")
+@register("ks_test_events", f"""
+with s as (select count(value) as n, avg(value) as m, stddev_samp(value) as s from events),
+c as (select value, count(*) as c from events where value is not null group by value),
+r as (select value, sum(c) over (order by value) as upto, sum(c) over (order by value) - c as below from c),
+z as (select (value - m) / s as z, upto * 1.0 / n as upto, below * 1.0 / n as below, n from r, s),
+d as (select max(greatest(upto - {norm_cdf_sql('z')}, {norm_cdf_sql('z')} - below)) as statistic, any_value(n) as n from z),
+x as (select n, statistic, sqrt(n) * statistic as x from d)
+select 'value' as column_name, cast(n as bigint) as n, round(statistic, 6) as statistic, round({kolmogorov_sf_sql('x')}, 6) as "pValue" from x
+""")
 def ks_test_events(spark, sf):
-    """Kolmogorov–Smirnov test of events.value against a fitted normal (MLlib; rows-only check)."""
-    return S.ks_normal(load(spark, sf, "events"), "value")
+    """Kolmogorov–Smirnov test of events.value against a normal with its mean and deviation."""
+    return rounded(S.ks_normal(load(spark, sf, "events"), "value"))
 
 
 @register("find_anomalies_events")
