@@ -186,3 +186,36 @@ def assign(df: DataFrame, columns: Sequence[str], key: Sequence[str], centers: n
     rows = df.select(*key, *[F.col(c).cast("double").alias(f"_c{i}") for i, c in enumerate(columns)])
     fields = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in key)
     return rows.mapInArrow(run, f"{fields}, cluster int")
+
+
+def cluster_distances(rows: DataFrame, points: np.ndarray, number: dict) -> np.ndarray:
+    """Sums of Euclidean distances from each of ``points`` to the rows ``cluster, x`` of every cluster (points x clusters)."""
+    ship_package(rows.sparkSession)
+    held = rows.sparkSession.sparkContext.broadcast((points, number))  # a bounded sample
+    dims = points.shape[1]
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        p, code = held.value
+        total = np.zeros((len(p), len(code)))
+        step = max(1, (1 << 20) // len(p))
+        for batch in batches:
+            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+            c = np.array([code[v] for v in batch.column(0).to_pylist()], dtype=np.int64)
+            for i in range(0, len(x), step):
+                far = np.zeros((len(p), len(x[i:i + step])))
+                for d in range(dims):
+                    diff = p[:, d, None] - x[None, i:i + step, d]
+                    far += diff * diff
+                hot = np.zeros((far.shape[1], len(code)))
+                hot[np.arange(far.shape[1]), c[i:i + step]] = 1.0
+                total += np.sqrt(far) @ hot
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % GROUPS], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["part", "total"])
+
+    def merge(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(t, "<f8") for t in table["total"].to_pylist())
+        return pa.table({"part": table["part"].slice(0, 1), "total": pa.array([total.tobytes()], pa.binary())})
+
+    parts = rows.mapInArrow(add, "part int, total binary").groupBy("part").applyInArrow(merge, "part int, total binary").collect()  # at most GROUPS rows
+    return sum((np.frombuffer(r["total"], "<f8") for r in parts), np.zeros(len(points) * len(number))).reshape(len(points), len(number))

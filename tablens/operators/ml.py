@@ -8,18 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablens.functions.frames import as_list, numeric_columns
 from tablens.functions.numeric import missing_to_null, nan_to_null
-from tablens.operators.kmeans import assign, fit_models
+from tablens.operators.kmeans import assign, cluster_distances, fit_models
 
 # Clustering defaults.
 KMEANS_STARTS = 10
 KMEANS_SEED = 42
 MAX_CLUSTERS = 10
 ELBOW_ROWS_PER_K = 5
+# Rows whose silhouette is taken, against all rows.
+SILHOUETTE_SAMPLE = 1000
 
 
 def array_columns(df: DataFrame, array_col: str, dims: int, prefix: str = "f") -> tuple[DataFrame, list[str]]:
@@ -98,12 +101,34 @@ def cluster_feature_importance(centers: DataFrame) -> DataFrame:
     return r.select("column_name", F.when(tot > 0, F.col("range") / tot).otherwise(1.0 / cnt).alias("importance"))
 
 
-def silhouette(df: DataFrame, assignments: DataFrame, key, columns: Sequence[str]) -> float:
-    """Mean silhouette with Spark's ``ClusteringEvaluator`` (squared Euclidean, linear time)."""
-    from pyspark.ml.evaluation import ClusteringEvaluator
-    key = as_list(key)
-    j = _vectors(df.select(*key, *columns).join(assignments, key), columns)
-    return ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(j)
+def silhouette(df: DataFrame, assignments: DataFrame, key, columns: Sequence[str], sample: int = SILHOUETTE_SAMPLE) -> float | None:
+    """Mean silhouette with plain Euclidean distances to all rows, over at most ``sample`` rows.
+
+    The sample holds the rows with the least md5 of their key (all rows where there are no more, which gives the exact
+    mean). Its distances to every row are summed per cluster block by block. A cluster of one row scores 0;
+    fewer than two clusters give None. Rows with a missing coordinate or cluster are left out.
+    """
+    from tablens.operators.cleaning import complete_cases
+    key, columns = as_list(key), as_list(columns)
+    j = df.select(*key, *columns).join(assignments, key).where(F.col("cluster").isNotNull())
+    rows = complete_cases(j, columns).select(F.md5(F.concat_ws("~", *[F.col(k).cast("string") for k in key])).alias("_h"), "cluster",
+                                             F.array(*[F.col(c).cast("double") for c in columns]).alias("_x"))
+    sizes = {r["cluster"]: r["n"] for r in rows.groupBy("cluster").agg(F.count("*").alias("n")).collect()}  # one row per cluster
+    if len(sizes) < 2:
+        return None
+    drawn = rows.orderBy("_h", "cluster", "_x").limit(sample).collect()
+    number = {c: i for i, c in enumerate(sorted(sizes))}
+    sums = cluster_distances(rows.select("cluster", "_x"), np.array([r["_x"] for r in drawn]), number)
+    count = np.array([sizes[c] for c in sorted(sizes)], dtype=float)
+    own = np.array([number[r["cluster"]] for r in drawn])
+    at = np.arange(len(drawn))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        a = sums[at, own] / (count[own] - 1)
+        means = sums / count
+        means[at, own] = np.inf
+        b = means.min(axis=1)
+        score = np.where(count[own] > 1, np.where(np.maximum(a, b) > 0, (b - a) / np.maximum(a, b), 0.0), 0.0)
+    return float(score.mean())
 
 
 def elbow_models(df: DataFrame, columns: Sequence[str], max_clusters: int = MAX_CLUSTERS, starts: int = KMEANS_STARTS,

@@ -68,34 +68,65 @@ def monthly_means(df: DataFrame, ts: str, columns: Sequence[str] | None = None)
 
 # ---------------------------------------------------------------- gaps
 
+# Calendar steps, the rarest first, and their names.
+CALENDARS = (("year", "year start"), ("quarter", "quarter start"), ("quarter_end", "quarter end"), ("month", "month start"),
+             ("month_end", "month end"), ("business", "business day"))
+DAY_MICROS = 86_400_000_000
+
+
+def _with_calendar(times: DataFrame) -> DataFrame:
+    """``times`` with, for each calendar, whether ``value`` (microseconds) lies on it and its ordinal there."""
+    day = F.expr(f"value div {DAY_MICROS}")
+    date = F.date_from_unix_date(day.cast("int"))
+    midnight = F.col("value") % DAY_MICROS == 0
+    month = F.year(date) * 12 + F.month(date) - 1
+    last = F.dayofmonth(F.date_add(date, 1)) == 1
+    weekday = F.pmod(day + 3, F.lit(7))
+    on = {"year": (F.dayofyear(date) == 1, F.year(date)), "quarter": ((F.dayofmonth(date) == 1) & (F.month(date) % 3 == 1), F.floor(month / 3)),
+          "quarter_end": (last & (F.month(date) % 3 == 0), F.floor(month / 3)), "month": (F.dayofmonth(date) == 1, month), "month_end": (last, month),
+          "business": (weekday < 5, F.floor((day + 3) / 7) * 5 + weekday)}
+    return times.select("*", *[x for name, _ in CALENDARS for x in ((midnight & on[name][0]).alias(f"_on_{name}"), on[name][1].cast("long").alias(f"_at_{name}"))])
+
+
 def gap_stats(df: DataFrame, ts: str, series: Sequence[str] | None = None) -> DataFrame:
     """Gaps between consecutive sorted timestamps: mean, population std, regularity
-    ``1 − min(1, std/(mean + 1e-10))``, number of distinct gaps and the step when regular."""
+    ``1 − min(1, std/(mean + 1e-10))``, number of distinct gaps and the step when regular.
+
+    ``calendar`` names the calendar step of a series whose gaps differ: three or more distinct times that are
+    consecutive year, quarter or month starts, quarter or month ends, or business days (Monday to Friday), all at
+    midnight. Such a series is regular (1) as well.
+    """
     series = as_list(series)
     x = df.filter(F.col(ts).isNotNull()).select(*series, _micros(ts).alias("value"))
     rk = rank_distinct(x, series, "value")
     gap = (F.col("value") - F.col("prev_value")).cast("double") / 1e6
-    per = rk.select(*series, "c", gap.alias("g"))
+    per = _with_calendar(rk.select(*series, "c", gap.alias("g"), "value"))
     agg = per.groupBy(*series).agg(
         (F.sum("c") - 1).alias("n_gaps"), F.count("g").alias("_m"), F.avg("g").alias("_mean"), F.var_pop("g").alias("_var"),
         F.sum(F.coalesce("g", F.lit(0.0))).alias("_s"),
         F.count_distinct("g").alias("_nd"),
         F.max(F.when(F.col("c") > 1, 1).otherwise(0)).alias("_has_zero"),
-        F.max("g").alias("_gmax"))
+        F.max("g").alias("_gmax"), F.count(F.lit(1)).alias("_distinct"),
+        *[x for name, _ in CALENDARS for x in (F.every(f"_on_{name}").alias(f"_all_{name}"), (F.max(f"_at_{name}") - F.min(f"_at_{name}") + 1).alias(f"_len_{name}"))])
     mean = F.try_divide(F.col("_s"), F.col("n_gaps"))
     # Moments of the m gaps between distinct times, merged with the n - m gaps of zero between equal ones.
     m, zeros = F.col("_m").cast("double"), (F.col("n_gaps") - F.col("_m")).cast("double")
     var = F.try_divide(m * F.coalesce("_var", F.lit(0.0)) + F.try_divide(m * zeros, F.col("n_gaps")) * F.pow(F.coalesce("_mean", F.lit(0.0)), F.lit(2.0)),
                        F.col("n_gaps"))
+    calendar = F.lit(None).cast("string")
+    for name, label in reversed(CALENDARS):
+        steady = F.col(f"_all_{name}") & (F.col(f"_len_{name}") == F.col("_distinct"))
+        calendar = F.when(steady, F.lit(label)).otherwise(calendar)
+    agg = agg.withColumn("calendar", F.when((F.col("_distinct") >= 3) & (F.col("_nd") > 1) & (F.col("_has_zero") == 0), calendar))
     out = agg.withColumn("mean_interval_seconds", mean) \
         .withColumn("std_interval_seconds", F.sqrt(var)) \
-        .withColumn("regularity", 1 - F.least(F.lit(1.0), F.col("std_interval_seconds")
-                                              / (F.col("mean_interval_seconds") + REGULARITY_EPSILON))) \
+        .withColumn("regularity", F.when(F.col("calendar").isNotNull(), F.lit(1.0)).otherwise(
+            1 - F.least(F.lit(1.0), F.col("std_interval_seconds") / (F.col("mean_interval_seconds") + REGULARITY_EPSILON)))) \
         .withColumn("distinct_gaps", F.col("_nd") + F.col("_has_zero")) \
         .withColumn("step_seconds", F.when(F.col("distinct_gaps") == 1, F.col("_gmax")))
     return out.filter(F.col("n_gaps") > 0).select(
         *series, F.col("n_gaps").cast("long").alias("n_gaps"), "mean_interval_seconds", "std_interval_seconds",
-        "regularity", F.col("distinct_gaps").cast("long").alias("distinct_gaps"), "step_seconds")
+        "regularity", F.col("distinct_gaps").cast("long").alias("distinct_gaps"), "step_seconds", "calendar")
 
 
 def choose_step(df: DataFrame, ts: str, series: Sequence[str] | None = None) -> DataFrame:

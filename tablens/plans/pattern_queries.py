@@ -8,7 +8,7 @@ from tablens.operators import density as D
 from tablens.operators import iforest as IF
 from tablens.operators import ml as M
 from tablens.operators import plotdata as V
-from tablens.plans.registry import load, register, rounded
+from tablens.plans.registry import load, r6, register, rounded
 
 LINE_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -310,12 +310,19 @@ def elbow_choice_embeddings(spark, sf):
     return curve.where(F.col("k") == M.elbow_k(curve))
 
 
-@register("silhouette_embeddings")
+@register("silhouette_embeddings", """
+with e as (select vec_id, label, cast(embedding as double[]) as x from embeddings),
+s as (select * from e order by md5(cast(vec_id as varchar)) limit 1000),
+d as (select s.vec_id, s.label, e.label as other, sum(list_distance(s.x, e.x)) as total, count(*) as n from s, e group by all),
+m as (select vec_id, max(case when label = other then case when n > 1 then total / (n - 1) end end) as a, min(case when label <> other then total / n end) as b
+      from d group by vec_id)
+select round(avg(case when a is null then 0 else (b - a) / greatest(a, b) end), 6) as silhouette from m
+""")
 def silhouette_embeddings(spark, sf):
-    """Silhouette of the given labels as clusters (squared Euclidean; rows-only check)."""
+    """Mean Euclidean silhouette of the given labels as clusters, over 1000 rows against all."""
     e, cols = _embeddings(spark, sf, 64)
     s = M.silhouette(e, e.select("vec_id", F.col("label").alias("cluster")), "vec_id", cols)
-    return spark.range(1).select(F.lit(s).alias("silhouette"))
+    return spark.range(1).select(r6(F.lit(s).cast("double")).alias("silhouette"))
 
 
 @register("pca_components_embeddings")

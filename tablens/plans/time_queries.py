@@ -78,7 +78,7 @@ s as (select {key} cast(count(gap) as bigint) as n_gaps, avg(gap) as m, stddev_p
       from g where gap is not null group by {grp})
 select {key} n_gaps, round(m, 6) as mean_interval_seconds, round(sd, 6) as std_interval_seconds,
        round(1 - least(1, sd / (m + 1e-10)), 6) as regularity, distinct_gaps,
-       round(case when distinct_gaps = 1 then mx end, 6) as step_seconds
+       round(case when distinct_gaps = 1 then mx end, 6) as step_seconds, cast(null as varchar) as calendar
 from s
 """
 
@@ -102,7 +102,7 @@ select cast(count(gap) as bigint) as n_gaps, round(avg(gap), 6) as mean_interval
        round(stddev_pop(gap), 6) as std_interval_seconds,
        round(1 - least(1, stddev_pop(gap) / (avg(gap) + 1e-10)), 6) as regularity,
        cast(count(distinct gap) as bigint) as distinct_gaps,
-       round(case when count(distinct gap) = 1 then max(gap) end, 6) as step_seconds
+       round(case when count(distinct gap) = 1 then max(gap) end, 6) as step_seconds, cast(null as varchar) as calendar
 from gp where gap is not null
 """)
 def regularity_click_hourly(spark, sf):
@@ -110,6 +110,36 @@ def regularity_click_hourly(spark, sf):
     return rounded(TS.gap_stats(click_hourly(spark, sf), "bucket_ts"))
 
 
+# Stand-in input: the month, quarter and month-end dates, the weekdays and all days on which orders were placed, each a series of its own.
+_CALENDAR_SQL = """
+with d as (select distinct cast(o_orderdate as date) as d from orders where o_orderdate is not null),
+t as (select distinct 'month' as kind, cast(date_trunc('month', d) as date) as d from d
+      union all select distinct 'quarter', cast(date_trunc('quarter', d) as date) from d
+      union all select distinct 'month end', last_day(d) from d
+      union all select 'weekday', d from d where isodow(d) < 6 union all select 'day', d from d),
+g as (select kind, d, datediff('day', lag(d) over (partition by kind order by d), d) * 86400.0::double as gap from t),
+o as (select kind, d, case kind when 'month' then year(d) * 12 + month(d) when 'month end' then year(d) * 12 + month(d) when 'quarter' then year(d) * 4 + quarter(d)
+             else datediff('day', date '1969-12-29', d) // 7 * 5 + isodow(d) end as pos from t),
+c as (select kind, case when kind <> 'day' and max(pos) - min(pos) + 1 = count(*) then
+             case kind when 'month' then 'month start' when 'month end' then 'month end' when 'quarter' then 'quarter start' else 'business day' end end as calendar from o group by kind)
+select kind, cast(count(gap) as bigint) as n_gaps, round(avg(gap), 6) as mean_interval_seconds, round(stddev_pop(gap), 6) as std_interval_seconds,
+       round(case when count(distinct gap) > 1 and any_value(calendar) is not null then 1.0 else 1 - least(1, stddev_pop(gap) / (avg(gap) + 1e-10)) end, 6) as regularity,
+       cast(count(distinct gap) as bigint) as distinct_gaps, round(case when count(distinct gap) = 1 then max(gap) end, 6) as step_seconds,
+       case when count(distinct gap) > 1 then any_value(calendar) end as calendar
+from g join c using (kind) where gap is not null group by kind
+"""
+
+
+@register("calendar_regularity_orders", _CALENDAR_SQL)
+def calendar_regularity_orders(spark, sf):
+    """Month starts, quarter starts, month ends and weekdays are calendar steps although their gaps differ."""
+    d = load(spark, sf, "orders").select(F.to_date("o_orderdate").alias("d")).where(F.col("d").isNotNull()).distinct()
+    kind = lambda name, x: d.select(F.lit(name).alias("kind"), x.alias("d")).distinct()
+    t = kind("month", F.trunc("d", "month")).unionByName(kind("quarter", F.trunc("d", "quarter"))).unionByName(kind("month end", F.last_day("d")))
+    t = t.unionByName(kind("weekday", F.col("d")).where(F.weekday("d") < 5)).unionByName(kind("day", F.col("d")))
+    return rounded(TS.gap_stats(t.select("kind", F.col("d").cast("timestamp").alias("ts")), "ts", "kind"))
+
+
 @register("resample_step_events", """
 with a as (select event_type, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 as range_seconds,
                   count(*) as n from events where ts is not null group by 1)

@@ -70,3 +70,22 @@ def test_edge_tables(spark):
     same = spark.createDataFrame([(i, 2.0, 3.0) for i in range(12)] + [(50, None, 1.0)], "id long, a double, b double")
     assert M.cluster(same, ["a", "b"], "id", k=3).count() == 12
     assert [r.inertia for r in M.inertia_curve(same.dropna(), ["a", "b"]).collect()] == [0.0, 0.0]
+
+
+def test_silhouette_equals_a_plain_loop(spark):
+    rng = np.random.default_rng(8)
+    x = np.vstack([rng.normal(m, 1.0, (25, 2)) for m in (0, 3)] + [[[50.0, 50.0]]])
+    label = [0] * 25 + [1] * 25 + [7]
+    df = spark.createDataFrame([(i, *map(float, v), c) for i, (v, c) in enumerate(zip(x, label, strict=True))], "id long, a double, b double, cluster int").repartition(20)
+    far = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    scores = []
+    for i, c in enumerate(label):
+        mine = [j for j, o in enumerate(label) if o == c and j != i]
+        a = far[i, mine].mean() if mine else None
+        b = min(far[i, [j for j, o in enumerate(label) if o == k]].mean() for k in {0, 1, 7} - {c})
+        scores.append((b - a) / max(a, b) if mine else 0.0)
+    both = df.select("id", "a", "b"), df.select("id", "cluster")
+    assert M.silhouette(*both, "id", ["a", "b"]) == pytest.approx(np.mean(scores), abs=1e-9)
+    some = M.silhouette(*both, "id", ["a", "b"], sample=20)
+    assert some != pytest.approx(np.mean(scores), abs=1e-9) and abs(some - np.mean(scores)) < 0.2
+    assert M.silhouette(both[0], df.select("id", (df.cluster * 0).alias("cluster")), "id", ["a", "b"]) is None
