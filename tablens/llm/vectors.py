@@ -94,9 +94,9 @@ class Index:
         return codes, np.sqrt(((rest - back) ** 2).sum(axis=1))
 
 
-def _unit(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Vectors in double precision and their unit forms in single."""
-    x = np.frombuffer(b"".join(raw), "<f4").reshape(len(raw), -1).astype(np.float64)
+def _unit(raw: list[bytes], kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors in double and in single precision, of vectors stored as ``kind``."""
+    x = np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1).astype(np.float64)
     x /= np.abs(x).max(axis=1)[:, None]  # the cosine stays; no square over- or underflows
     x /= np.sqrt((x * x).sum(axis=1))[:, None]
     return x, x.astype(np.float32)
@@ -139,38 +139,58 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
                  sample: int = SAMPLE, probes: int = PROBES) -> DataFrame:
     """``id_col, n_links, component_id, kept`` for every row of ``vectors``.
 
-    Rows link at a cosine of ``threshold`` or more, equal vectors included. Nothing links with a
-    row whose id or vector is null, whose vector is zero, empty or holds a null or non-finite
-    component, or is of another length than the most frequent one: such a row has no links and
-    is its own class (a null id has no class and isn't kept). Rows that repeat an id count like
-    any other rows. Extra columns don't matter; an empty table gives an empty result.
+    Rows link at a cosine of ``threshold`` or more, equal vectors included, with vectors of the same length; each
+    length has an index of its own. Nothing links with a row whose vector is null, zero, empty or holds a
+    null or non-finite component: such a row has no links and is its own class. A row with a null
+    id links like any other; the class takes its least id that isn't null (null where there is none), and a null
+    id isn't kept. Rows that repeat an id count like any other rows. Components are floats, or else
+    read as doubles. Extra columns don't matter; an empty table gives an empty result.
     """
-    spark = vectors.sparkSession
-    base = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<float>").alias("v"))
+    element = vectors.schema[vec_col].dataType.elementType.simpleString()
+    element, kind = ("float", "<f4") if element == "float" else ("double", "<f8")
+    base = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast(f"array<{element}>").alias("v"))
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
-    fit = F.coalesce(F.col("id").isNotNull() & (F.size("v") > 0) & ~F.exists("v", bad) & F.exists("v", lambda x: x != 0), F.lit(False))
-    dims = base.where(fit).groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    fit = fit & (F.size("v") == (dims["d"] if dims else 0))
+    fit = F.coalesce((F.size("v") > 0) & ~F.exists("v", bad) & F.exists("v", lambda x: x != 0), F.lit(False))
     good = base.where(fit)
     # Numbered once, as written: ids may repeat over different vectors.
     classes = written(good.groupBy("v").agg(F.min("id").alias("least"), F.count("*").alias("n"))
                       .withColumn("node", F.monotonically_increasing_id()), "vectors")
-    distinct = classes.count()
-    if not distinct:
+    lengths = classes.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy("d").collect()  # one row per length
+    if not lengths:
         return base.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"),
                            F.col("id").isNotNull().alias("kept"))
+    found = None
+    for r in lengths:
+        part = _links(classes.where(F.size("v") == r["d"]), r["n"], kind, threshold, sample, probes)
+        found = part if found is None else found.unionByName(part)
+    counts = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+    groups = connected_components(found.select("a", "b"))
+    rooted = written(classes.join(counts, "node", "left").join(groups, "node", "left")
+                     .select("v", "least", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
+                             F.coalesce("component", "node").alias("root")), "vector-classes")
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    label = rooted.join(named, "root").select("v", "n_links", "component_id")
+    linked = good.join(label, "v").select("id", "n_links", "component_id")
+    alone = base.where(~fit).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    return linked.unionByName(alone).select(F.col("id").alias(id_col), "n_links", "component_id",
+                                            F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+def _links(classes: DataFrame, distinct: int, kind: str, threshold: float, sample: int, probes: int) -> DataFrame:
+    """``a, b, links``: a spanning forest and the link counts among ``distinct`` vectors of one length."""
+    spark = classes.sparkSession
     lists = max(1, min(MAX_LISTS, int(4 * distinct ** 0.5)))
     # A bounded sample: SAMPLE vectors, or 16 per list where there are more lists than that serves.
-    rows = classes.orderBy(F.xxhash64("v")).limit(max(sample, 16 * lists)).select("v").collect()
-    index = Index(_unit([np.array(r["v"], "<f4").tobytes() for r in rows])[1], lists, threshold)
+    rows = classes.orderBy(F.xxhash64("v")).limit(max(sample, 16 * lists)).select("v").toArrow()
+    index = Index(_unit([x.values.to_numpy().astype(kind).tobytes() for x in rows["v"]], kind)[1], lists, threshold)
     held = spark.sparkContext.broadcast(index)  # at most MAX_LISTS centres and SUBSPACES x CODES codewords
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                flat = batch.column(0).flatten().to_numpy(zero_copy_only=False).astype("<f4")
+                flat = batch.column(0).flatten().to_numpy(zero_copy_only=False).astype(kind)
                 raw = [x.tobytes() for x in flat.reshape(batch.num_rows, -1)]
-                near = _nearest(_unit(raw)[1], held.value.centres, probes)
+                near = _nearest(_unit(raw, kind)[1], held.value.centres, probes)
                 yield pa.RecordBatch.from_arrays([pa.array(raw, pa.binary()), batch.column(1), batch.column(2), pa.array(list(near), pa.list_(pa.int32()))],
                                                  names=["v", "node", "n", "near"])
 
@@ -194,7 +214,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
         if not 0 < k < len(rows):
             return None
         place = rows[0][0]
-        x, _ = _unit([r[6] for r in rows])
+        x, _ = _unit([r[6] for r in rows], kind)
         node, n = np.array([r[4] for r in rows]), np.array([r[5] for r in rows])
         home = np.array([r[7][0] for r in rows[k:]])
         seen = np.zeros((k, len(held.value.centres)), dtype=bool)
@@ -232,16 +252,5 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
         if out is not None:
             yield out
 
-    found = written(member.unionByName(query).repartition("list", "mc", "qc").sortWithinPartitions("list", "mc", "qc", "side", "node")
-                    .mapInArrow(run, "a long, b long, links long"), "vector-links")
-    counts = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
-    groups = connected_components(found.select("a", "b"))
-    rooted = written(classes.join(counts, "node", "left").join(groups, "node", "left")
-                     .select("v", "least", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-                             F.coalesce("component", "node").alias("root")), "vector-classes")
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    label = rooted.join(named, "root").select("v", "n_links", "component_id")
-    linked = good.join(label, "v").select("id", "n_links", "component_id")
-    alone = base.where(~fit).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    return linked.unionByName(alone).select(F.col("id").alias(id_col), "n_links", "component_id",
-                                            F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    return written(member.unionByName(query).repartition("list", "mc", "qc").sortWithinPartitions("list", "mc", "qc", "side", "node")
+                   .mapInArrow(run, "a long, b long, links long"), "vector-links")

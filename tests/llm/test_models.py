@@ -257,26 +257,29 @@ def test_lm_query_counts_and_base_score(spark):
 
 # --- embeddings ------------------------------------------------------------
 
-def brute_links(rows, threshold=0.9):
-    """(id, links, class, kept) of every row, by all pairs."""
-    size = Counter(len(v) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)).most_common(1)
-    good = [k for k, (i, v) in enumerate(rows) if i is not None and v and size and len(v) == size[0][0]
-            and all(x is not None and math.isfinite(x) for x in v) and any(v)]
-    x = np.array([np.array(rows[k][1], np.float32).astype(np.float64) for k in good])
-    x = x / np.abs(x).max(axis=1)[:, None]
-    x /= np.linalg.norm(x, axis=1)[:, None]
-    near = (x @ x.T >= threshold - 1e-12)
-    np.fill_diagonal(near, False)
+def brute_links(rows, threshold=0.9, dtype=np.float32):
+    """(id, links, class, kept) of every row, by all pairs of vectors of one length."""
+    good = [k for k, (_, v) in enumerate(rows) if v and all(x is not None and math.isfinite(x) for x in v) and any(v)]
+    near = {k: [] for k in good}
+    for size in {len(rows[k][1]) for k in good}:
+        same = [k for k in good if len(rows[k][1]) == size]
+        x = np.array([np.array(rows[k][1], dtype).astype(np.float64) for k in same])
+        x = x / np.abs(x).max(axis=1)[:, None]
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        for a, b in zip(*np.nonzero(x @ x.T >= threshold - 1e-12), strict=True):
+            if a != b:
+                near[same[a]].append(same[b])
+    least = lambda a, b: b if a is None else a if b is None else min(a, b)
     label = {k: rows[k][0] for k in good}
     changed = True
     while changed:
         changed = False
-        for a, b in zip(*np.nonzero(near), strict=True):
-            if label[good[b]] < label[good[a]]:
-                label[good[a]] = label[good[b]]
-                changed = True
-    n = {k: int(near[j].sum()) for j, k in enumerate(good)}
-    return Counter((i, n.get(k, 0), label.get(k, i), i is not None and label.get(k, i) == i) for k, (i, _) in enumerate(rows))
+        for k in good:
+            for o in near[k]:
+                low = least(label[k], label[o])
+                if low != label[k]:
+                    label[k], changed = low, True
+    return Counter((i, len(near.get(k, ())), label.get(k, i), i is not None and label.get(k, i) == i) for k, (i, _) in enumerate(rows))
 
 
 def test_embeddings_edge_rows_equal_brute_force(spark):
@@ -293,6 +296,19 @@ def test_embeddings_edge_rows_equal_brute_force(spark):
     assert vectors.near_vectors(df.limit(0)).count() == 0
 
 
+def test_every_length_links_in_double_precision(spark):
+    """Vectors of several lengths; doubles beyond the range of floats; null ids link too."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for d, scale in ((3, 1.0), (2, 1e39), (7, 1e-60)):
+        base = rng.normal(size=(3, d)) * scale
+        rows += [(len(rows) + i, (base[i % 3] + rng.normal(size=d) * 0.05 * scale).tolist()) for i in range(12)]
+    rows += [(900, [1.0, 2.0, 3.0]), (901, [1.0, 2.0, 3.0]), (902, [5.0, 6.0]), (903, [5.0, 6.0]), (904, [-7.0]), (905, [2.0]), (None, [5.0, 6.0]),
+             (None, [1e300, 0.0, 0.0, 1.0]), (None, [1e300, 0.0, 0.0, 1.0]), (906, [float("inf"), 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    assert Counter(tuple(r) for r in vectors.near_vectors(df).collect()) == brute_links(rows, dtype=np.float64)
+
+
 def test_hot_list_is_cut_into_blocks(spark, monkeypatch):
     monkeypatch.setattr(vectors, "MEMBERS", 40)
     monkeypatch.setattr(vectors, "QUERIES", 60)
