@@ -40,7 +40,6 @@ WINDOW, SHORTEST = 20, 12
 #: A window of only letters or only digits is never a secret on its own.
 LIMITS = {"hex": 2.9, "upper": 3.3, "lower": 3.2, "mixed": 3.5}
 HEXDIGITS = frozenset("0123456789abcdefABCDEF")
-_DIGIT = re.compile(r"[0-9]")
 
 #: Host names, addresses and dates: suppressed themselves, but not what follows them in a run.
 HEADS = (
@@ -81,8 +80,8 @@ def _class(upper: int, lower: int, digit: int, hexa: int, size: int) -> str | No
 
 def run_spans(run: str) -> list[tuple[int, int]]:
     """Merged (start, end) of the hits of a whole run behind its leading host names, addresses and dates."""
-    at = 0
-    while _DIGIT.search(run, at):
+    at, last = 0, max(map(run.rfind, "0123456789"))
+    while at <= last:
         head = next((m for p in HEADS if (m := p.match(run, at))), None)
         if not head:
             rest = run[at:]

@@ -370,3 +370,13 @@ def test_empty_tables(spark):
     assert minhash.edited_fingerprints(docs).count() == 0
     assert minhash.fingerprint_documents(docs).count() == 0
     assert packing.pack(docs, tokenizer_file()).count() == 0
+
+
+def test_long_runs_of_host_names_take_linear_time():
+    import time
+
+    for run in ("www.example.com/" * 65_000 + "k3j9x2m4q8z1", "10.0.0.1/" * 110_000 + "www.example.org/a1", "a.com-" * 170_000 + "b2"):
+        began = time.perf_counter()
+        found = secrets.run_spans(run)
+        assert time.perf_counter() - began < 2
+        assert found == [(a + len(run) - 12, b + len(run) - 12) for a, b in secrets.run_spans("k3j9x2m4q8z1")] or not run.endswith("z1")
