@@ -68,34 +68,45 @@ def dtype_report(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column_name string, dtype string, is_numeric boolean")
 
 
+def _repeated(df: DataFrame, subset: list[str], keep: Sequence[str] = ()) -> DataFrame:
+    """The rows (``keep`` and ``subset``) whose 128-bit digest of ``subset`` is not alone, with it as ``_h1, _h2``.
+
+    Only digests are shuffled to find them; null and its place count, -0.0 equals 0.0.
+    """
+    kinds = dict(df.dtypes)
+    cells = [x for c in subset for x in (F.col(c) + F.lit(0.0) if kinds[c] in ("double", "float") else F.col(c), F.col(c).isNull())]
+    hashed = df.select(*keep, *[c for c in subset if c not in keep], F.xxhash64(*cells).alias("_h1"), F.xxhash64(F.lit(1), *reversed(cells)).alias("_h2"))
+    many = hashed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > 1).select("_h1", "_h2")
+    return hashed.join(many, ["_h1", "_h2"], "left_semi")
+
+
 def duplicate_report(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    """``(n_rows, duplicates, duplicate_pct)``: rows that repeat an earlier row (NULL = NULL)."""
+    """``(n_rows, duplicates, duplicate_pct)``: rows that repeat an earlier row (NULL = NULL).
+
+    Rows are compared by all columns only where their digests meet.
+    """
     subset = as_list(subset) or df.columns
-    g = df.groupBy(*subset).agg(F.count(F.lit(1)).alias("_c"))
-    r = g.agg(F.sum("_c").alias("n_rows"), F.sum(F.col("_c") - 1).alias("duplicates"))
-    return r.select(F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"),
-                    F.coalesce("duplicates", F.lit(0)).cast("long").alias("duplicates"),
+    same = _repeated(df, subset).groupBy("_h1", "_h2", *subset).agg(F.count(F.lit(1)).alias("_c"))
+    again = same.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("duplicates"))
+    r = df.agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(F.broadcast(again))  # one row each
+    return r.select(F.col("n_rows").cast("long").alias("n_rows"), F.col("duplicates").cast("long").alias("duplicates"),
                     F.bround(F.try_divide(F.col("duplicates") * 100.0, F.col("n_rows")), 2).alias("duplicate_pct"))
 
 
 def duplicate_rows(df: DataFrame, key: str, subset: Sequence[str] | None = None) -> DataFrame:
     """Rows that repeat an earlier row (all but the first by ``key`` order): ``(key, first_key)``.
 
-    Groups of equal rows are found with a map-side combined aggregate keyed by a
-    content hash; only groups with repeats are joined back (size-checked broadcast,
-    else a shuffle join that AQE splits when one group is hot). NULL equals NULL.
+    Rows are compared by all columns only where their 128-bit digests meet, which AQE joins by size
+    and splits when one group is hot. NULL equals NULL.
     """
     subset = as_list(subset) or [c for c in df.columns if c != key]
-    h = F.xxhash64(*[F.col(c) for c in subset])
-    hashed = df.select(key, *subset, h.alias("_h"))
-    groups = hashed.groupBy("_h", *subset).agg(F.count(F.lit(1)).alias("_c"), F.min(key).alias("first_key")) \
-        .filter(F.col("_c") > 1).drop("_c")
-    g = groups.select("_h", "first_key", *[F.col(c).alias(f"_g_{c}") for c in subset])
-    j = attach(hashed, g, ["_h"])
+    rows = _repeated(df, subset, [key])
+    groups = rows.groupBy("_h1", "_h2", *subset).agg(F.count(F.lit(1)).alias("_c"), F.min(key).alias("first_key")).filter(F.col("_c") > 1)
+    groups = groups.select("_h1", "_h2", "first_key", *[F.col(c).alias(f"_g_{c}") for c in subset])
     same = F.lit(True)
     for c in subset:
         same = same & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
-    return j.filter(same & (F.col(key) != F.col("first_key"))).select(key, "first_key")
+    return rows.join(groups, ["_h1", "_h2"]).filter(same & (F.col(key) != F.col("first_key"))).select(key, "first_key")
 
 
 # ---------------------------------------------------------------- constraint checks
