@@ -233,3 +233,11 @@ def find_anomalies_events(spark, sf):
     ev = load(spark, sf, "events").withColumn("user_id", F.col("user_id").cast("double"))
     return O.find_anomalies(ev, ["value", "user_id"], "event_id",
                             ["iqr", "zscore_sample", "modified_zscore", "isolation_forest", "unknown"])
+
+
+@register("summary_report_events")
+def summary_report_events(spark, sf):
+    """The full report of events in one table: info, missing, statistics, correlation, clusters, forest, time patterns, issues (rows-only check)."""
+    from tablens.plans.reports import report_rows, summary_report
+    ev = load(spark, sf, "events").withColumn("user_id", F.col("user_id").cast("double"))
+    return report_rows(summary_report(ev, ["value", "user_id"], label="event_type", key="event_id", ts="ts"))

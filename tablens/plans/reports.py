@@ -68,6 +68,16 @@ def summary_report(df: DataFrame, measures: Sequence[str] | None = None, label:
     return {k: v for k, v in out.items() if v is not None}
 
 
+def report_rows(report: dict[str, DataFrame]) -> DataFrame:
+    """A report as one table ``(section, row)``: every row of every part as JSON, nulls included."""
+    parts = [part.select(F.lit(name).alias("section"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in part.columns]), {"ignoreNullFields": "false"}).alias("row"))
+             for name, part in report.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def complex_patterns(df: DataFrame, ts: str, columns: Sequence[str], top: int = 3) -> DataFrame:
     """Step choice → resampling → the first ``top`` dominant bins by frequency, per measure.
 

@@ -278,3 +278,25 @@ def dominant_periods_hourly_by_event_type(spark, sf):
     d = TS.dominant_periods(hourly_by_type(spark, sf), series="event_type")
     return d.select("event_type", "k", F.round("frequency", 6).alias("frequency"), F.round("period", 6).alias("period"),
                     F.round("power", 2).alias("power"))
+
+
+@register("regularity_hourly_by_event_type", _SERIES_SQL + """,
+gp as (select event_type, (epoch_us(bucket_ts) - lag(epoch_us(bucket_ts)) over (partition by event_type order by bucket_ts)) / 1e6 as gap from r)
+select event_type, cast(count(gap) as bigint) as n_gaps, round(avg(gap), 6) as mean_interval_seconds,
+       round(stddev_pop(gap), 6) as std_interval_seconds,
+       round(1 - least(1, stddev_pop(gap) / (avg(gap) + 1e-10)), 6) as regularity,
+       cast(count(distinct gap) as bigint) as distinct_gaps,
+       round(case when count(distinct gap) = 1 then max(gap) end, 6) as step_seconds, cast(null as varchar) as calendar
+from gp where gap is not null group by event_type
+""")
+def regularity_hourly_by_event_type(spark, sf):
+    """Every event type's resampled series is regular: one distinct gap, step 3600 s."""
+    return rounded(TS.gap_stats(hourly_by_type(spark, sf), "bucket_ts", "event_type"))
+
+
+@register("dominant_periods_minutely_by_event_type")
+def dominant_periods_minutely_by_event_type(spark, sf):
+    """Every event type's per-minute series (about 43,000 buckets each) through the distributed four-step FFT
+    (rows-only: an O(n²) SQL DFT is too slow here; tests compare FFT with the exact DFT)."""
+    d = TS.dominant_periods(TS.resample(load(spark, sf, "events"), "ts", "value", 60, series="event_type"), series="event_type", top=3, order="power")
+    return d.select("event_type", "k", F.round("period", 6).alias("period"), F.round("power", 2).alias("power"))

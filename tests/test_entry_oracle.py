@@ -12,7 +12,7 @@ import __spark_entry__ as E  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
 
 OWN_NAME = re.compile(r"op\d+_|pipeline$")
-HEAVY = {"kmeans_embeddings", "elbow_curve_embeddings", "random_forest_imputed_lineitem",
+HEAVY = {"summary_report_events", "elbow_choice_embeddings", "kmeans_embeddings", "elbow_curve_embeddings", "random_forest_imputed_lineitem",
          "random_forest_label_imputed_events"}
 
 

@@ -1,3 +1,5 @@
+import json
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -5,7 +7,7 @@ import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 from tablens.operators import plotdata as V
-from tablens.plans.reports import summary_report
+from tablens.plans.reports import report_rows, summary_report
 
 
 @pytest.fixture(scope="module")
@@ -46,6 +48,9 @@ def test_summary_report_parts(spark):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     rep = summary_report(ev.withColumn("user_id", F.col("user_id").cast("double")), ["value", "user_id"], label="event_type", key="event_id", ts="ts")
     assert {"clusters", "cluster_importance", "forest", "calendar", "monthly_means", "gaps", "periods"} <= set(rep)
+    rows = report_rows({k: rep[k] for k in ("info", "missing", "gaps", "clusters")}).collect()
+    assert {r.section for r in rows} == {"info", "missing", "gaps", "clusters"}
+    assert [json.loads(r.row)["n_gaps"] for r in rows if r.section == "gaps"] == [999]
     record = rep["forest"].first()
     assert record.n_rows == 1000 and 40 <= record.n_flagged <= 60 and record.min_decision < 0 < record.max_decision
     assert rep["clusters"].agg(F.sum("size")).first()[0] == 2 * 1000
