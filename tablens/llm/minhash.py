@@ -117,7 +117,7 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, rows_per_range: int =
     read) and the number of ranges. Ranges come from quantiles of the ids alone; equal ids share
     a range and follow each other by text, null ids come last; the first row follows the last.
     """
-    base = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    base = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     n, lowest = base.agg(F.count("*"), F.min("id")).first()
     parts = min(MAX_RANGES, max(1, -(-n // rows_per_range)))
     cuts = []
@@ -150,9 +150,12 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     The edited text's last floor(n/2) code points give way to the first as many of the next row
     by descending id (equal ids by text, null ids last, the first row after the last). Null
-    texts count as empty; extra columns don't matter; an empty table gives an empty result.
+    texts count as empty; extra columns don't matter; an empty table gives an empty result. Ids are whole numbers
+    of any width (TypeError otherwise).
     """
     kind = docs.schema[id_col].dataType.simpleString()
+    if kind not in ("tinyint", "smallint", "int", "bigint"):
+        raise TypeError(f"{id_col} must hold whole numbers, not {kind}")
     rows, parts = with_next(docs, id_col, text_col)
 
     def emit(ids: list, texts: list[str], follow: list[str]) -> pa.RecordBatch:
@@ -191,4 +194,5 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     placed = (rows.repartition(max(1, parts), "range").sortWithinPartitions("range", "extra", F.col("id").desc_nulls_last(), "text"))
     return placed.select("id", "text", "range", "extra").mapInArrow(
-        run, f"`{id_col}` {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+        run, f"`{id_col}` long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    ).withColumn(id_col, F.col(f"`{id_col}`").cast(kind))

@@ -380,3 +380,16 @@ def test_long_runs_of_host_names_take_linear_time():
         found = secrets.run_spans(run)
         assert time.perf_counter() - began < 2
         assert found == [(a + len(run) - 12, b + len(run) - 12) for a, b in secrets.run_spans("k3j9x2m4q8z1")] or not run.endswith("z1")
+
+
+def test_fingerprints_of_ids_of_any_width(spark):
+    rows = [(i % 5 if i else None, f"text {i} " * (i + 1)) for i in range(12)]
+    wide = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted((tuple(r) for r in minhash.edited_fingerprints(wide).collect()), key=str)
+    for kind in ("int", "smallint", "tinyint"):
+        df = wide.selectExpr(f"cast(doc_id as {kind}) as doc_id", "text")
+        got = minhash.edited_fingerprints(df)
+        assert got.schema["doc_id"].dataType.simpleString() == kind
+        assert sorted((tuple(r) for r in got.collect()), key=str) == want
+    with pytest.raises(TypeError):
+        minhash.edited_fingerprints(wide.selectExpr("cast(doc_id as string) as doc_id", "text"))
