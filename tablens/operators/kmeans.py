@@ -1,9 +1,10 @@
 """Many k-means models in one sweep over the data.
 
 Rows are packed once into blocks of up to ``BLOCK_ROWS`` vectors, kept in memory or on disk. A Lloyd pass
-reads the blocks once for all models that still move: a task multiplies a block with all their
-centres at once and adds up sums, counts and costs; only these leave it, and are added in two steps. So an
-elbow curve costs as many passes as its slowest model, whatever the number of models.
+reads the blocks once for all models that still move: a task adds up sums, counts and costs of every model;
+only these leave it, and are added up in tasks, so that one row a pass reaches the driver. So an
+elbow curve costs as many passes as its slowest model, whatever the number of models. Blocks are dealt
+over the cores where the scan leaves them in few tasks.
 
 Starts come from k-means++ on one sample of at most ``SAMPLE_ROWS`` rows (all rows where there are no more);
 every pass reads all rows. A centre that loses all its rows stays where it is.
@@ -26,8 +27,10 @@ BLOCK_ROWS = 4096
 SAMPLE_ROWS = 8192
 TOLERANCE = 1e-4
 MAX_ITER = 300
-# Partial sums are first added in so many groups of tasks, then on the driver.
+# Partial sums are first added in so many groups of tasks, then in one.
 GROUPS = 16
+# Up to so many columns sums are counted up per column, beyond it multiplied.
+COUNTED_COLUMNS = 8
 
 
 @dataclass
@@ -51,22 +54,37 @@ def pack_blocks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([len(p) for p in parts], pa.int32()), pa.array([np.ascontiguousarray(p).tobytes() for p in parts], pa.binary())], names=["n", "data"])
 
     packed = materialize(df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)]).mapInArrow(run, "n int, data binary"))
-    return packed.withColumn("block", F.monotonically_increasing_id()).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = packed.withColumn("block", F.monotonically_increasing_id())
+    busiest, held = packed.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+    spread = min(held or 0, max(packed.rdd.getNumPartitions(), 2 * df.sparkSession.sparkContext.defaultParallelism))
+    if held and busiest > 2 * -(-held // spread):
+        blocks = blocks.repartition(spread)
+    return blocks.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def sample_rows(blocks: DataFrame, dims: int, seed: int, rows: int = SAMPLE_ROWS) -> np.ndarray:
-    """At most ``rows`` rows, each with the same chance, the same for the same blocks and seed."""
+    """At most ``rows`` rows, each with the same chance, the same for the same blocks and seed.
+
+    The rows with the least draws; only draws below a share that holds a few more than ``rows`` of them are collected.
+    """
+    held = blocks.agg(F.sum("n")).first()[0] or 0
+    share = min(1.0, (rows + 8.0 * rows ** 0.5 + 16) / max(held, 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, n, data in zip(batch["block"].to_pylist(), batch["n"].to_pylist(), batch["data"].to_pylist(), strict=True):
                 draw = np.random.default_rng([seed, block]).random(n)
-                at = np.argsort(draw)[:rows]
+                at = np.flatnonzero(draw < share)
                 x = np.frombuffer(data, "<f8").reshape(n, dims)
                 yield pa.RecordBatch.from_arrays([pa.array(draw[at]), pa.array([x[i].tobytes() for i in at], pa.binary())], names=["draw", "x"])
 
-    got = blocks.select("block", "n", "data").mapInArrow(run, "draw double, x binary").orderBy("draw", "x").limit(rows).collect()
-    return np.array([np.frombuffer(r["x"], "<f8") for r in got]).reshape(len(got), dims)
+    while True:
+        got = blocks.select("block", "n", "data").mapInArrow(run, "draw double, x binary").collect()  # rows and a few more
+        if len(got) >= min(rows, held):
+            break
+        share = min(1.0, 2 * share)
+    got = sorted((r["draw"], bytes(r["x"])) for r in got)[:rows]
+    return np.array([np.frombuffer(x, "<f8") for _, x in got]).reshape(len(got), dims)
 
 
 def plus_plus(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
@@ -82,6 +100,28 @@ def plus_plus(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
     return np.array(centers)
 
 
+def _nearest(x: np.ndarray, centers: np.ndarray, square: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest centre of each column of ``x`` (columns x rows), the first among equals, and its squared distance less the row's own square."""
+    far = centers @ x
+    far *= -2.0
+    far += square[:, None]
+    at, best = np.zeros(x.shape[1], np.intp), far[0]
+    for j in range(1, len(far)):
+        np.copyto(at, j, where=far[j] < best)
+        np.minimum(best, far[j], out=best)
+    return at, best
+
+
+def _sum_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = None
+    for batch in batches:
+        for t in batch["total"]:
+            part = np.frombuffer(t.as_buffer(), "<f8")
+            total = part.copy() if total is None else np.add(total, part, out=total)
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
+
+
 def _sweep(blocks: DataFrame, dims: int, centers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """One pass: sums (all centres x dims), counts and the cost of every model."""
     spark = blocks.sparkSession
@@ -90,35 +130,33 @@ def _sweep(blocks: DataFrame, dims: int, centers: list[np.ndarray]) -> tuple[np.
     held = spark.sparkContext.broadcast(np.vstack(centers))  # all centres
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
         c = held.value
         square = (c * c).sum(axis=1)
         sums, counts, costs = np.zeros(c.shape), np.zeros(len(c)), np.zeros(len(sizes))
         for batch in batches:
             for n, data in zip(batch["n"].to_pylist(), batch["data"].to_pylist(), strict=True):
                 x = np.frombuffer(data, "<f8").reshape(n, dims)
-                far = square - 2 * (x @ c.T)
+                across = np.ascontiguousarray(x.T)
                 own = (x * x).sum(axis=1)
-                hot = np.zeros((n, len(c)))
-                for m in range(len(sizes)):
-                    part = far[:, cuts[m]:cuts[m + 1]]
-                    at = part.argmin(axis=1)
-                    hot[np.arange(n), cuts[m] + at] = 1.0
-                    costs[m] += np.maximum(own + part[np.arange(n), at], 0.0).sum()
-                sums += hot.T @ x
-                counts += hot.sum(axis=0)
+                for m, k in enumerate(sizes):
+                    span = slice(cuts[m], cuts[m + 1])
+                    at, best = _nearest(across, c[span], square[span])
+                    costs[m] += np.maximum(own + best, 0.0).sum()
+                    counts[span] += np.bincount(at, minlength=k)
+                    if dims <= COUNTED_COLUMNS:
+                        for d in range(dims):
+                            sums[span, d] += np.bincount(at, weights=across[d], minlength=k)
+                    else:
+                        sums[span] += (at == np.arange(k)[:, None]).astype(np.float64) @ x
         total = np.concatenate([sums.ravel(), counts, costs]).astype("<f8").tobytes()
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % GROUPS], pa.int32()), pa.array([total], pa.binary())], names=["part", "total"])
-
-    def merge(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(t, "<f8") for t in table["total"].to_pylist())
-        return pa.table({"part": table["part"].slice(0, 1), "total": pa.array([total.tobytes()], pa.binary())})
-
-    parts = blocks.select("n", "data").mapInArrow(add, "part int, total binary")
-    if blocks.rdd.getNumPartitions() > GROUPS:
-        parts = parts.groupBy("part").applyInArrow(merge, "part int, total binary")
-    rows = parts.collect()  # at most GROUPS rows
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.binary())], names=["total"])
+
+    parts, tasks = blocks.select("n", "data").mapInArrow(add, "total binary"), blocks.rdd.getNumPartitions()
+    if tasks > GROUPS:
+        parts = parts.repartition(GROUPS).mapInArrow(_sum_rows, "total binary")
+    if tasks > 1:
+        parts = parts.repartition(1).mapInArrow(_sum_rows, "total binary")
+    rows = parts.collect()  # one row
     held.destroy()
     total = sum((np.frombuffer(r["total"], "<f8") for r in rows), np.zeros(cuts[-1] * (dims + 1) + len(sizes)))
     edge = cuts[-1] * dims

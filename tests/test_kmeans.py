@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tablens.operators import kmeans as K
 from tablens.operators import ml as M
@@ -51,6 +52,50 @@ def test_sample_holds_each_row_once(spark, blobs):
     assert 2 <= hot <= 25  # a fifth of the rows are equal
 
 
+def test_few_rows_reach_the_driver(spark, blobs, monkeypatch):
+    """One row a pass and the sample's rows, however many partitions there are."""
+    monkeypatch.setattr(K, "BLOCK_ROWS", 8)
+    x, df = blobs
+    blocks = K.pack_blocks(df, ["a", "b", "c"])
+    assert blocks.rdd.getNumPartitions() == 20
+    got, collect = [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: got.append(collect(self)) or got[-1])
+    K.lloyd(blocks, 3, [x[:4], x[:2]], 3, -1.0)
+    assert [len(rows) for rows in got] == [1] * 4
+    got.clear()
+    K.sample_rows(blocks, 3, 1, 4)
+    assert max(len(rows) for rows in got) <= 80
+
+
+def test_sample_holds_the_least_draws(spark, blobs):
+    x, df = blobs
+    blocks = K.pack_blocks(df, ["a", "b", "c"])
+    drawn = [(d, v) for r in blocks.collect() for d, v in zip(np.random.default_rng([1, r["block"]]).random(r["n"]), np.frombuffer(r["data"], "<f8").reshape(-1, 3).tolist(), strict=True)]
+    assert K.sample_rows(blocks, 3, 1, 30).tolist() == [v for _, v in sorted(drawn)[:30]]
+
+
+def test_blocks_of_one_partition_are_spread(spark, blobs, monkeypatch):
+    monkeypatch.setattr(K, "BLOCK_ROWS", 16)
+    x, df = blobs
+    blocks = K.pack_blocks(df.coalesce(1).union(df.where("id < 0")), ["a", "b", "c"])  # the other partitions are empty
+    sizes = [r["count"] for r in blocks.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= spark.sparkContext.defaultParallelism and max(sizes) <= 2 * sum(sizes) / len(sizes)
+    assert sorted(v for r in blocks.collect() for v in np.frombuffer(r["data"], "<f8").reshape(-1, 3).tolist()) == sorted(x.tolist())
+    centers, cost = plain_lloyd(x, x[[0, 130, 250, 400]], 3)
+    got, = K.lloyd(blocks, 3, [x[[0, 130, 250, 400]]], 3, -1.0)
+    assert np.allclose(got.centers, centers, atol=1e-9) and got.cost == pytest.approx(cost, rel=1e-9)
+
+
+@pytest.mark.parametrize("dims", [2, 12])
+def test_nearest_is_the_first_among_equals(dims):
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 3, (500, dims)).astype(float)
+    c = rng.integers(0, 3, (9, dims)).astype(float)
+    at, best = K._nearest(np.ascontiguousarray(x.T), c, (c * c).sum(axis=1))
+    far = ((x[:, None] - c[None]) ** 2).sum(axis=2)
+    assert (at == far.argmin(axis=1)).all() and np.allclose(best + (x * x).sum(axis=1), far.min(axis=1))
+
+
 def test_elbow_and_clusters_of_blobs(spark, blobs):
     x, df = blobs
     models = M.elbow_models(df, ["a", "b", "c"], max_clusters=6, starts=3)
