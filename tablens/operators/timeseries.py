@@ -261,7 +261,7 @@ def dft_power(regular: DataFrame, series: Sequence[str] | None = None, t: str =
     computed next to each series' length, so neither their number nor their lengths matter.
     """
     series = as_list(series)
-    x = regular.select(*series, F.col(t).alias("t"), F.col(value).cast("double").alias("y"))
+    x = materialize(regular.select(*series, F.col(t).alias("t"), F.col(value).cast("double").alias("y")))  # read for its size and mean, then transformed
     st = x.groupBy(*series).agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("_m"))
     st = st.filter(F.col("n") >= MIN_FFT_POINTS)
     j = attach(x, st, series, known_rows=None) if series else x.crossJoin(F.broadcast(st))
@@ -390,7 +390,7 @@ def dominant_periods(regular: DataFrame, series: Sequence[str] | None = None, t:
     power (``order='power'``).
     """
     series = as_list(series)
-    p = dft_power(regular, series, t, value)
+    p = materialize(dft_power(regular, series, t, value))  # the quantile reads it several times
     thr = quantile_table(p.select(*series, F.col("power").alias("value")), series,
                          {"threshold": FFT_POWER_PERCENTILE}).drop("n")
     d = (attach(p, thr, series, known_rows=None) if series else p.crossJoin(F.broadcast(thr))) \

@@ -168,3 +168,31 @@ def test_isolation_forest_by_group(spark):
         top = set(sub.sort_values("anomaly_score", ascending=False).id.head(8))
         assert len(top & set(range(base, base + 8))) >= 7
         assert abs(sub.is_outlier.mean() - 0.05) < 0.015
+
+
+def test_forest_walk_is_spread_and_follows_the_nodes(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(400, 2))
+    df = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(x)], "id long, a double, b double").coalesce(1)
+    nodes, psi = IF.fit_forest(df, ["a", "b"], "id", n_trees=5)
+    s = IF.score(df, nodes, ["a", "b"], "id", psi)
+    assert s.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    table = {(r.tree, r.node): r for r in nodes.collect()}
+
+    def walk(tree, v):
+        r = table[tree, 0]
+        while r.feature >= 0:
+            r = table[tree, r.left if v[r.feature] < r.threshold else r.right]
+        return r.depth + IF._c([r.size])[0]
+
+    want = {i: 2.0 ** (-sum(walk(t, v) for t in range(5)) / 5 / IF._c([psi])[0]) for i, v in enumerate(x)}
+    got = {r["id"]: r.anomaly_score for r in s.collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-12 for i in want)
+
+
+def test_dominant_periods_transform_once(spark):
+    """The bins are kept, so neither the threshold nor a reader of the result repeats the transform."""
+    reg = spark.createDataFrame([(s, i, float(np.sin(2 * np.pi * i * s / 96))) for s in (4, 8) for i in range(96)], "s int, t long, value double")
+    d = TS.dominant_periods(reg, series="s", top=1)
+    assert "FlatMapGroupsInPandas" not in d._jdf.queryExecution().toString()
+    assert sorted((r["s"], r["k"]) for r in d.collect()) == [(4, 4), (8, 8)]
