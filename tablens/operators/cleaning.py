@@ -100,15 +100,16 @@ def impute_mean(df: DataFrame, columns: Sequence[str] | None = None, group=None)
 
 # ---------------------------------------------------------------- model-based imputers (Spark ML)
 
-def _with_filled(df: DataFrame, columns: list[str], prefix: str) -> DataFrame:
-    """``df`` plus median-filled copies ``prefix + column``, carried in the same row."""
-    wide = df.select("*", *[nan_to_null(c).alias(f"{prefix}{c}") for c in columns])
-    return impute_median(wide, [f"{prefix}{c}" for c in columns])
+def _with_filled(df: DataFrame, columns: list[str], prefix: str, lacking: Sequence[str] | None = None) -> DataFrame:
+    """``df`` plus median-filled copies ``prefix + column``, carried in the same row; only ``lacking`` ones (all by default) need a median."""
+    wide = df.select("*", *[nan_to_null(c).cast("double").alias(f"{prefix}{c}") for c in columns])
+    lacking = columns if lacking is None else [c for c in columns if c in lacking]
+    return impute_median(wide, [f"{prefix}{c}" for c in lacking]) if lacking else wide
 
 
 def impute_random_forest(df: DataFrame, columns: Sequence[str], key: Sequence[str] | str | None = None,
                          num_trees: int = 100, seed: int = 42, predictors: Sequence[str] | None = None) -> DataFrame:
-    """Per column: a distributed ``RandomForestRegressor`` fitted on the rows where the column
+    """Per column: a distributed regression forest fitted on the rows where the column
     is present (the other features median-filled), predicting the rows where it is missing.
 
     The filled features travel in the row itself, so no row is joined with another. All models are fitted on
@@ -116,32 +117,37 @@ def impute_random_forest(df: DataFrame, columns: Sequence[str], key: Sequence[st
     columns there are; complete rows pass through unscored. ``key`` isn't needed (kept for callers that have one;
     a key that repeats is refused). ``predictors`` defaults to ``columns``.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import RandomForestRegressor
+    from tablens.operators import forest
 
     columns, key, names = as_list(columns), as_list(key), list(df.columns)
-    feats_all = as_list(predictors) or columns
+    feats_all = list(dict.fromkeys(as_list(predictors) or columns))
     if key and not df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").isEmpty():
         raise ValueError(f"key {key} repeats")
-    miss = df.agg(*[F.count_if(nan_to_null(c).isNull()).alias(c) for c in columns]).first()
-    work = _with_filled(df, feats_all, "_feat_")
-    fitted: list[tuple[str, VectorAssembler, object]] = []
-    for i, c in enumerate(columns):
-        feats = [f"_feat_{x}" for x in feats_all if x != c]
-        if not feats or miss[c] == 0:
-            continue
-        va = VectorAssembler(inputCols=feats, outputCol=f"_features{i}", handleInvalid="keep")
-        train = va.transform(work.filter(nan_to_null(c).isNotNull()).select(*feats, nan_to_null(c).alias("_target")))
-        model = RandomForestRegressor(featuresCol=f"_features{i}", labelCol="_target", numTrees=num_trees, seed=seed).fit(train)
-        fitted.append((c, va, model.setPredictionCol(f"_predicted{i}")))
+    both = list(dict.fromkeys([*columns, *feats_all]))
+    seen = df.agg(*[F.count_if(nan_to_null(c).isNull()).alias(f"_miss_{c}") for c in both],
+                  *[F.avg(nan_to_null(c).cast("double")).alias(f"_mean_{c}") for c in columns]).first()
+    miss = {c: seen[f"_miss_{c}"] for c in both}
+    feats = {c: [x for x in feats_all if x != c] for c in columns if miss[c]}
+    feats = {c: f for c, f in feats.items() if f}
+    for c in feats:
+        if seen[f"_mean_{c}"] is None:
+            raise ValueError(f"column {c} has no value to learn from")
+    used = [x for x in feats_all if any(x in f for f in feats.values())]
+    work = _with_filled(df, used, "_feat_", [x for x in used if miss[x]])
+    cuts = forest.cut_points(work, [f"_feat_{x}" for x in used]) if used else {}
+    work = work.select("*", *[forest.bin_of(F.col(x), cuts[x]).alias(f"_bin{x}") for x in cuts])
+    fitted = {}
+    for c, own in feats.items():
+        bins = [f"_bin_feat_{x}" for x in own]
+        train = work.filter(nan_to_null(c).isNotNull()).select(*bins, nan_to_null(c).alias("_target"))
+        model = forest.fit_regression(train, bins, "_target", seen[f"_mean_{c}"], num_trees, seed)
+        fitted[c] = forest.predicted(model, bins)
     lacking = F.lit(False)
-    for c, _, _ in fitted:
+    for c in fitted:
         lacking = lacking | nan_to_null(c).isNull()
-    lack = work.filter(lacking)
-    for _, va, model in fitted:
-        lack = model.transform(va.transform(lack))
-    filled = {c: F.coalesce(nan_to_null(c), F.col(model.getPredictionCol())).cast(df.schema[c].dataType).alias(c) for c, _, model in fitted}
-    out = work.filter(~lacking).select(*names).unionByName(lack.select(*[filled.get(c, F.col(c)) for c in names]))
+    filled = {c: F.coalesce(nan_to_null(c), p).cast(df.schema[c].dataType).alias(c) for c, p in fitted.items()}
+    lack = work.filter(lacking).select(*[filled.get(c, F.col(c)) for c in names])
+    out = work.filter(~lacking).select(*names).unionByName(lack)
     return missing_to_null(out, [c for c in columns if miss[c]])
 
 
