@@ -4,7 +4,8 @@ Features are cut into at most ``max_bins`` bins, as Spark ML's ``RandomForestReg
 target then act alike, so they are counted once and travel as one row. A tree's bootstrap takes a row Poisson(1)
 times, hence n equal rows Poisson(n) times: the drawn sample follows the same law, with one draw per group.
 The draws are hashed from the group, so every pass repeats them and the forest doesn't depend on how rows are
-partitioned. Tasks hold one batch and one level's histogram; only summed histograms (trees × nodes × bins) and
+partitioned. Where many groups share their bins, their drawn
+sums are kept, at most two numbers per tree for every ``KEEP_FROM`` groups. Tasks hold one batch and one level's histogram; only summed histograms (trees × nodes × bins) and
 the trees reach the driver.
 """
 
@@ -28,6 +29,8 @@ MAX_DEPTH = 5
 MAX_BINS = 32
 DRAWS_AT_ONCE = 500_000
 GROUPS_PER_TASK = 250_000
+# From so many groups per cell on, a cell's drawn sums are kept instead of being drawn anew for every level.
+KEEP_FROM = 10
 
 
 # ---------------------------------------------------------------- bins
@@ -127,30 +130,46 @@ class Forest:
         return self.value[np.arange(len(self.feature)), self.nodes(cells, depth)].mean(axis=1)[of.reshape(-1)]
 
 
+def _drawn(b: pd.DataFrame, bins: list[str], trees: int, mean: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bins, drawn weight and sum of centred targets ``[cell, tree]``; rows come sorted by bins, a run of equal ones is one cell."""
+    x = b[bins].to_numpy(dtype=np.int64)
+    w = _poisson(_uniform(b["_h"].to_numpy(), trees), b["_n"].to_numpy())
+    y = b["_target"].to_numpy(dtype=float) - mean
+    start = np.concatenate([[0], np.flatnonzero((x[1:] != x[:-1]).any(axis=1)) + 1])
+    return x[start], np.add.reduceat(w, start, axis=0), np.add.reduceat(w * y[:, None], start, axis=0)
+
+
+def _chunks(batches: Iterator[pd.DataFrame], trees: int) -> Iterator[pd.DataFrame]:
+    step = max(1, DRAWS_AT_ONCE // trees)
+    for b in batches:
+        for lo in range(0, len(b), step):
+            yield b.iloc[lo:lo + step]
+
+
+def _cells(batches: Iterator[pd.DataFrame], bins: list[str], trees: int, mean: float) -> Iterator[pd.DataFrame]:
+    for b in _chunks(batches, trees):
+        x, w, s = _drawn(b, bins, trees, mean)
+        yield pd.DataFrame(dict(zip(bins, x.T)) | {"_w": list(w), "_s": list(s)})
+
+
 def _histograms(batches: Iterator[pd.DataFrame], forest: Forest, level: int, tried: np.ndarray, bins: list[str],
                 mean: float, max_bins: int) -> Iterator[pd.DataFrame]:
     """A task's (weight, sum of centred targets) per tree, node of ``level``, tried feature and bin."""
     trees, width, per_node = tried.shape
     size = tried.size * max_bins
     weight, total = np.zeros(size), np.zeros(size)
-    step = max(1, DRAWS_AT_ONCE // trees)
-    tree = np.arange(trees)
-    for whole in batches:
-        for lo in range(0, len(whole), step):
-            b = whole.iloc[lo:lo + step]
-            x = b[bins].to_numpy(dtype=np.int64)
-            w = _poisson(_uniform(b["_h"].to_numpy(), trees), b["_n"].to_numpy())
-            y = b["_target"].to_numpy(dtype=float) - mean
-            # rows come sorted by bins: a run of equal ones is one cell
-            start = np.concatenate([[0], np.flatnonzero((x[1:] != x[:-1]).any(axis=1)) + 1])
-            x, s, w = x[start], np.add.reduceat(w * y[:, None], start, axis=0), np.add.reduceat(w, start, axis=0)
-            node = forest.nodes(x, level) - (width - 1)
-            row, t = np.nonzero((node >= 0) & (w > 0))
-            node, w, s = node[row, t], w[row, t], s[row, t]
-            for j in range(per_node):
-                at = ((tree[t] * width + node) * per_node + j) * max_bins + x[row, tried[t, node, j]]
-                weight += np.bincount(at, w, size)
-                total += np.bincount(at, s, size)
+    for b in _chunks(batches, trees):
+        if "_w" in b:
+            x, w, s = b[bins].to_numpy(dtype=np.int64), np.stack(b["_w"].to_list()), np.stack(b["_s"].to_list())
+        else:
+            x, w, s = _drawn(b, bins, trees, mean)
+        node = forest.nodes(x, level) - (width - 1)
+        row, t = np.nonzero((node >= 0) & (w > 0))
+        node, w, s = node[row, t], w[row, t], s[row, t]
+        for j in range(per_node):
+            at = ((t * width + node) * per_node + j) * max_bins + x[row, tried[t, node, j]]
+            weight += np.bincount(at, w, size)
+            total += np.bincount(at, s, size)
     at = np.flatnonzero(weight)
     yield pd.DataFrame({"at": at, "w": weight[at], "s": total[at]})
 
@@ -169,8 +188,12 @@ def fit_regression(train: DataFrame, bins: Sequence[str], target: str, mean: flo
         .agg(F.count(F.lit(1)).alias("_n")).withColumn("_h", F.xxhash64(F.lit(seed), *bins, "_target"))
     groups = materialize(groups)
     # a task costs a histogram, so few groups go to few tasks
-    parts = max(spark.sparkContext.defaultParallelism, -(-groups.count() // GROUPS_PER_TASK))
+    n_groups = groups.count()
+    parts = max(spark.sparkContext.defaultParallelism, -(-n_groups // GROUPS_PER_TASK))
     groups = materialize(groups.repartitionByRange(parts, *bins, "_target").sortWithinPartitions(*bins, "_target"))
+    if KEEP_FROM * groups.select(*bins).distinct().count() <= n_groups:
+        schema = ", ".join(f"`{c}` int" for c in bins) + ", _w array<double>, _s array<double>"
+        groups = materialize(groups.mapInPandas(partial(_cells, bins=bins, trees=num_trees, mean=mean), schema))
     per_node = len(bins) if num_trees == 1 else -(-len(bins) // 3)
     nodes = 2 ** (max_depth + 1) - 1
     forest = Forest(np.full((num_trees, nodes), -1), np.zeros((num_trees, nodes), dtype=np.int64),

@@ -83,6 +83,18 @@ def test_forest_imputation_is_the_same_however_rows_are_partitioned(spark):
     assert one.notna().all().all()
 
 
+def test_kept_sums_grow_the_same_forest_as_repeated_draws(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"a": rng.integers(0, 5, 2000), "b": rng.integers(0, 7, 2000), "c": rng.integers(0, 2, 2000)})
+    pdf["y"] = pdf.a * pdf.b + rng.normal(0, 1, 2000)
+    df = spark.createDataFrame(pdf)
+    kept = FO.fit_regression(df, ["a", "b", "c"], "y", pdf.y.mean(), num_trees=12)
+    monkeypatch.setattr(FO, "KEEP_FROM", 10 ** 6)
+    again = FO.fit_regression(df, ["a", "b", "c"], "y", pdf.y.mean(), num_trees=12)
+    assert (kept.feature == again.feature).all() and (kept.cut == again.cut).all() and np.allclose(kept.value, again.value)
+    assert (kept.feature >= 0).sum() > 100
+
+
 def test_a_column_without_values_cannot_be_learnt(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, None)], "x double, y double")
     with pytest.raises(ValueError, match="no value"):
